@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from matchwright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
+from matchwright.llm.sharding import op2_two_pass_shuffle
 
 QUERIES = {
+    "op2_two_pass_shuffle": op2_two_pass_shuffle,
     "op5_exact_dedup": op5_exact_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL = {
     "op5_exact_dedup": OP5_SQL,
+    "op10_quality_rules": OP10_SQL,
 }
