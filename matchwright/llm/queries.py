@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from matchwright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from matchwright.llm.ngram_join import op9_ngram_join
 from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
 from matchwright.llm.sharding import op2_two_pass_shuffle
 from matchwright.llm.suffix_dedup import op7_suffix_dedup
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_two_pass_shuffle": op2_two_pass_shuffle,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
 }
 
