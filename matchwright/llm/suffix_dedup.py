@@ -36,8 +36,26 @@ LAST = np.iinfo(np.int64).max
 ROW = "_row"
 
 
-def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
-    """The anchors of a batch of texts: document index, position, hash, and the strings (first..last start) that chose it."""
+def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, block: int = MB) -> dict[str, np.ndarray]:
+    """The anchors of a batch of texts: document index, position, hash, and the strings (first..last start) that chose it.
+
+    Strings are taken in blocks of their starts, so a text of any length needs the memory of a block.
+    """
+    found = []
+    for begin in range(0, max(1, len(raw) - length + 1), block):
+        stop = min(len(raw), begin + block + length - 1)
+        low, high = int(np.searchsorted(offsets, begin, side="right")) - 1, int(np.searchsorted(offsets, stop))
+        part = _anchors(raw[begin:stop], np.clip(offsets[low : high + 1] - begin, 0, stop - begin), length, gram)
+        back = begin - offsets[low : high + 1]
+        part["doc"] = part["doc"] + low
+        shift = np.maximum(back, 0)[part["doc"] - low]
+        for k in ("at", "first", "last"):
+            part[k] = part[k] + shift
+        found.append(part)
+    return {k: np.concatenate([p[k] for p in found]) for k in found[0]}
+
+
+def _anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> dict[str, np.ndarray]:
     none = {k: np.zeros(0, np.int64) for k in ("doc", "at", "first", "last")} | {"hash": np.zeros(0, np.uint64), "same": np.zeros(0, np.uint64)}
     n = len(raw)
     if n < length:
@@ -146,7 +164,7 @@ def _sent(buckets: int, length: int, gram: int, flush: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, ids, count, docs = [], [], [], 0, 0
-        for batch in sliced(batches, "text", 4 * MB):
+        for batch in sliced(batches, "text", MB):
             found = anchors(*packed(batch.column("text")), length, gram)
             found["doc"] = found["doc"] + docs
             held.append(found)
@@ -198,7 +216,7 @@ def _met(length: int):
 
 def _cut(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the ranges asked for, by shard."""
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", 2 * MB):
         raw, offsets = packed(batch.column("text"))
         whole = raw.tobytes()
         asked = batch.column("asked")
@@ -251,7 +269,7 @@ def _sorted_shard(length: int, limit: int, base: int):
 
 
 def _removed(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", 2 * MB):
         raw, offsets = packed(batch.column("text"))
         whole = raw.tobytes()
         n, out = batch.num_rows, {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "starts", "stops")}
@@ -290,7 +308,7 @@ def suffix_dedup(
     carry: tuple[str, ...] = (),
     length: int = LENGTH,
     gram: int = GRAM,
-    shard_bytes: int = 4 * MB,
+    shard_bytes: int = 2 * MB,
     queue_limit: int = 4_000_000,
     base: int = 4_000_000,
 ) -> DataFrame:
@@ -302,7 +320,7 @@ def suffix_dedup(
         F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
         *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)],
     )
-    sent = named.select(ROW, "id", "text").mapInArrow(_sent(buckets, length, gram, 1_000_000), BLOB)
+    sent = named.select(ROW, "id", "text").mapInArrow(_sent(buckets, length, gram, 400_000), BLOB)
     met = sent.groupBy("bucket").applyInArrow(_met(length), RANGE)
     placed = named.repartition(pieces(size, 16 * MB, 12), ROW)
     asked = met.where("kind = 2").groupBy(F.col("row")).agg(F.collect_list(F.struct("start", "stop", "hash")).alias("asked"))
