@@ -7,12 +7,14 @@ from matchwright.llm.ngram_join import op9_ngram_join
 from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
 from matchwright.llm.sharding import op2_two_pass_shuffle
 from matchwright.llm.suffix_dedup import op7_suffix_dedup
+from matchwright.llm.suffix_tree_lm import op6_suffix_tree_lm
 from matchwright.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_two_pass_shuffle": op2_two_pass_shuffle,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_suffix_tree_lm": op6_suffix_tree_lm,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
