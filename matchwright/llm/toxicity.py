@@ -15,7 +15,7 @@ other columns are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from matchwright.llm.common import lowered, packed, sliced, words_of
 
 SAMPLE, TERMS, WINDOW = 20_000, 256, 12
+#: Stems that the driver may see, and the log-likelihood ratio that chance does not reach among millions of stems.
+STEMS, EVIDENCE = 50_000, 17.0
 STEM_LEAST, STEM_MOST, FUZZY_LEAST = 4, 12, 5
 FEATURES = 7
 #: Bytes that cannot stand in a term: they are dropped from a token's ends and keep their context meaning.
@@ -203,41 +205,43 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x / self.scale @ self.weights[1:] + self.weights[0], -30, 30)))
 
 
-def learn_terms(texts: list[bytes], toxic: np.ndarray, terms: int = TERMS) -> list[bytes]:
-    """Stems by likelihood ratio, pure ones only; of stems that stand for nearly the same texts the longest."""
-    yes, no = Counter(), Counter()
-    for text, y in zip(texts, toxic.tolist()):
+def stem_counts(texts: list[bytes], toxic: list[int]) -> dict[bytes, list[int]]:
+    """In how many toxic and how many other texts each stem (the first letters of a word) stands."""
+    out: dict[bytes, list[int]] = {}
+    for text, y in zip(texts, toxic):
         raw = lowered(np.frombuffer(text, np.uint8))
         if not len(raw):
             continue
         start, stop, _ = words_of(raw, np.array([0, len(raw)]))
         s, e = trimmed(raw, start, stop)
         whole = raw.tobytes()
-        words = {whole[a:b] for a, b in zip(s.tolist(), e.tolist()) if b - a >= STEM_LEAST}
-        (yes if y else no).update({w[:k] for w in words for k in range(STEM_LEAST, min(len(w), STEM_MOST) + 1)})
-    n_yes, n_no = int(toxic.sum()), int(len(toxic) - toxic.sum())
+        words = {whole[a : min(b, a + STEM_MOST)] for a, b in zip(s.tolist(), e.tolist()) if b - a >= STEM_LEAST}
+        for w in {w[:k] for w in words for k in range(STEM_LEAST, len(w) + 1)}:
+            out.setdefault(w, [0, 0])[0 if y else 1] += 1
+    return out
+
+
+def choose_terms(counts: dict[bytes, tuple[int, int]], n_yes: int, n_no: int, terms: int = TERMS) -> list[bytes]:
+    """Stems by likelihood ratio, nearly pure ones only; of stems that stand for nearly the same texts the longest."""
     if not n_yes or not n_no:
         return []
     base = n_yes / (n_yes + n_no)
-    # with so many candidates, this much evidence is not met by chance
-    least = math.log(max(2, len(yes))) + math.log(100)
-    found = []
-    for w, a in yes.items():
-        b = no[w]
+    count = {}
+    for w, (a, b) in counts.items():
         if a < 3 or a < 9 * b or EDGE[w[-1]] or (w[-1] & 0xC0) == 0xC0:
             continue
         p = a / (a + b)
-        if a * math.log(p / base) + (b * math.log((1 - p) / (1 - base)) if b else 0) >= least:
-            found.append(w)
-    count = {w: yes[w] for w in found}
+        if a * math.log(p / base) + (b * math.log((1 - p) / (1 - base)) if b else 0) >= EVIDENCE:
+            count[w] = a
     by_stem = defaultdict(list)
-    for w in found:
+    for w in sorted(count):
         by_stem[w[:STEM_LEAST]].append(w)
     chosen: set[bytes] = set()
     for group in by_stem.values():
         have = set(group)
-        roots = [w for w in group if not any(w[:k] in have for k in range(STEM_LEAST, len(w)))]
-        for w in roots:
+        for w in group:
+            if any(w[:k] in have for k in range(STEM_LEAST, len(w))):
+                continue
             while True:
                 longer = [x for x in group if len(x) == len(w) + 1 and x.startswith(w) and count[x] >= 0.8 * count[w]]
                 if not longer:
@@ -261,45 +265,62 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
     return w
 
 
-def fit_rows(texts: list[bytes], toxic: np.ndarray, terms: int = TERMS) -> Model:
-    lexicon = learn_terms(texts, toxic, terms)
-    if not lexicon:
-        return Model()
-    auto = build_automaton(lexicon)
-    offsets = np.append(0, np.cumsum([len(t) for t in texts])).astype(np.int64)
-    x = features(auto, np.frombuffer(b"".join(texts), np.uint8), offsets)
-    scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
-    return Model(auto, _logistic(x / scale, toxic.astype(float)), scale, lexicon)
-
-
 def held_out(id_col: str = "doc_id", folds: int = 5) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, most_bytes: int = 200_000_000) -> Model:
-    """A model from labelled rows (id, toxic) of the training folds: at most `sample` rows come to the driver, in all at most `most_bytes`."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, terms: int = TERMS) -> Model:
+    """A model from at most `sample` labelled rows (id, toxic) of the training folds.
+
+    Texts stay on the executors: they send stem counts, of which the driver takes those with enough evidence, and then a
+    few numbers for each sampled row.
+    """
     few = (
-        labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).select(id_col, "toxic").dropDuplicates([id_col])
+        labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64(id_col), id_col).limit(sample)
     )
-    rows = docs.select(id_col, text_col).join(F.broadcast(few), id_col)
-    texts, toxic, size = [], [], 0
-    for row in rows.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"), "toxic").toLocalIterator():
-        if size + len(row[0]) <= most_bytes:
-            size += len(row[0])
-            texts.append(bytes(row[0]))
-            toxic.append(int(row[1]))
-    return fit_rows(texts, np.array(toxic, np.int64))
+    rows = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(few), id_col).select("text", F.col("toxic").cast("int").alias("toxic"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            raw, offsets = packed(batch.column("text"))
+            whole = raw.tobytes()
+            found = stem_counts([whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], batch.column("toxic").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.binary()), pa.array([v[0] for v in found.values()], pa.int64()), pa.array([v[1] for v in found.values()], pa.int64())],
+                names=["stem", "a", "b"],
+            )
+
+    kinds = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
+    n_yes, n_no = kinds.get(1, 0), kinds.get(0, 0)
+    strong = rows.mapInArrow(count, "stem binary, a long, b long").groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    strong = strong.where("a >= 3 and a >= 9 * b").orderBy(F.desc("a"), "b", "stem").limit(STEMS)
+    lexicon = choose_terms({bytes(r[0]): (r[1], r[2]) for r in strong.collect()}, n_yes, n_no, terms)
+    if not lexicon:
+        return Model()
+    auto = build_automaton(lexicon)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            x = features(auto, *packed(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column("toxic")], names=["x", "toxic"])
+
+    got = rows.mapInArrow(measured, "x array<double>, toxic int").toArrow()
+    x = np.array(got.column("x").to_pylist()).reshape(-1, FEATURES)
+    toxic = got.column("toxic").to_numpy().astype(float)
+    order = np.lexsort((*x.T, toxic))
+    x, toxic = x[order], toxic[order]
+    scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
+    return Model(auto, _logistic(x / scale, toxic), scale, lexicon)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of `docs` plus score double and n_hits long; the model, a bounded lexicon, is broadcast."""
+    """All columns of `docs` plus score double and n_hits long; the model, a bounded lexicon, travels with the function."""
     if clash := {"score", "n_hits"} & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are added here")
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    m = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
         for batch in sliced(batches, text_col):
             x = features(m.auto, *packed(batch.column(text_col))) if m.auto is not None else np.zeros((batch.num_rows, FEATURES))
             hits = np.rint(np.expm1(x[:, 0]) + np.expm1(x[:, 1])).astype(np.int64)
