@@ -6,9 +6,10 @@ found frequent come last, by frequency, the others by hash. Sets that link share
 lists it would meet, and candidates among them), and a pair must share as many prefix shingles as the larger choice asks.
 
 Prefix shingles meet in packed blobs. Sets that are equal within a map task join their first one at once. In a list of
-at most `short` documents all pairs of fitting sizes are counted. A longer list first proposes neighbours by size only;
-once those are verified, a list needs only the pairs that still stand in different components, so a group of thousands of
-near copies costs a chain, yet no link between different components is lost. Pairs are verified on whole sets.
+at most `short` documents all pairs of fitting sizes are counted; a longer list proposes neighbours by size. Of these, each
+document is first verified with the one it shares most with. Then only pairs that still stand in different components
+matter, those of the long lists included, so a group of thousands of near copies costs a chain, yet no link between
+different components is lost. Pairs are verified on whole sets.
 
 Cases: null texts and texts without words have an empty set and link with nothing; a text of fewer than five words is
 one shingle. Rows that share an id, or have none, are told apart by their place in the scan; a component is named by its
@@ -30,7 +31,8 @@ from matchwright.llm.components import components
 
 WORDS, PERCENT = 5, 75
 LONGEST = 4  # largest number of prefix shingles a pair may have to share
-FREQUENT, SEEN = 200_000, 4
+FREQUENT, SEEN = 200_000, 3
+BROADCAST_ROWS = 2_000_000  # 16 MB of row numbers
 ROW = "_row"
 
 
@@ -75,7 +77,7 @@ def frequent(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col, 16 * MB):
+        for batch in sliced(batches, text_col, 4 * MB):
             h, n = np.unique(shingles(*packed(batch.column(text_col)), size)[1], return_counts=True)
             h, n = h[n >= SEEN], n[n >= SEEN]
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
@@ -161,7 +163,7 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-        for batch in sliced(batches, "text", 4 * MB):
+        for batch in sliced(batches, "text", 2 * MB):
             doc, h = shingles(*packed(batch.column("text")), size)
             n = np.bincount(doc, minlength=batch.num_rows).astype(np.int64)
             sums = np.concatenate([[0], np.cumsum(h)]).astype(np.uint64)
@@ -256,7 +258,7 @@ def _met(percent: int, short: int):
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", 2 * MB):
         doc, h = shingles(*packed(batch.column("text")), size)
         begin = np.searchsorted(doc, np.arange(batch.num_rows + 1)).tolist()
         blobs = [h[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])]
@@ -274,49 +276,55 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["u", "v"])
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link; the sets are made from the texts of their documents alone."""
+    pairs = cut(pairs)
+    wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
+    if wanted.count() <= BROADCAST_ROWS:  # otherwise texts and rows meet in a shuffle
+        wanted = F.broadcast(wanted)
+    sets = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi").mapInArrow(lambda it: _sets(it, size), "row long, words binary")
     one = pairs.join(sets.select(F.col("row").alias("a"), F.col("words").alias("x")), "a")
     two = one.join(sets.select(F.col("row").alias("b"), F.col("words").alias("y")), "b").select("a", "b", "x", "y")
     return two.mapInArrow(lambda it: _verified(it, percent), "u long, v long")
 
 
 def ngram_join(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT, short: int = 64
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT, short: int = 8
 ) -> tuple[DataFrame, DataFrame]:
     """(documents: _row, id, n_shingles; members: node, root): nodes are the `_row`s of linked documents."""
     _, total = text_bytes(docs, text_col)
     named = docs.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     buckets = min(pieces(total, 8 * MB, 16), 4096)
-    sent = named.mapInArrow(_sent(frequent(docs, text_col, size), buckets, size, percent, 2_000_000), ENTRY)
+    sent = named.mapInArrow(_sent(frequent(docs, text_col, size), buckets, size, percent, 1_000_000), ENTRY)
     met = cut(sent.groupBy("bucket").applyInArrow(_met(percent, short), PAIR))
     every = met.where("kind = 0").select(F.col("a").alias(ROW), F.col("b").alias("id"), F.col("n").cast("long").alias("n_shingles"), F.col("hash").alias("same"))
     copies = every.where(F.col("same") != F.col(ROW)).select(F.col(ROW).alias("u"), F.col("same").alias("v"))
-    counted = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("l").alias("l")).where("n >= l").select("a", "b")
-    tried = cut(counted.unionByName(met.where("kind = 2").select("a", "b")).distinct())
-    entries = met.where("kind = 3").select(F.col("a").alias("row"), "n", "l", "hash", "pos")
-    wanted = tried.select(F.col("a").alias("row")).unionByName(tried.select(F.col("b").alias("row"))).unionByName(entries.select("row")).distinct()
-    texts = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi")
-    sets = cut(texts.mapInArrow(lambda it: _sets(it, size), "row long, words binary"))
-    links = copies.unionByName(_links(tried, sets, percent))
-    if entries.take(1):
-        links = cut(links)
-        found = components(links)
-        placed = entries.join(found, F.col("row") == F.col("node"), "left").withColumn("root", F.coalesce("root", "row")).drop("node")
-        mixed = placed.groupBy("hash").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q").select("hash")
-        left = placed.join(mixed, "hash", "left_semi")
-        x = left.select("hash", F.col("row").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("l").alias("la"), F.col("pos").alias("pa"))
-        y = left.select("hash", F.col("row").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("l").alias("lb"), F.col("pos").alias("pb"))
-        need = lambda n: F.ceil(F.lit(percent) * F.col(n) / 100)
-        pairs = (
-            x.join(y, "hash").where("ra <> rb and a < b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-            .withColumn("l", F.greatest("la", "lb"))
-            .where((F.col("pa") < F.col("na") - need("na") + F.col("l")) & (F.col("pb") < F.col("nb") - need("nb") + F.col("l")))
-            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("l").alias("l"))
-        )
-        # a pair may also share shingles of short lists, counted before
-        before = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n0"))
-        more = pairs.join(before, ["a", "b"], "left").where("n + coalesce(n0, 0) >= l").select("a", "b")
-        links = found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(_links(more, sets, percent))
+    counted = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("l").alias("l")).where("n >= l").select("a", "b", "n")
+    tried = cut(counted.unionByName(met.where("kind = 2").select("a", "b", F.lit(0).cast("long").alias("n"))).groupBy("a", "b").agg(F.max("n").alias("n")))
+    # first each document with the one it shares most with
+    ends = tried.select("a", "b", "n").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
+    best = ends.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
+    found = cut(components(copies.unionByName(_links(best, named, size, percent))))
+    # then what still stands in different components
+    roots = lambda df, c, r: df.join(found.select(F.col("node").alias(c), F.col("root").alias(r)), c, "left").withColumn(r, F.coalesce(r, c))
+    rest = roots(roots(tried.join(best, ["a", "b"], "left_anti"), "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b")
+    placed = roots(met.where("kind = 3").select(F.col("a").alias("row"), "n", "l", "hash", "pos"), "row", "root")
+    mixed = placed.groupBy("hash").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q").select("hash")
+    left = placed.join(mixed, "hash", "left_semi")
+    x = left.select("hash", F.col("row").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("l").alias("la"), F.col("pos").alias("pa"))
+    y = left.select("hash", F.col("row").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("l").alias("lb"), F.col("pos").alias("pb"))
+    need = lambda n: F.ceil(F.lit(percent) * F.col(n) / 100)
+    pairs = (
+        x.join(y, "hash").where("ra <> rb and a < b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        .withColumn("l", F.greatest("la", "lb"))
+        .where((F.col("pa") < F.col("na") - need("na") + F.col("l")) & (F.col("pb") < F.col("nb") - need("nb") + F.col("l")))
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("l").alias("l"))
+    )
+    # a pair may also share shingles of short lists, counted before
+    before = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n0"))
+    more = pairs.join(before, ["a", "b"], "left").where("n + coalesce(n0, 0) >= l").select("a", "b")
+    stars = found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+    links = stars.unionByName(_links(rest.unionByName(more).distinct(), named, size, percent))
     return every.select(ROW, "id", "n_shingles"), components(links)
 
 
