@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from matchwright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from matchwright.llm.line_dedup import OP4_SQL, op4_line_dedup
 from matchwright.llm.ngram_join import op9_ngram_join
+from matchwright.llm.packing import op3_mixture_packing
 from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
 from matchwright.llm.sharding import op2_two_pass_shuffle
 from matchwright.llm.suffix_dedup import op7_suffix_dedup
@@ -13,6 +15,8 @@ from matchwright.llm.toxicity import op1_toxicity
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_two_pass_shuffle": op2_two_pass_shuffle,
+    "op3_mixture_packing": op3_mixture_packing,
+    "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_suffix_tree_lm": op6_suffix_tree_lm,
     "op7_suffix_dedup": op7_suffix_dedup,
@@ -21,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_line_dedup": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op10_quality_rules": OP10_SQL,
 }
