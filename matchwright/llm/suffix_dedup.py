@@ -268,7 +268,7 @@ def _sorted_shard(length: int, limit: int, base: int):
     return run
 
 
-def _removed(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _removed(batches: Iterator[pa.RecordBatch], keep: list[str], decoded: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text", 2 * MB):
         raw, offsets = packed(batch.column("text"))
         whole = raw.tobytes()
@@ -285,6 +285,9 @@ def _removed(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.
             kept = b"".join(text[x:y] for x, y in zip([0, *stops], [*starts, len(text)])) if starts else text
             for k, v in zip(out, (len(text), len(text) - len(kept), len(starts), hashlib.sha256(kept).hexdigest(), kept, starts, stops)):
                 out[k].append(v)
+        if decoded:
+            null = batch.column("text").is_null().to_pylist()
+            out["kept"] = [None if x else k.decode(errors="ignore").encode() for k, x in zip(out["kept"], null)]
         made = {
             "n_bytes": pa.array(out["n_bytes"], pa.int64()),
             "n_removed": pa.array(out["n_removed"], pa.int64()),
@@ -311,8 +314,13 @@ def suffix_dedup(
     shard_bytes: int = 2 * MB,
     queue_limit: int = 4_000_000,
     base: int = 4_000_000,
+    decoded: bool = False,
 ) -> DataFrame:
-    """id, the columns of `carry`, and those of `made` (see MADE: the kept bytes and the removed spans among them)."""
+    """id, the columns of `carry`, and those of `made` (see MADE: the kept bytes and the removed spans among them).
+
+    With `decoded`, the kept bytes come back as the text column: what a removed range left of a character is dropped, and a
+    null text stays null.
+    """
     _, size = text_bytes(docs, text_col)
     shards = pieces(size, shard_bytes, 16)
     buckets = min(pieces(size, 8 * MB, 16), 4096)
@@ -334,8 +342,11 @@ def suffix_dedup(
     both = placed.join(gone, F.col(ROW) == F.col("row"), "left").drop("row", ROW)
     keep = ["id", *[f"_c{k}" for k in range(len(carry))], *made]
     kinds = {f.name: f.dataType.simpleString() for f in both.schema} | MADE
-    out = both.mapInArrow(lambda it: _removed(it, keep), ", ".join(f"`{k}` {kinds[k]}" for k in [*[k for k in keep if k not in MADE], *[k for k in MADE if k in keep]]))
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *made)
+    out = both.mapInArrow(lambda it: _removed(it, keep, decoded), ", ".join(f"`{k}` {kinds[k]}" for k in [*[k for k in keep if k not in MADE], *[k for k in MADE if k in keep]]))
+    ident, rest = F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), [F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)]
+    if decoded:
+        return out.select(ident, *rest, F.col("kept").cast("string").alias(text_col), *[m for m in made if m != "kept"])
+    return out.select(ident, *rest, *made)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
