@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from matchwright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from matchwright.llm.line_dedup import OP4_SQL, op4_line_dedup
+from matchwright.llm.nbest import op8_nbest_segmentation
 from matchwright.llm.ngram_join import op9_ngram_join
 from matchwright.llm.packing import op3_mixture_packing
 from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_suffix_tree_lm": op6_suffix_tree_lm,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_nbest_segmentation": op8_nbest_segmentation,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
 }
