@@ -22,7 +22,7 @@ TOXIC = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents with a score of TOXIC and more; the model is fitted on the labelled rows of the table itself."""
     model = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where(F.col("score") < TOXIC).select(*docs.columns)
+    return toxicity.score(docs, model).where(F.col(common.free("score", docs.columns)) < TOXIC).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

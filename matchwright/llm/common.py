@@ -31,6 +31,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(where)
 
 
+def free(name: str, columns: list[str]) -> str:
+    """The name, with underscores after it until no column has it (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialises in the shared checkpoint folder: lineage ends there and a lost executor costs nothing."""
     ensure_checkpoint_dir(df.sparkSession)

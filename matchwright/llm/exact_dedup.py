@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import packed, sliced
+from matchwright.llm.common import free, packed, sliced
 
 SPACES = bytes(32 if x == 32 or 9 <= x <= 13 else x for x in range(256))
 MIN_CHUNK, MASK_BITS, MAX_CHUNK, DIGEST = 256, 11, 16384, 16
@@ -163,10 +163,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, that exact_dedup keeps."""
-    found = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
+    ident, sha_there, own = (free(x, docs.columns) for x in ("_keep_id", "_keep_sha", "_own_sha"))
+    found = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias(ident), F.col("text_sha256").alias(sha_there))
     sha = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
-    once = docs.withColumn("_sha0", sha).dropDuplicates([id_col, "_sha0"])
-    return once.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha0") == F.col("_sha")), "left_semi").drop("_sha0")
+    once = docs.withColumn(own, sha).dropDuplicates([id_col, own])
+    return once.join(found, F.col(id_col).eqNullSafe(F.col(ident)) & (F.col(own) == F.col(sha_there)), "left_semi").drop(own)
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:

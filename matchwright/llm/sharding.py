@@ -8,7 +8,7 @@ a function of the seed and the rows, so a task that runs again writes the same.
 
 Cases: null texts have size 1; null ids and repeated rows are scattered like any others (identical rows meet in one
 bucket only if all their columns are equal; a tie then does not show); empty tables give empty shards; extra columns ride
-along, and columns named like the ones added here are refused.
+along.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchwright.llm.common import MB, pieces, text_bytes
+from matchwright.llm.common import MB, free, pieces, text_bytes
 
 ADDED = ("bucket", "place", "shard", "slot")
 #: Positions of a bucket's rows are dealt by one task; more rows than this in a bucket split it.
@@ -43,29 +43,31 @@ def _canonical(t: pa.Table, first: list[str]) -> np.ndarray:
 def two_pass_shuffle(
     docs: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 * MB
 ) -> DataFrame:
-    """All columns of `docs` plus bucket int, place long (in its bucket), shard int and slot long."""
-    if clash := set(ADDED) & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are added here")
+    """All columns of `docs` plus bucket int, place long (in its bucket), shard int and slot long.
+
+    Where `docs` has a column of such a name, the one added gets an underscore.
+    """
+    bucket_, place_, shard_, slot_ = (free(x, docs.columns) for x in ADDED)
     _, size = text_bytes(docs, text_col)
     buckets = min(MAX_BUCKETS, pieces(size, bucket_bytes, 16))
-    keyed = docs.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in docs.columns]), F.lit(buckets)).cast("int"))
+    keyed = docs.withColumn(bucket_, F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in docs.columns]), F.lit(buckets)).cast("int"))
     # one number for each bucket, MAX_BUCKETS at most
     counts = np.zeros(buckets + 1, dtype=np.int64)
-    for row in keyed.groupBy("bucket").count().collect():
+    for row in keyed.groupBy(bucket_).count().collect():
         counts[row[0] + 1] = row[1]
     first = np.cumsum(counts)
     names = docs.columns
-    schema = T.StructType([*keyed.schema.fields, T.StructField("place", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+    schema = T.StructType([*keyed.schema.fields, T.StructField(place_, T.LongType()), T.StructField(shard_, T.IntegerType()), T.StructField(slot_, T.LongType())])
 
     def shuffle(t: pa.Table) -> pa.Table:
-        bucket = t.column("bucket")[0].as_py()
+        bucket = t.column(bucket_)[0].as_py()
         t = t.take(pa.array(_canonical(t.select(names), [id_col])))
         t = t.take(pa.array(_fisher_yates(t.num_rows, zlib.crc32(f"{seed}:{bucket}".encode()))))
         place = np.arange(t.num_rows, dtype=np.int64)
         at = place + first[bucket]
-        return t.append_column("place", pa.array(place)).append_column("shard", pa.array((at % shards).astype(np.int32))).append_column("slot", pa.array(at // shards))
+        return t.append_column(place_, pa.array(place)).append_column(shard_, pa.array((at % shards).astype(np.int32))).append_column(slot_, pa.array(at // shards))
 
-    return keyed.groupBy("bucket").applyInArrow(shuffle, schema)
+    return keyed.groupBy(bucket_).applyInArrow(shuffle, schema)
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:

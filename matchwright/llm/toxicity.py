@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import lowered, packed, sliced, words_of
+from matchwright.llm.common import free, lowered, packed, sliced, words_of
 
 SAMPLE, TERMS, WINDOW = 20_000, 256, 12
 #: Stems that the driver may see, and the log-likelihood ratio that chance does not reach among millions of stems.
@@ -315,19 +315,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of `docs` plus score double and n_hits long; the model, a bounded lexicon, travels with the function."""
-    if clash := {"score", "n_hits"} & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are added here")
-    m = model
+    """All columns of `docs` plus score double and n_hits long; the model, a bounded lexicon, travels with the function.
+
+    Where `docs` has a column of such a name, the one added gets an underscore.
+    """
+    m, names = model, docs.columns
+    first, second = free("score", names), free("n_hits", names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text_col):
             x = features(m.auto, *packed(batch.column(text_col))) if m.auto is not None else np.zeros((batch.num_rows, FEATURES))
             hits = np.rint(np.expm1(x[:, 0]) + np.expm1(x[:, 1])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.score(x)), pa.array(hits)], names=[*batch.schema.names, "score", "n_hits"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.score(x)), pa.array(hits)], names=[*names, first, second])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, score double, n_hits long")
+    return docs.mapInArrow(run, f"{kinds}, `{first}` double, `{second}` long")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
