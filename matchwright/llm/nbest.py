@@ -234,7 +234,7 @@ def _batch(raw: np.ndarray, offsets: np.ndarray, cache: Cache) -> Iterator[tuple
         yield scores, ways
 
 
-def segmented(docs: DataFrame, model: str, n: int = 4, id_col: str = "doc_id", text_col: str = "text", words_kept: int = 400_000) -> DataFrame:
+def segmented(docs: DataFrame, model: str, n: int = 4, id_col: str = "doc_id", text_col: str = "text", words_kept: int = 250_000) -> DataFrame:
     """id, ids array (best), score, scores array (n best), crcs array (of each of the n best, unsigned 32-bit ids), decodes boolean."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
