@@ -6,6 +6,7 @@ a single binary row, so that a shuffle of a billion hashes costs eight bytes eac
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -69,6 +70,15 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str, most: int = 8 * MB) ->
             start = stop
 
 
+def release() -> None:
+    """Gives freed memory back: a worker that waits for its next task then holds little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
+
+
 def packed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts in a row, offsets): null counts as empty."""
     col = pc.fill_null(texts, "").cast(pa.large_binary())

@@ -1,15 +1,17 @@
 """N-gram Jaccard self-join by adaptive multi-match prefixes, and the classes that its links form.
 
 A document's set holds its distinct five-word shingles. All sets are put in one global order: shingles that a first pass
-found frequent come last, by frequency, the others by hash. Sets that link share at least `l` of their first
-`n - ceil(t n) + l` shingles, for every l; each document chooses its l from the estimated cost of its prefix (entries of the
-lists it would meet, and candidates among them), and a pair must share as many prefix shingles as the larger choice asks.
+found frequent come last, by frequency, the others by hash. A document's prefix is its first `p = n - ceil(t n) + l`
+shingles; each document lengthens its prefix by the l of least estimated cost (entries of the lists it would meet, and
+candidates among them). Of two sets, the one whose prefix ends first has all its other shared shingles among its last
+n - p, so a pair must share `needed overlap - max(n - p)` prefix shingles: the longer the prefixes, the more. The same
+set overlaps by its reach at most: what is left of it without the prefix shingles that stand in no other prefix.
 
 Prefix shingles meet in packed blobs. Sets that are equal within a map task join their first one at once. In a list of
-at most `short` documents all pairs of fitting sizes are counted; a longer list proposes neighbours by size. Of these, each
-document is first verified with the one it shares most with. Then only pairs that still stand in different components
-matter, those of the long lists included, so a group of thousands of near copies costs a chain, yet no link between
-different components is lost. Pairs are verified on whole sets.
+at most `short` documents all pairs are counted. In a longer list each document is paired with the list's pivot, the one of
+largest reach. Each document is then verified with the one it shares most with, and of all other pairs, those of the long
+lists included, only those matter that stand in different components and whose overlap the reach allows: a group of
+thousands of near copies costs a star, yet no link between different components is lost. Pairs are verified on whole sets.
 
 Cases: null texts and texts without words have an empty set and link with nothing; a text of fewer than five words is
 one shingle. Rows that share an id, or have none, are told apart by their place in the scan; a component is named by its
@@ -26,12 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import MB, Rolling, cut, lowered, mix, packed, pieces, sliced, text_bytes, words_of
+from matchwright.llm.common import MB, Rolling, cut, free, lowered, mix, packed, pieces, release, sliced, text_bytes, words_of
 from matchwright.llm.components import components
 
 WORDS, PERCENT = 5, 75
-LONGEST = 4  # largest number of prefix shingles a pair may have to share
-FREQUENT, SEEN = 200_000, 3
+STEPS = (1, 2, 4, 8, 16)  # by how much a prefix may be lengthened
+FREQUENT, SEEN = 200_000, 2
 BROADCAST_ROWS = 2_000_000  # 16 MB of row numbers
 ROW = "_row"
 
@@ -70,6 +72,14 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tuple[n
     return d[new], h[new]
 
 
+def _seen(held: list[np.ndarray]) -> pa.RecordBatch:
+    h = np.sort(np.concatenate(held))
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+    n = np.diff(np.append(first, len(h)))
+    h, n = h[first[n >= SEEN]], n[n >= SEEN]
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+
 def frequent(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles and estimates of their document counts, FREQUENT at most.
 
@@ -77,10 +87,17 @@ def frequent(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col, 4 * MB):
-            h, n = np.unique(shingles(*packed(batch.column(text_col)), size)[1], return_counts=True)
-            h, n = h[n >= SEEN], n[n >= SEEN]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+        held, count = [], 0
+        for batch in sliced(batches, text_col, MB):
+            held.append(shingles(*packed(batch.column(text_col)), size)[1])
+            count += len(held[-1])
+            if count > 2_000_000:
+                yield _seen(held)
+                held, count = [], 0
+        if held:
+            yield _seen(held)
+        del held
+        release()
 
     top = docs.select(text_col).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     rows = top.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
@@ -93,11 +110,17 @@ def least_overlap(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return -(-percent * n // 100)
 
 
+def needed(na: np.ndarray, pa_: np.ndarray, nb: np.ndarray, pb: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """How many prefix shingles a linked pair shares at least; more than min(n) if the sizes cannot link."""
+    overlap = -(-percent * (na + nb) // (100 + percent))
+    return np.where(overlap > np.minimum(na, nb), np.iinfo(np.int32).max, np.maximum(1, overlap - np.maximum(na - pa_, nb - pb)))
+
+
 def choose(doc: np.ndarray, pos: np.ndarray, df: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """For each document the l of least estimated cost: list entries to read, and candidates to count, weighted 1 to 8."""
+    """For each document the l of least estimated cost: list entries to read, and candidates to verify, weighted 1 to 8."""
     need = least_overlap(n, percent)
     best, cost = np.ones(len(n), np.int64), np.full(len(n), np.inf)
-    for l in range(1, LONGEST + 1):
+    for l in STEPS:
         entries = np.bincount(doc, weights=np.where(pos < (n - need + l)[doc], df, 0), minlength=len(n))
         now = entries * (1 + 8 / l)
         better = (now < cost) & (l <= need)
@@ -105,8 +128,8 @@ def choose(doc: np.ndarray, pos: np.ndarray, df: np.ndarray, n: np.ndarray, perc
     return best
 
 
-ENTRY = "bucket int, rows binary, ids binary, n binary, l binary, doc binary, pos binary, hash binary"
-KINDS = {"rows": np.int64, "ids": np.int64, "n": np.uint32, "l": np.uint8, "doc": np.uint32, "pos": np.uint32, "hash": np.uint64}
+ENTRY = "bucket int, rows binary, ids binary, n binary, p binary, end binary, doc binary, hash binary"
+KINDS = {"rows": np.int64, "ids": np.int64, "n": np.uint32, "p": np.uint32, "end": np.int64, "doc": np.uint32, "hash": np.uint64}
 
 
 def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent: int, flush: int):
@@ -143,14 +166,17 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
         df = np.zeros(len(h), np.int64)
         if len(hot) and len(h):
             at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-            df = np.where(hot[at] == h, hot_n[at], 0)
+            df = np.where(hot[at] == h, np.minimum(hot_n[at], (1 << 31) - 1), 0)
         order = np.lexsort((h, df, doc))
         doc, h, df = doc[order], h[order], df[order]
         begin = np.searchsorted(doc, np.arange(len(rows)))
         pos = np.arange(len(doc)) - begin[doc]
-        l = choose(doc, pos, df, n, percent)
-        pick = pos < (n - least_overlap(n, percent) + LONGEST)[doc]
-        doc, h, pos = doc[pick], h[pick], pos[pick]
+        prefix = np.minimum(n, n - least_overlap(n, percent) + choose(doc, pos, df, n, percent))
+        end = np.zeros(len(rows), np.int64)  # where each prefix ends in the global order
+        last = np.flatnonzero(pos == prefix[doc] - 1)
+        end[doc[last]] = (df[last] << 32) | (h[last] >> np.uint64(32)).astype(np.int64)
+        pick = pos < prefix[doc]
+        doc, h = doc[pick], h[pick]
         bucket = (h >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -158,12 +184,12 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
             if bounds[b + 1] > bounds[b]:
                 p = order[bounds[b] : bounds[b + 1]]
                 docs, index = np.unique(doc[p], return_inverse=True)
-                put(b, rows=rows[docs], ids=ids[docs], n=n[docs], l=l[docs], doc=index, pos=pos[p], hash=h[p])
+                put(b, rows=rows[docs], ids=ids[docs], n=n[docs], p=prefix[docs], end=end[docs], doc=index, hash=h[p])
         yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int32()), *[pa.array(out[k], pa.binary()) for k in KINDS]], names=["bucket", *KINDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-        for batch in sliced(batches, "text", 2 * MB):
+        for batch in sliced(batches, "text", MB):
             doc, h = shingles(*packed(batch.column("text")), size)
             n = np.bincount(doc, minlength=batch.num_rows).astype(np.int64)
             sums = np.concatenate([[0], np.cumsum(h)]).astype(np.uint64)
@@ -178,102 +204,97 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
                 held, count = [], 0
         if held:
             yield from emit(held)
+        del held
+        release()
 
     return run
 
 
-PAIR = "kind int, a long, b long, n int, l int, hash long, pos int"
+PAIR = "kind int, a long, b long, n int, p int, hash long, end long"
 
 
-def _rows(kind: int, a, b, n, l, h, pos) -> pa.Table:
+def _rows(kind: int, a, b, n, p, h=None, end=None) -> pa.Table:
+    h = np.zeros(len(a), np.uint64) if h is None else np.asarray(h).astype(np.uint64)
     return pa.table(
         {
             "kind": pa.array(np.full(len(a), kind, np.int32)),
             "a": pa.array(np.asarray(a, np.int64)),
             "b": pa.array(np.asarray(b, np.int64)),
             "n": pa.array(np.asarray(n, np.int32)),
-            "l": pa.array(np.asarray(l, np.int32)),
-            "hash": pa.array(np.asarray(h).astype(np.uint64).view(np.int64)),
-            "pos": pa.array(np.asarray(pos, np.int32)),
+            "p": pa.array(np.asarray(p, np.int32)),
+            "hash": pa.array(h.view(np.int64)),
+            "end": pa.array(np.zeros(len(a), np.int64) if end is None else end),
         }
     )
 
 
+def _counted(kind: int, row, n, p, a, b, percent: int) -> pa.Table:
+    """Pairs (places a and b) with how often each occurs and how many shared prefix shingles it needs (in p)."""
+    ask = needed(n[a], p[a], n[b], p[b], percent)
+    can = ask < np.iinfo(np.int32).max
+    a, b, ask = a[can], b[can], ask[can]
+    low, high = np.minimum(row[a], row[b]), np.maximum(row[a], row[b])
+    order = np.lexsort((high, low))
+    low, high, ask = low[order], high[order], ask[order]
+    new = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))) if len(low) else np.zeros(0, np.int64)
+    return _rows(kind, low[new], high[new], np.diff(np.append(new, len(low))), ask[new])
+
+
 def _met(percent: int, short: int):
-    """Kind 0: (row, id) with n and the row it equals. 1: a pair, n shared prefix shingles of l. 2: a pair to try. 3: an entry of a long list."""
+    """Kind 0: (row, id) with n and the row it equals. 1: a pair, n shared prefix shingles of the p it needs. 2: how many (n) of a
+    document's prefix shingles others have too. 3: an entry of a long list."""
 
     def run(t: pa.Table) -> pa.Table:
         cols = {k: [np.frombuffer(x, dtype=kind) for x in t.column(k).to_pylist()] for k, kind in KINDS.items()}
         if t.column("bucket")[0].as_py() < 0:
             rows, ids, n, h = (np.concatenate(cols[k]) for k in ("rows", "ids", "n", "hash"))
-            return _rows(0, rows, ids, n, n * 0, h, n * 0)
-        row, n, l = (np.concatenate([x[d] for x, d in zip(cols[k], cols["doc"])]).astype(np.int64) for k in ("rows", "n", "l"))
-        pos, h = np.concatenate(cols["pos"]).astype(np.int64), np.concatenate(cols["hash"])
+            return _rows(0, rows, ids, n, n * 0, h)
+        row, n, p = (np.concatenate([x[d] for x, d in zip(cols[k], cols["doc"])]).astype(np.int64) for k in ("rows", "n", "p"))
+        end = np.concatenate([x[d] for x, d in zip(cols["end"], cols["doc"])])
+        h = np.concatenate(cols["hash"])
         del cols
         order = np.argsort(h, kind="stable")
         hs = h[order]
         edge = np.flatnonzero(np.append(True, hs[1:] != hs[:-1]))
         sizes = np.diff(np.append(edge, len(hs)))
         keep = order[np.repeat(sizes, sizes) > 1]
-        row, n, l, pos, h = (x[keep] for x in (row, n, l, pos, h))
+        row, n, p, h, end = (x[keep] for x in (row, n, p, h, end))
         order = np.lexsort((row, n, h))
-        row, n, l, pos, h = (x[order] for x in (row, n, l, pos, h))
+        row, n, p, h, end = (x[order] for x in (row, n, p, h, end))
         if not len(h):
-            return _rows(1, row, row, n, l, h, pos)
+            return _rows(1, row, row, n, p)
         edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         sizes = np.diff(np.append(edge, len(h)))
-        first, second = [], []
+        first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for gap in range(1, short):  # pairs `gap` apart in their list
             with_gap = np.flatnonzero((sizes > gap) & (sizes <= short))
             if not len(with_gap):
                 break
             m = sizes[with_gap] - gap
             a = np.repeat(edge[with_gap], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-            fits = 100 * n[a] >= percent * n[a + gap]
-            first.append(a[fits])
-            second.append(a[fits] + gap)
-        out = []
-        if first:
-            a, b = np.concatenate(first), np.concatenate(second)
-            ask = np.maximum(l[a], l[b])
-            counted = (pos[a] < n[a] - least_overlap(n[a], percent) + ask) & (pos[b] < n[b] - least_overlap(n[b], percent) + ask)
-            a, b, ask = a[counted], b[counted], ask[counted]
-            low, high = np.minimum(row[a], row[b]), np.maximum(row[a], row[b])
-            order = np.lexsort((high, low))
-            low, high, ask = low[order], high[order], ask[order]
-            new = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))) if len(low) else np.zeros(0, np.int64)
-            out.append(_rows(1, low[new], high[new], np.diff(np.append(new, len(low))), ask[new], np.zeros(len(new)), np.zeros(len(new))))
-        long = np.repeat(sizes > short, sizes)
-        if long.any():
-            at = np.flatnonzero(long)
-            a = at[:-1][(h[at[1:]] == h[at[:-1]])]
-            fits = 100 * n[a] >= percent * n[a + 1]
-            a = a[fits]
-            pair = np.unique(np.stack([np.minimum(row[a], row[a + 1]), np.maximum(row[a], row[a + 1])], axis=1), axis=0).reshape(-1, 2)
-            out.append(_rows(2, pair[:, 0], pair[:, 1], np.zeros(len(pair)), np.zeros(len(pair)), np.zeros(len(pair)), np.zeros(len(pair))))
-            out.append(_rows(3, row[at], row[at], n[at], l[at], h[at], pos[at]))
-        return pa.concat_tables(out) if out else _rows(1, row[:0], row[:0], n[:0], l[:0], h[:0], pos[:0])
+            first.append(a)
+            second.append(a + gap)
+        rows, shared = np.unique(row, return_counts=True)
+        release()
+        at = np.flatnonzero(np.repeat(sizes > short, sizes))
+        return pa.concat_tables(
+            [
+                _counted(1, row, n, p, np.concatenate(first), np.concatenate(second), percent),
+                _rows(2, rows, rows, shared, shared),
+                _rows(3, row[at], row[at], n[at], p[at], h[at], end[at]),
+            ]
+        )
 
     return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text", 2 * MB):
+    for batch in sliced(batches, "text", MB):
         doc, h = shingles(*packed(batch.column("text")), size)
-        begin = np.searchsorted(doc, np.arange(batch.num_rows + 1)).tolist()
-        blobs = [h[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(blobs, pa.binary())], names=["row", "words"])
-
-
-def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        good = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(p, q, assume_unique=True))
-            good.append(100 * common >= percent * (len(p) + len(q) - common))
-        keep = np.array(good, bool)
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["u", "v"])
+        begin = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
+        words = pa.ListArray.from_arrays(pa.array(begin), pa.array(h.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(ROW), words], names=["row", "words"])
+    release()
 
 
 def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
@@ -282,10 +303,12 @@ def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataF
     wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
     if wanted.count() <= BROADCAST_ROWS:  # otherwise texts and rows meet in a shuffle
         wanted = F.broadcast(wanted)
-    sets = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi").mapInArrow(lambda it: _sets(it, size), "row long, words binary")
+    sets = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi").mapInArrow(lambda it: _sets(it, size), "row long, words array<long>")
+    # sets are compared in the JVM: no pair of them crosses to Python
     one = pairs.join(sets.select(F.col("row").alias("a"), F.col("words").alias("x")), "a")
-    two = one.join(sets.select(F.col("row").alias("b"), F.col("words").alias("y")), "b").select("a", "b", "x", "y")
-    return two.mapInArrow(lambda it: _verified(it, percent), "u long, v long")
+    two = one.join(sets.select(F.col("row").alias("b"), F.col("words").alias("y")), "b")
+    two = two.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("common"))
+    return two.where(f"100 * common >= {percent} * (nx + ny - common)").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def ngram_join(
@@ -294,13 +317,22 @@ def ngram_join(
     """(documents: _row, id, n_shingles; members: node, root): nodes are the `_row`s of linked documents."""
     _, total = text_bytes(docs, text_col)
     named = docs.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    buckets = min(pieces(total, 8 * MB, 16), 4096)
-    sent = named.mapInArrow(_sent(frequent(docs, text_col, size), buckets, size, percent, 1_000_000), ENTRY)
+    buckets = min(pieces(total, 16 * MB, 16), 4096)
+    sent = named.mapInArrow(_sent(frequent(docs, text_col, size), buckets, size, percent, 300_000), ENTRY)
     met = cut(sent.groupBy("bucket").applyInArrow(_met(percent, short), PAIR))
     every = met.where("kind = 0").select(F.col("a").alias(ROW), F.col("b").alias("id"), F.col("n").cast("long").alias("n_shingles"), F.col("hash").alias("same"))
     copies = every.where(F.col("same") != F.col(ROW)).select(F.col(ROW).alias("u"), F.col("same").alias("v"))
-    counted = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("l").alias("l")).where("n >= l").select("a", "b", "n")
-    tried = cut(counted.unionByName(met.where("kind = 2").select("a", "b", F.lit(0).cast("long").alias("n"))).groupBy("a", "b").agg(F.max("n").alias("n")))
+    shared = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("p").alias("need"))
+    overlap = lambda x, y: F.expr(f"cast((({percent} * ({x} + {y})) + {99 + percent}) div {100 + percent} as int)")
+    need = lambda na, pa_, nb, pb: F.greatest(F.lit(1), overlap(na, nb) - F.greatest(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb)))
+    reach = met.where("kind = 2").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("common"))
+    entries = met.where("kind = 3").select(F.col("a").alias("row"), "n", "p", "hash", "end").join(reach, "row")
+    entries = cut(entries.select("row", "n", "p", "hash", "end", (F.col("n") - F.col("p") + F.col("common")).alias("reach")))
+    pivot = entries.groupBy("hash").agg(F.max(F.struct((F.col("reach") / F.col("n")).alias("share"), F.col("n").alias("nb"), F.col("row").alias("to"), F.col("p").alias("pb"))).alias("x"))
+    spokes = entries.join(pivot.select("hash", "x.to", "x.nb", "x.pb"), "hash").where("row <> to").where(overlap("n", "nb") <= F.least("n", "nb"))
+    spokes = spokes.groupBy(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.max(need("n", "p", "nb", "pb")).alias("need"))
+    # a spoke is tried on half of what it needs, since pivots differ and short lists are apart; long lists are gone through below
+    tried = cut(shared.where("n >= need").select("a", "b", "n").unionByName(spokes.where("2 * n >= need").select("a", "b", "n")).groupBy("a", "b").agg(F.sum("n").alias("n")))
     # first each document with the one it shares most with
     ends = tried.select("a", "b", "n").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
     best = ends.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
@@ -308,21 +340,17 @@ def ngram_join(
     # then what still stands in different components
     roots = lambda df, c, r: df.join(found.select(F.col("node").alias(c), F.col("root").alias(r)), c, "left").withColumn(r, F.coalesce(r, c))
     rest = roots(roots(tried.join(best, ["a", "b"], "left_anti"), "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b")
-    placed = roots(met.where("kind = 3").select(F.col("a").alias("row"), "n", "l", "hash", "pos"), "row", "root")
-    mixed = placed.groupBy("hash").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q").select("hash")
+    placed = roots(entries, "row", "root")
+    mixed = placed.groupBy("hash").agg(F.min("root").alias("c"), F.max("root").alias("d")).where("c < d").select("hash")
     left = placed.join(mixed, "hash", "left_semi")
-    x = left.select("hash", F.col("row").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("l").alias("la"), F.col("pos").alias("pa"))
-    y = left.select("hash", F.col("row").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("l").alias("lb"), F.col("pos").alias("pb"))
-    need = lambda n: F.ceil(F.lit(percent) * F.col(n) / 100)
-    pairs = (
-        x.join(y, "hash").where("ra <> rb and a < b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        .withColumn("l", F.greatest("la", "lb"))
-        .where((F.col("pa") < F.col("na") - need("na") + F.col("l")) & (F.col("pb") < F.col("nb") - need("nb") + F.col("l")))
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("l").alias("l"))
-    )
+    x = left.select("hash", F.col("row").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("reach").alias("xa"), F.col("end").alias("ea"))
+    y = left.select("hash", F.col("row").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("reach").alias("xb"), F.col("end").alias("eb"))
+    bound = F.when(F.col("ea") < F.col("eb"), F.col("xa")).when(F.col("ea") > F.col("eb"), F.col("xb")).otherwise(F.greatest("xa", "xb"))
+    fits = (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & (overlap("na", "nb") <= F.least("na", "nb", bound))
+    pairs = x.join(y, "hash").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max(need("na", "pa", "nb", "pb")).alias("need"))
     # a pair may also share shingles of short lists, counted before
-    before = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n0"))
-    more = pairs.join(before, ["a", "b"], "left").where("n + coalesce(n0, 0) >= l").select("a", "b")
+    before = shared.select("a", "b", F.col("n").alias("n0"))
+    more = pairs.join(before, ["a", "b"], "left").where("n + coalesce(n0, 0) >= need").select("a", "b")
     stars = found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
     links = stars.unionByName(_links(rest.unionByName(more).distinct(), named, size, percent))
     return every.select(ROW, "id", "n_shingles"), components(links)
@@ -347,8 +375,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **k
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, less those whose component keeps another row."""
-    gone = classes(docs, id_col, text_col).where(~F.col("stays")).select(F.col(ROW).alias("_gone"))
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(gone, F.col(ROW) == F.col("_gone"), "left_anti").drop(ROW)
+    row, there = free(ROW, docs.columns), free("_gone", docs.columns)
+    gone = classes(docs, id_col, text_col).where(~F.col("stays")).select(F.col(ROW).alias(there))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, F.col(row) == F.col(there), "left_anti").drop(row)
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
