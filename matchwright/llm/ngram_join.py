@@ -327,7 +327,7 @@ def ngram_join(
     need = lambda na, pa_, nb, pb: F.greatest(F.lit(1), overlap(na, nb) - F.greatest(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb)))
     reach = met.where("kind = 2").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("common"))
     entries = met.where("kind = 3").select(F.col("a").alias("row"), "n", "p", "hash", "end").join(reach, "row")
-    entries = cut(entries.select("row", "n", "p", "hash", "end", (F.col("n") - F.col("p") + F.col("common")).alias("reach")))
+    entries = cut(entries.select("row", "n", "p", "hash", "end", "common", (F.col("n") - F.col("p") + F.col("common")).alias("reach")))
     pivot = entries.groupBy("hash").agg(F.max(F.struct((F.col("reach") / F.col("n")).alias("share"), F.col("n").alias("nb"), F.col("row").alias("to"), F.col("p").alias("pb"))).alias("x"))
     spokes = entries.join(pivot.select("hash", "x.to", "x.nb", "x.pb"), "hash").where("row <> to").where(overlap("n", "nb") <= F.least("n", "nb"))
     spokes = spokes.groupBy(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.max(need("n", "p", "nb", "pb")).alias("need"))
@@ -343,14 +343,18 @@ def ngram_join(
     placed = roots(entries, "row", "root")
     mixed = placed.groupBy("hash").agg(F.min("root").alias("c"), F.max("root").alias("d")).where("c < d").select("hash")
     left = placed.join(mixed, "hash", "left_semi")
-    x = left.select("hash", F.col("row").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("reach").alias("xa"), F.col("end").alias("ea"))
-    y = left.select("hash", F.col("row").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("reach").alias("xb"), F.col("end").alias("eb"))
-    bound = F.when(F.col("ea") < F.col("eb"), F.col("xa")).when(F.col("ea") > F.col("eb"), F.col("xb")).otherwise(F.greatest("xa", "xb"))
+    x = left.select("hash", F.col("row").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("common").alias("ca"), F.col("end").alias("ea"))
+    y = left.select("hash", F.col("row").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("common").alias("cb"), F.col("end").alias("eb"))
+    # of the prefix that ends first: what lies behind it, and the prefix shingles that both can share
+    behind_a, behind_b = F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")
+    behind = F.when(F.col("ea") < F.col("eb"), behind_a).when(F.col("ea") > F.col("eb"), behind_b).otherwise(F.greatest(behind_a, behind_b))
+    bound = behind + F.least("ca", "cb")
     fits = (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & (overlap("na", "nb") <= F.least("na", "nb", bound))
-    pairs = x.join(y, "hash").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max(need("na", "pa", "nb", "pb")).alias("need"))
+    pairs = x.join(y, "hash").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max(F.greatest(F.lit(1), overlap("na", "nb") - behind)).alias("need"))
     # a pair may also share shingles of short lists, counted before
-    before = shared.select("a", "b", F.col("n").alias("n0"))
-    more = pairs.join(before, ["a", "b"], "left").where("n + coalesce(n0, 0) >= need").select("a", "b")
+    more = pairs.where("n >= need").select("a", "b").unionByName(
+        pairs.where("n < need").join(shared.select("a", "b", F.col("n").alias("n0")), ["a", "b"]).where("n + n0 >= need").select("a", "b")
+    )
     stars = found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
     links = stars.unionByName(_links(rest.unionByName(more).distinct(), named, size, percent))
     return every.select(ROW, "id", "n_shingles"), components(links)
