@@ -1,39 +1,45 @@
 """A probabilistic suffix tree over words, and scores of whole texts by it.
 
 Tokens are words, and one end for each text; their events are the words of the training texts and one unknown word. The
-tree's alphabet is the frequent words (at least `FREQUENT` of all tokens, so 1 / FREQUENT of them at most), one symbol for
-every other word, a begin and an end. A context of up to `DEPTH` symbols is retained when its next-symbol distribution
-diverges from that of the context one symbol shorter (count times Kullback-Leibler divergence above a threshold), and
-with it all its suffixes. Distributions are smoothed towards the shorter context in proportion to the number of symbols
-seen after it (Witten-Bell); a token is scored by the longest retained suffix of what precedes it. A word that is not
-frequent shares the probability of its symbol by its count, less a discount that goes to the unknown word, so the
-events after any context sum to one.
-
-Counting words is one blob exchange: texts are dealt into parts, a part sends the hash and training count of each distinct
-word by bucket, and a bucket returns the corpus counts of the words that it was asked for. No vocabulary is gathered.
-The driver sees the frequent words and the contexts and pairs with at least `SHARE` of all occurrences, DEPTH / SHARE of
-them at most whatever the corpus.
+tree's alphabet is the frequent words (at least `FREQUENT` of all tokens), one symbol for every other word, a begin and an
+end. A context of up to `DEPTH` symbols that is seen `LEAST` times, at any size of the corpus, is retained when its
+next-symbol distribution diverges from that of the context one symbol shorter (count times Kullback-Leibler divergence
+above a threshold), and with it all its suffixes. Distributions are smoothed towards the shorter context in proportion to
+the number of symbols seen after it (Witten-Bell); a token is scored by the longest retained suffix of what precedes it.
+Every pair of context and symbol counts, those seen once too. A word that is not frequent shares the probability of its
+symbol by its count, less a discount that goes to the unknown word, so the events after any context sum to one.
+
+The model is never in one place. Texts are dealt into parts, and everything is counted by blob exchanges: a part sends the
+hashes and training counts of its distinct items by bucket, and a bucket returns the corpus counts of what it was asked
+for. Words come first, then runs of two symbols, then those of three and four; a run is asked for only where the context in
+it can have `LEAST` occurrences, which loses none, as a run is seen no more often than what it holds. The count of a run is
+both that of a context and that of a (context, symbol) pair. A last exchange sums for each context what its occurrences
+give: one over the pair's count (the number of symbols seen after it) and the logarithm of the two shares (the
+divergence). The driver sees sums only.
 
 Cases: a null or empty text is its end alone; without training rows all events are uniform and the base is as its formula
-says; rows that repeat count each time; a null id trains. Empty tables give empty results. Words are told apart by
-64-bit hashes.
+says; rows that repeat count each time; a null id trains. Empty tables give empty results. Words, runs and contexts are
+told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import gc
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import MB, Rolling, cut, lowered, mix, packed, pieces, sliced, text_bytes, words_of
+from matchwright.llm.common import BASE_A, BASE_B, MB, Rolling, cut, lowered, mix, packed, pieces, sliced, text_bytes, words_of
 
 DEPTH, BITS = 3, 14
-FREQUENT, LEAST, SHARE, DIVERGES = 1e-4, 20, 5e-7, 12.0
+FREQUENT, LEAST, DIVERGES = 1e-4, 20, 12.0
 BEGIN, OTHER, END, FIRST = 0, 1, 2, 3  # symbols; frequent words from FIRST on
 SENT = "kind int, bucket int, part int, keys binary, counts binary"
+WORDS, TWOS, LONGER, WEIGHED = 0, 10, 11, 12  # what a part is told
 ONES = [(1 << (BITS * d)) - 1 for d in range(DEPTH + 1)]
 
 
@@ -63,11 +69,6 @@ def chained(symbol: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarra
     return text[at], length, context, row[at]
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u, inv = np.unique(keys, return_inverse=True)
-    return u, np.bincount(inv, weights=counts, minlength=len(u)).astype(np.int64)
-
-
 def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(order by bucket and key, bounds of the buckets)."""
     b = (mix(keys) >> np.uint64(32)) % np.uint64(buckets)
@@ -131,47 +132,240 @@ def _met(t: pa.Table) -> pa.Table:
     return pa.table({"kind": pa.array(cols[0], pa.int32()), "bucket": pa.array(cols[1], pa.int32()), "part": pa.array(cols[2], pa.int32()), "keys": pa.array(cols[3], pa.binary()), "counts": pa.array(cols[4], pa.binary())})
 
 
-def _symbols(u: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The symbol of each word hash."""
-    if not len(frequent) or not len(u):
-        return np.full(len(u), OTHER, np.uint64)
-    i = np.minimum(np.searchsorted(frequent, u), len(frequent) - 1)
-    return np.where(frequent[i] == u, i + FIRST, OTHER).astype(np.uint64)
+def _put(out: dict[str, list], kind: int, part: int, buckets: int, keys: np.ndarray, *values: np.ndarray) -> None:
+    """Adds a row for each bucket: keys, and their values one array after the other."""
+    order, bounds = _by_bucket(keys, buckets)
+    for b in range(buckets):
+        if bounds[b + 1] > bounds[b]:
+            sel = order[bounds[b] : bounds[b + 1]]
+            for k, v in zip(out, (kind, b, part, keys[sel].tobytes(), b"".join(x[sel].tobytes() for x in values))):
+                out[k].append(v)
+
+
+def _table(out: dict[str, list]) -> pa.Table:
+    return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))})
+
 
+def _none() -> dict[str, list]:
+    return {"kind": [], "bucket": [], "part": [], "keys": [], "counts": []}
+
+
+def _told(right: pa.Table, kind: int, keys: np.ndarray, buckets: int, kept: type) -> np.ndarray:
+    """What the buckets answered to a part's keys."""
+    out = np.zeros(len(keys), np.int64)
+    mine = right.filter(pa.array(right.column("kind").to_numpy() == kind)) if right.num_rows else right
+    if len(keys) and mine.num_rows:
+        blobs = mine.column("counts").to_pylist()
+        order, _ = _by_bucket(keys, buckets)
+        out[order] = np.concatenate([np.frombuffer(blobs[i], kept) for i in np.argsort(mine.column("bucket").to_numpy(), kind="stable")])
+    return out
+
+
+@dataclass
+class Corpus:
+    """What the driver knows: tokens, distinct events and ends; tokens and kinds of the other words, their discount; frequent words."""
+
+    tokens: int
+    kinds: int
+    ends: int
+    least: float
+    other_n: int
+    other_v: int
+    off: float
+    frequent: int
+
+    @property
+    def alphabet(self) -> int:
+        return FIRST + self.frequent
+
+
+class Part:
+    """The symbols of a part's texts in a row, each text between a begin and an end, and the counts told so far."""
+
+    def __init__(self, t: pa.Table, right: pa.Table, corpus: Corpus, buckets: int) -> None:
+        self.right, self.corpus, self.buckets = right, corpus, buckets
+        _, _, _, u, self.inv, self.doc = _tokens(t)
+        self.count = _told(right, WORDS, u, buckets, np.int64)
+        often = self.count >= corpus.least
+        self.symbol = np.where(often, u, np.uint64(OTHER))
+        n = t.num_rows
+        size = np.bincount(self.doc, minlength=n) + 2
+        base = np.append(0, np.cumsum(size))[:-1]
+        self.row = np.full(int(size.sum()), END, np.uint64)
+        self.row[base] = BEGIN
+        place = base[self.doc] + 1 + np.arange(len(self.doc)) - (base - 2 * np.arange(n))[self.doc]
+        self.row[place] = self.symbol[self.inv]
+        self.text = np.repeat(np.arange(n), size)
+        self.token = np.ones(len(self.row), bool)
+        self.token[base] = False
+        self.word = np.zeros(len(self.row), bool)
+        self.word[place] = often[self.inv]
+        self.train = t.column("train").to_numpy().astype(bool)[self.text] & self.token
+        one = np.full(len(self.row), corpus.ends, np.int64)
+        one[place] = np.where(often, self.count, corpus.other_n)[self.inv]
+        # counts[L] and keys[L]: of the L symbols that end here, the nearest first in the key; known[d]: the d symbols before are a context
+        self.counts = [None, one, *[np.zeros(len(self.row), np.int64) for _ in range(DEPTH)]]
+        far = mix(self.row + np.uint64(BASE_B))
+        self.keys = [None, far]
+        for k in range(1, DEPTH + 1):
+            self.keys.append(mix(self.keys[-1] * np.uint64(BASE_A) + self.before(far, k)))
+        self.known = [self.token, self.token & (self.before(one, 1) >= LEAST)]
+
+    @staticmethod
+    def before(x: np.ndarray, k: int) -> np.ndarray:
+        """Each place has what stands k places before; what wraps around is never looked at."""
+        return np.roll(x, k)
+
+    def extend(self, length: int) -> None:
+        """Marks the contexts of `length` symbols that are seen often enough, or can be where their count is not told yet."""
+        inner = self.token & self.before(self.word, 1) & self.before(self.known[length - 1], 1)
+        self.known.append(inner & (self.before(self.counts[length], 1) >= LEAST))
+
+    def asked(self, *lengths: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(distinct keys, index of each place among them, places) of the runs of such lengths."""
+        places = [np.flatnonzero(self.known[n - 1]) for n in lengths]
+        u, inv = np.unique(np.concatenate([self.keys[n][at] for n, at in zip(lengths, places)]), return_inverse=True)
+        return u, inv, places
+
+    def twos(self):
+        return self.asked(2)
+
+    def longer(self):
+        """Runs of three, and those of four whose two inner contexts of two are known."""
+        self.learn(TWOS, self.twos(), 2)
+        self.extend(2)
+        self.known.append(self.known[2] & self.before(self.known[2], 1) & self.before(self.word, 1))
+        return self.asked(3, 4)
+
+    def learn(self, kind: int, asked: tuple, *lengths: int) -> None:
+        u, inv, places = asked
+        n, at = _told(self.right, kind, u, self.buckets, np.uint32)[inv], 0
+        for length, place in zip(lengths, places):
+            self.counts[length][place] = n[at : at + len(place)]
+            at += len(place)
+
+    def whole(self) -> None:
+        """All counts, and the contexts that are seen often enough."""
+        self.learn(LONGER, self.longer(), 3, 4)
+        del self.known[3]
+        self.extend(3)
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(distinct keys of contexts, first occurrence among the places, index of each place, places by length)."""
+        places = [np.flatnonzero(self.known[d]) for d in range(1, DEPTH + 1)]
+        u, first, inv = np.unique(np.concatenate([self.keys[d + 1][at - 1] for d, at in enumerate(places)]), return_index=True, return_inverse=True)
+        return u, first, inv, places
+
+    def seen(self, d: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(occurrences of the symbol after its context of d symbols, of that context)."""
+        return self.counts[d + 1][at], self.counts[d][at - 1] if d else np.full(len(at), self.corpus.tokens)
+
+
+def _asking(what: str, corpus: Corpus, buckets: int):
+    """A part asks for the counts of its runs, and gives its own."""
 
-def _contexts(frequent: np.ndarray):
-    """Counts of (context, symbol) for all contexts of every training token, summed in the task."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = _none()
+        if left.num_rows:
+            part = Part(left, right, corpus, buckets)
+            u, inv, places = getattr(part, what)()
+            n = np.bincount(inv, weights=part.train[np.concatenate(places)], minlength=len(u))
+            _put(out, 0, left.column("part")[0].as_py(), buckets, u, n.astype(np.uint32))
+        return _table(out)
+
+    return run
+
+
+def _answered(kind: int):
+    def run(t: pa.Table) -> pa.Table:
+        keys, counts, part = t.column("keys").to_pylist(), t.column("counts").to_pylist(), t.column("part").to_pylist()
+        out, at = _none(), 0
+        u, inv = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in keys]), return_inverse=True)
+        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(x, np.uint32) for x in counts]), minlength=len(u)).astype(np.uint32)
+        for x, p in zip(keys, part):
+            n = len(x) // 8
+            for k, v in zip(out, (kind, t.column("bucket")[0].as_py(), p, b"", total[inv[at : at + n]].tobytes())):
+                out[k].append(v)
+            at += n
+        return _table(out)
+
+    return run
+
+
+def _weighing(corpus: Corpus, buckets: int):
+    """A part sends for each of its contexts: the shorter one, and its share of the number of symbols and of the divergence."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = _none()
+        if left.num_rows:
+            part = Part(left, right, corpus, buckets)
+            part.whole()
+            u, first, inv, places = part.contexts()
+            above, kinds, gain = [], [], []
+            for d, at in enumerate(places, 1):
+                (n, total), (m, whole), learnt = part.seen(d, at), part.seen(d - 1, at), part.train[at]
+                above.append(part.keys[d - 1][at - 1] if d > 1 else np.zeros(len(at), np.uint64))
+                n, m = np.maximum(n, 1), np.maximum(m, 1)  # those not seen do not weigh
+                kinds.append(learnt / n)
+                gain.append(learnt * np.log(n / total * (whole / m)) if len(at) else np.zeros(0))
+            sums = [np.bincount(inv, weights=np.concatenate(x), minlength=len(u)) for x in (kinds, gain)]
+            _put(out, 0, left.column("part")[0].as_py(), buckets, u, np.concatenate(above)[first], *sums)
+        return _table(out)
+
+    return run
+
+
+def _split(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(blob) // 24
+    return np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.float64, n, 8 * n), np.frombuffer(blob, np.float64, n, 16 * n)
+
+
+def _weighed(t: pa.Table) -> pa.Table:
+    """A bucket's contexts in one row: the shorter ones, the numbers of symbols and the divergences."""
+    u, first, inv = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in t.column("keys").to_pylist()]), return_index=True, return_inverse=True)
+    above, kinds, gain = (np.concatenate(x) for x in zip(*map(_split, t.column("counts").to_pylist())))
+    kinds, gain = (np.bincount(inv, weights=x, minlength=len(u)) for x in (kinds, gain))
+    return _table({"kind": [0], "bucket": [t.column("bucket")[0].as_py()], "part": [-1], "keys": [u.tobytes()], "counts": [above[first].tobytes() + np.rint(kinds).tobytes() + gain.tobytes()]})
+
+
+def _lifting(buckets: int):
+    """The contexts one shorter than a retained one."""
 
     def run(batches):
-        held_k, held_n, size = [], [], 0
-        for batch in sliced(batches, "text", 4 * MB):
-            raw, offsets = packed(batch.column("text"))
-            raw = lowered(raw)
-            start, stop, doc = words_of(raw, offsets)
-            symbol = _symbols(Rolling(raw).of(start, stop), frequent) if len(start) else np.zeros(0, np.uint64)
-            _, length, context, nxt = chained(symbol, doc, batch.num_rows)
-            every = []
-            for d in range(DEPTH + 1):
-                has = length >= d
-                every.append((key_of(d, context[has] & np.uint64(ONES[d])) << np.uint64(BITS)) | nxt[has])
-            k, n = np.unique(np.concatenate(every), return_counts=True)
-            held_k.append(k)
-            held_n.append(n)
-            size += len(k)
-            if size > 2_000_000:
-                k, n = _summed(np.concatenate(held_k), np.concatenate(held_n))
-                held_k, held_n, size = [k], [n], len(k)
-                if size > 1_500_000:
-                    yield _pairs(k, n)
-                    held_k, held_n, size = [], [], 0
-        if held_k:
-            yield _pairs(*_summed(np.concatenate(held_k), np.concatenate(held_n)))
+        for batch in batches:
+            for blob in batch.column("counts").to_pylist():
+                above, _, gain = _split(blob)
+                u = np.unique(above[(gain >= DIVERGES) & (above > 0)])
+                out = _none()
+                _put(out, 1, -1, buckets, u)
+                yield from _table(out).to_batches()
 
     return run
 
 
-def _pairs(k: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array((k >> np.uint64(BITS)).view(np.int64)), pa.array((k & np.uint64(ONES[1])).astype(np.int32)), pa.array(n.astype(np.int64))], names=["context", "symbol", "n"])
+def _lifted(left: pa.Table, right: pa.Table) -> pa.Table:
+    """With a retained context the one that is one symbol shorter is retained."""
+    out = _none()
+    for key, blob in zip(left.column("keys").to_pylist(), left.column("counts").to_pylist()):
+        above, kinds, gain = _split(blob)
+        up = [np.frombuffer(x, np.uint64) for x in right.column("keys").to_pylist()]
+        gain = np.where(np.isin(np.frombuffer(key, np.uint64), np.concatenate(up)), np.inf, gain) if up else gain
+        for k, v in zip(out, (0, left.column("bucket")[0].as_py(), -1, key, above.tobytes() + kinds.tobytes() + gain.tobytes())):
+            out[k].append(v)
+    return _table(out)
+
+
+def _judged(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Tells each part the number of symbols after each of its contexts, negative where the context is not retained."""
+    out = _none()
+    if left.num_rows:
+        u = np.frombuffer(right.column("keys")[0].as_py(), np.uint64)
+        _, kinds, gain = _split(right.column("counts")[0].as_py())
+        value = np.where(gain >= DIVERGES, kinds, -kinds).astype(np.int32)
+        for key, p in zip(left.column("keys").to_pylist(), left.column("part").to_pylist()):
+            for k, v in zip(out, (WEIGHED, left.column("bucket")[0].as_py(), p, b"", value[np.searchsorted(u, np.frombuffer(key, np.uint64))].tobytes())):
+                out[k].append(v)
+    return _table(out)
 
 
 @dataclass
@@ -246,27 +440,31 @@ def grow(context: np.ndarray, symbol: np.ndarray, n: np.ndarray, total: np.ndarr
     return Tree(ctx[keep], np.log10(left[keep]), pair[held], np.log10(smooth[held]), alphabet)
 
 
-def _scored(tree: Tree, frequent: np.ndarray, totals: tuple[int, int, int], others: tuple[int, int, float], buckets: int, ident: str):
+def _scored(corpus: Corpus, buckets: int, ident: str):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({ident: pa.array([], left.schema.field(ident).type), **{k: pa.array([], v) for k, v in (("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))}})
-        big_n, big_v, ends = totals
-        raw, start, stop, u, inv, doc = _tokens(left)
-        order, _ = _by_bucket(u, buckets)
-        count = np.zeros(len(u), np.int64)
-        back = np.argsort(right.column("bucket").to_numpy(), kind="stable")
-        blobs = right.column("counts").to_pylist()
-        count[order] = np.concatenate([np.frombuffer(blobs[i], np.int64) for i in back]) if len(back) else np.zeros(0, np.int64)
-        under = big_n + 0.1 * (big_v + 1)
+        part, n = Part(left, right, corpus, buckets), left.num_rows
+        part.whole()
+        count, inv, doc = part.count, part.inv, part.doc
+        under = corpus.tokens + 0.1 * (corpus.kinds + 1)
         logs = np.log10((count + 0.1) / under)
         # a word's share of its symbol
-        symbol = _symbols(u, frequent)
-        other_n, other_v, off = others
-        within = np.where(count > 0, count - off, off * other_v + 1) / (other_n + 1) if other_v else np.ones(len(u))
-        share = np.where(symbol == OTHER, np.log10(within), 0.0)
-        text, length, context, nxt = chained(symbol[inv], doc, left.num_rows)
-        steps = np.bincount(text, weights=tree.steps(length, context, nxt), minlength=left.num_rows)
-        n = left.num_rows
+        off = corpus.off
+        within = np.where(count > 0, count - off, off * corpus.other_v + 1) / (corpus.other_n + 1) if corpus.other_v else np.ones(len(count))
+        share = np.where(part.symbol == OTHER, np.log10(np.where(part.symbol == OTHER, within, 1)), 0.0)
+        # each symbol after the empty context, then after ever longer ones; the longest retained one counts
+        kinds = corpus.frequent + int(corpus.other_n > 0) + int(corpus.ends > 0)
+        smooth = (part.counts[1] + max(kinds, 1) / (corpus.alphabet - 1)) / (corpus.tokens + max(kinds, 1))
+        best, at = smooth.copy(), 0
+        u, _, index, places = part.contexts()
+        told = _told(right, WEIGHED, u, buckets, np.int32)[index]
+        for d, place in enumerate(places, 1):
+            k, (seen, total) = told[at : at + len(place)], part.seen(d, place)
+            at += len(place)
+            smooth[place] = (seen + np.abs(k) * smooth[place]) / (total + np.abs(k))
+            best[place[k > 0]] = smooth[place[k > 0]]
+        steps = np.bincount(part.text[part.token], weights=np.log10(best[part.token]), minlength=n)
         words = np.bincount(doc, minlength=n)
         sums = lambda x: np.bincount(doc, weights=x[inv], minlength=n)
         return pa.table(
@@ -274,8 +472,8 @@ def _scored(tree: Tree, frequent: np.ndarray, totals: tuple[int, int, int], othe
                 ident: left.column(ident),
                 "train": left.column("train"),
                 "n_tokens": pa.array(words + 1),
-                "n_known": pa.array(np.rint(sums((count > 0).astype(float))).astype(np.int64) + int(ends > 0)),
-                "base_score": pa.array(sums(logs) + np.log10((ends + 0.1) / under)),
+                "n_known": pa.array(np.rint(sums((count > 0).astype(float))).astype(np.int64) + int(corpus.ends > 0)),
+                "base_score": pa.array(sums(logs) + np.log10((corpus.ends + 0.1) / under)),
                 "score": pa.array(steps + sums(share)),
             }
         )
@@ -283,6 +481,12 @@ def _scored(tree: Tree, frequent: np.ndarray, totals: tuple[int, int, int], othe
     return run
 
 
+def _swept(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of exchanges that are over: it does so once the driver has collected their handles."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = 6 * MB) -> DataFrame:
     """id, train boolean, n_tokens, n_known, train_tokens, base_score, score; `train` says which rows to learn from."""
     _, size = text_bytes(docs, text_col)
@@ -299,38 +503,41 @@ def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id",
 
     row = met.where("kind = 2").select("counts").mapInArrow(stats, "a long, b long, c long").agg(F.sum("a"), F.sum("b"), F.sum("c")).first()
     words, distinct, ends = (int(x or 0) for x in row)
-    totals = (words + ends, distinct + int(ends > 0), ends)
-    least = max(2, FREQUENT * totals[0], totals[0] / ((1 << BITS) - FIRST))
+    tokens = words + ends
+    least = max(2, FREQUENT * tokens)
 
     def sorted_out(batches):
-        """Words that are frequent, and of the others: tokens, distinct words, those seen once and twice (hash null)."""
-        rest = np.zeros(4, np.int64)
+        """Of the words that are not frequent: tokens and distinct words; the words seen once and twice, and the frequent ones."""
         for batch in batches:
-            for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                u, n = np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)
-                many = n >= least
-                few = n[~many]
-                rest += [few.sum(), len(few), (few == 1).sum(), (few == 2).sum()]
-                m = int(many.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(u[many].view(np.int64)), pa.array([None] * m, pa.list_(pa.int64()))], names=["h", "rest"])
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([rest.tolist()], pa.list_(pa.int64()))], names=["h", "rest"])
-
-    got = met.where("kind = 1").select("keys", "counts").mapInArrow(sorted_out, "h long, rest array<long>").toArrow()
-    frequent = np.sort(np.array([h for h in got.column("h").to_pylist() if h is not None], np.int64).view(np.uint64))
-    other_n, other_v, once, twice = np.sum([r for r in got.column("rest").to_pylist() if r is not None] or [[0] * 4], axis=0).tolist()
-    others = (other_n, other_v, once / (once + 2 * twice) if once and twice else 0.5)
-    named = docs.where(train).select(F.col(text_col).alias("text"))
-    pairs = cut(named.mapInArrow(_contexts(frequent), "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")))
-    sums = pairs.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).where(F.col("total") >= max(LEAST, SHARE * totals[0]))
-    kept = pairs.where(F.col("n") >= max(2, SHARE * totals[0])).join(sums, "context").toArrow()
-    x = {c: kept.column(c).to_numpy() for c in kept.column_names}
-    tree = grow(x["context"].view(np.uint64), x["symbol"], x["n"], x["total"], x["kinds"], FIRST + len(frequent))
+            for counts in batch.column("counts").to_pylist():
+                n = np.frombuffer(counts, np.int64)
+                few = n[n < least]
+                yield pa.RecordBatch.from_arrays([pa.array([int(v)]) for v in (few.sum(), len(few), (n == 1).sum(), (n == 2).sum(), len(n) - len(few))], names=list("abcde"))
+
+    row = met.where("kind = 1").select("counts").mapInArrow(sorted_out, "a long, b long, c long, d long, e long").agg(*[F.sum(c) for c in "abcde"]).first()
+    other_n, other_v, once, twice, frequent = (int(x or 0) for x in row)
+    corpus = Corpus(tokens, distinct + int(ends > 0), ends, least, other_n, other_v, once / (once + 2 * twice) if once and twice else 0.5, frequent)
+
+    def told(function, schema, *answers):
+        back = reduce(DataFrame.unionAll, [x.where(F.col("part") >= 0).select("kind", "bucket", "part", "counts") for x in answers])
+        return placed.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(function, schema)
+
+    answers = [met.where(F.col("kind") == WORDS)]
+    for kind, what in ((TWOS, "twos"), (LONGER, "longer")):
+        asked = told(_asking(what, corpus, buckets), SENT, *answers)
+        answers.append(cut(asked.groupBy("bucket").applyInArrow(_answered(kind), SENT)))
+        _swept(docs.sparkSession)
+    asked = cut(told(_weighing(corpus, buckets), SENT, *answers))
+    held = cut(asked.groupBy("bucket").applyInArrow(_weighed, SENT))
+    for _ in range(DEPTH - 1):
+        up = held.select("counts").mapInArrow(_lifting(buckets), SENT)
+        held = cut(held.groupBy("bucket").cogroup(up.groupBy("bucket")).applyInArrow(_lifted, SENT))
+    answers.append(cut(asked.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(_judged, SENT)))
+    del asked, held, up
+    _swept(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    back = met.where("kind = 0").select("part", "bucket", "counts")
-    out = placed.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(
-        _scored(tree, frequent, totals, others, buckets, id_col), f"`{id_col}` {kind}, train boolean, n_tokens long, n_known long, base_score double, score double"
-    )
-    return out.withColumn("train_tokens", F.lit(totals[0]).cast("long"))
+    out = told(_scored(corpus, buckets, id_col), f"`{id_col}` {kind}, train boolean, n_tokens long, n_known long, base_score double, score double", *answers)
+    return out.withColumn("train_tokens", F.lit(tokens).cast("long"))
 
 
 def op6_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -290,6 +290,57 @@ def test_suffix_tree_scores(docs, empty):
     assert all(math.isfinite(r.score) and r.n_known == 0 for r in nothing)
 
 
+def plain_scores(texts, trained, least=2):
+    """The model written out: every run of up to four symbols counted in one dictionary."""
+    row = lambda t, sym: ["<", *[sym(w) for w in t], ">"]
+    count = collections.Counter(w for t in trained for w in t)
+    n = sum(count.values()) + len(trained)
+    sym = lambda w: w if count[w] >= least else "?"
+    rest = [c for c in count.values() if c < least]
+    once, twice = sum(c == 1 for c in count.values()), sum(c == 2 for c in count.values())
+    off = once / (once + 2 * twice) if once and twice else 0.5
+    contexts = lambda r, i: [tuple(r[i - d : i]) for d in range(4) if d <= i and not {"<", "?"} & set(r[i - d + 1 : i])]
+    after = collections.defaultdict(collections.Counter)
+    for t in trained:
+        r = row(t, sym)
+        for i in range(1, len(r)):
+            for c in contexts(r, i):
+                after[c][r[i]] += 1
+    total = {c: sum(x.values()) for c, x in after.items()}
+    often = {c for c in after if total[c] >= 20}
+    kept = set()
+    for c in often - {()}:
+        if sum(k * math.log(k / total[c] / (after[c[1:]][s] / total[c[1:]])) for s, k in after[c].items()) >= suffix_tree_lm.DIVERGES:
+            kept |= {c[j:] for j in range(len(c))}
+    size = sum(c >= least for c in count.values()) + 2
+    out = []
+    for t in texts:
+        r, score = row(t, sym), 0.0
+        for i in range(1, len(r)):
+            p = 1 / size
+            for c in contexts(r, i):
+                if c == () or c in often:
+                    p = (after[c][r[i]] + len(after[c]) * p) / (total[c] + len(after[c]))
+                    best = p if c == () or c in kept else best  # noqa: F821
+            score += math.log10(best)
+            if r[i] == "?":
+                w = t[i - 1]
+                score += math.log10((count[w] - off if count[w] else off * len(rest) + 1) / (sum(rest) + 1)) if rest else 0
+        out.append(score)
+    return out, kept
+
+
+def test_suffix_tree_scores_equal_plain_counts(docs):
+    """Nothing is left out of the model: pairs seen once count, and each context seen 20 times can be retained."""
+    train = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))
+    got = {r.doc_id: r.score for r in suffix_tree_lm.suffix_tree_scores(docs, train, part_bytes=8192).collect()}
+    texts = unique(ROWS)
+    want, kept = plain_scores([words_of(t) for t in texts.values()], [words_of(r[1]) for r in ROWS if r[0] is None or r[0] % 3])
+    assert kept
+    for k, w in zip(texts, want):
+        assert abs(got[k] - w) < 1e-6 * max(1, abs(w)), k
+
+
 def test_tree_sums_to_one():
     rng = np.random.default_rng(4)
     symbol = rng.integers(3, 9, 4000).astype(np.uint64)
