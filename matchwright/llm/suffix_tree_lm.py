@@ -1,13 +1,13 @@
 """A probabilistic suffix tree over words, and scores of whole texts by it.
 
 Tokens are words, and one end for each text; their events are the words of the training texts and one unknown word. The
-tree's alphabet is the frequent words (at least `FREQUENT` of all tokens), one symbol for every other word, a begin and an
-end. A context of up to `DEPTH` symbols that is seen `LEAST` times, at any size of the corpus, is retained when its
+tree's alphabet is every word that the training texts hold `REPEATED` times at any size of the corpus, one symbol for all
+other words, a begin and an end. A context of up to `DEPTH` symbols that is seen `LEAST` times, at any size of the corpus, is retained when its
 next-symbol distribution diverges from that of the context one symbol shorter (count times Kullback-Leibler divergence
 above a threshold), and with it all its suffixes. Distributions are smoothed towards the shorter context in proportion to
 the number of symbols seen after it (Witten-Bell); a token is scored by the longest retained suffix of what precedes it.
-Every pair of context and symbol counts, those seen once too. A word that is not frequent shares the probability of its
-symbol by its count, less a discount that goes to the unknown word, so the events after any context sum to one.
+Every pair of context and symbol counts, those seen once too. A word that is no symbol of its own shares the probability
+of the common symbol by its count, less a discount that goes to the unknown word, so the events after any context sum to one.
 
 The model is never in one place. Texts are dealt into parts, and everything is counted by blob exchanges: a part sends the
 hashes and training counts of its distinct items by bucket, and a bucket returns the corpus counts of what it was asked
@@ -25,6 +25,7 @@ told apart by 64-bit hashes.
 from __future__ import annotations
 
 import gc
+import time
 from dataclasses import dataclass
 from functools import reduce
 
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 from matchwright.llm.common import BASE_A, BASE_B, MB, Rolling, cut, lowered, mix, packed, pieces, sliced, text_bytes, words_of
 
 DEPTH, BITS = 3, 14
-FREQUENT, LEAST, DIVERGES = 1e-4, 20, 12.0
-BEGIN, OTHER, END, FIRST = 0, 1, 2, 3  # symbols; frequent words from FIRST on
+REPEATED, LEAST, DIVERGES = 2, 20, 12.0
+BEGIN, OTHER, END, FIRST = 0, 1, 2, 3  # symbols; words from FIRST on
 SENT = "kind int, bucket int, part int, keys binary, counts binary"
 WORDS, TWOS, LONGER, WEIGHED = 0, 10, 11, 12  # what a part is told
 ONES = [(1 << (BITS * d)) - 1 for d in range(DEPTH + 1)]
@@ -50,7 +51,7 @@ def key_of(length: np.ndarray | int, context: np.ndarray) -> np.ndarray:
 def chained(symbol: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, context length, packed context, symbol) of every token, ends included; the nearest symbol lies lowest.
 
-    A context ends with a begin or with a word that is not frequent.
+    A context ends with a begin or with a word that is no symbol of its own.
     """
     count = np.bincount(doc, minlength=n_docs)
     base = np.append(0, np.cumsum(count + 2))[:-1]
@@ -69,11 +70,17 @@ def chained(symbol: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarra
     return text[at], length, context, row[at]
 
 
-def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order by bucket and key, bounds of the buckets)."""
-    b = (mix(keys) >> np.uint64(32)) % np.uint64(buckets)
-    order = np.lexsort((keys, b))
-    return order, np.searchsorted(b[order], np.arange(buckets + 1))
+def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the buckets begin and end in sorted keys: a bucket is a range of hashes."""
+    return np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
+
+
+def _zipped(*values: np.ndarray) -> bytes:
+    return pa.compress(b"".join(x.tobytes() for x in values), codec="zstd", asbytes=True)
+
+
+def _unzipped(blob: bytes, size: int) -> bytes:
+    return pa.decompress(blob, size, codec="zstd", asbytes=True)
 
 
 def _tokens(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -92,39 +99,30 @@ def _sent(buckets: int):
         part = t.column("part")[0].as_py()
         train = t.column("train").to_numpy().astype(np.float64)
         counts = np.bincount(inv, weights=train[doc], minlength=len(u)).astype(np.int64)
-        out: dict[str, list] = {"kind": [], "bucket": [], "part": [], "keys": [], "counts": []}
-
-        def put(kind: int, keys: np.ndarray, n: np.ndarray, size: type) -> None:
-            order, bounds = _by_bucket(keys, buckets)
-            for b in range(buckets):
-                if bounds[b + 1] > bounds[b]:
-                    sel = order[bounds[b] : bounds[b + 1]]
-                    for k, v in zip(out, (kind, b, part, keys[sel].tobytes(), n[sel].astype(size).tobytes())):
-                        out[k].append(v)
-
-        put(0, u, counts, np.uint32)
+        out = _none()
+        _put(out, 0, part, buckets, u, counts.astype(np.uint32))
         for k, v in zip(out, (2, 0, part, b"", np.array([train.sum()], np.int64).tobytes())):
             out[k].append(v)
-        return pa.table({"kind": pa.array(out["kind"], pa.int32()), "bucket": pa.array(out["bucket"], pa.int32()), "part": pa.array(out["part"], pa.int32()), "keys": pa.array(out["keys"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
+        return _table(out)
 
     return run
 
 
 def _met(t: pa.Table) -> pa.Table:
-    """Kind 0: corpus counts of the words of (part, bucket), in their order. 1: trained words and counts. 2: tokens, distinct, ends."""
+    """Kind 0: corpus counts of the words of (part, bucket), in their order. 1: counts of the trained words. 2: tokens, distinct, ends."""
     kind = t.column("kind").to_numpy()
     keys, counts, part = t.column("keys").to_pylist(), t.column("counts").to_pylist(), t.column("part").to_numpy()
     bucket, out = t.column("bucket")[0].as_py(), []
     mine = np.flatnonzero(kind == 0)
     if len(mine):
         u, inv = np.unique(np.concatenate([np.frombuffer(keys[i], np.uint64) for i in mine]), return_inverse=True)
-        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(counts[i], np.uint32) for i in mine]), minlength=len(u)).astype(np.int64)
+        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(_unzipped(counts[i], len(keys[i]) // 2), np.uint32) for i in mine]), minlength=len(u)).astype(np.int64)
         at = 0
         for i in mine:
             n = len(keys[i]) // 8
-            out.append((0, bucket, int(part[i]), b"", total[inv[at : at + n]].tobytes()))
+            out.append((0, bucket, int(part[i]), b"", _zipped(total[inv[at : at + n]])))
             at += n
-        out.append((1, bucket, -1, u[total > 0].tobytes(), total[total > 0].tobytes()))
+        out.append((1, bucket, -1, b"", total[total > 0].tobytes()))
         out.append((2, bucket, -1, b"", np.array([total.sum(), (total > 0).sum(), 0], np.int64).tobytes()))
     for i in np.flatnonzero(kind == 2):
         out.append((2, bucket, -1, b"", np.array([0, 0, np.frombuffer(counts[i], np.int64)[0]], np.int64).tobytes()))
@@ -133,13 +131,12 @@ def _met(t: pa.Table) -> pa.Table:
 
 
 def _put(out: dict[str, list], kind: int, part: int, buckets: int, keys: np.ndarray, *values: np.ndarray) -> None:
-    """Adds a row for each bucket: keys, and their values one array after the other."""
-    order, bounds = _by_bucket(keys, buckets)
-    for b in range(buckets):
-        if bounds[b + 1] > bounds[b]:
-            sel = order[bounds[b] : bounds[b + 1]]
-            for k, v in zip(out, (kind, b, part, keys[sel].tobytes(), b"".join(x[sel].tobytes() for x in values))):
-                out[k].append(v)
+    """Adds a row for each bucket of the sorted keys: them, and their values one array after the other."""
+    bounds = _bounds(keys, buckets)
+    for b in np.flatnonzero(np.diff(bounds)).tolist():
+        i, j = bounds[b], bounds[b + 1]
+        for k, v in zip(out, (kind, b, part, keys[i:j].tobytes(), _zipped(*[x[i:j] for x in values]))):
+            out[k].append(v)
 
 
 def _table(out: dict[str, list]) -> pa.Table:
@@ -153,30 +150,30 @@ def _none() -> dict[str, list]:
 def _told(right: pa.Table, kind: int, keys: np.ndarray, buckets: int, kept: type) -> np.ndarray:
     """What the buckets answered to a part's keys."""
     out = np.zeros(len(keys), np.int64)
-    mine = right.filter(pa.array(right.column("kind").to_numpy() == kind)) if right.num_rows else right
-    if len(keys) and mine.num_rows:
-        blobs = mine.column("counts").to_pylist()
-        order, _ = _by_bucket(keys, buckets)
-        out[order] = np.concatenate([np.frombuffer(blobs[i], kept) for i in np.argsort(mine.column("bucket").to_numpy(), kind="stable")])
+    if len(keys):
+        bounds = _bounds(keys, buckets)
+        for k, b, blob in zip(right.column("kind").to_pylist(), right.column("bucket").to_pylist(), right.column("counts").to_pylist()):
+            if k == kind:
+                i, j = bounds[b], bounds[b + 1]
+                out[i:j] = np.frombuffer(_unzipped(blob, int(j - i) * np.dtype(kept).itemsize), kept)
     return out
 
 
 @dataclass
 class Corpus:
-    """What the driver knows: tokens, distinct events and ends; tokens and kinds of the other words, their discount; frequent words."""
+    """What the driver knows: tokens, distinct events and ends; tokens and kinds of the other words, their discount; words that are symbols."""
 
     tokens: int
     kinds: int
     ends: int
-    least: float
     other_n: int
     other_v: int
     off: float
-    frequent: int
+    symbols: int
 
     @property
     def alphabet(self) -> int:
-        return FIRST + self.frequent
+        return FIRST + self.symbols
 
 
 class Part:
@@ -186,7 +183,7 @@ class Part:
         self.right, self.corpus, self.buckets = right, corpus, buckets
         _, _, _, u, self.inv, self.doc = _tokens(t)
         self.count = _told(right, WORDS, u, buckets, np.int64)
-        often = self.count >= corpus.least
+        often = self.count >= REPEATED
         self.symbol = np.where(often, u, np.uint64(OTHER))
         n = t.num_rows
         size = np.bincount(self.doc, minlength=n) + 2
@@ -281,10 +278,10 @@ def _answered(kind: int):
         keys, counts, part = t.column("keys").to_pylist(), t.column("counts").to_pylist(), t.column("part").to_pylist()
         out, at = _none(), 0
         u, inv = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in keys]), return_inverse=True)
-        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(x, np.uint32) for x in counts]), minlength=len(u)).astype(np.uint32)
+        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(_unzipped(x, len(k) // 2), np.uint32) for k, x in zip(keys, counts)]), minlength=len(u)).astype(np.uint32)
         for x, p in zip(keys, part):
             n = len(x) // 8
-            for k, v in zip(out, (kind, t.column("bucket")[0].as_py(), p, b"", total[inv[at : at + n]].tobytes())):
+            for k, v in zip(out, (kind, t.column("bucket")[0].as_py(), p, b"", _zipped(total[inv[at : at + n]]))):
                 out[k].append(v)
             at += n
         return _table(out)
@@ -309,23 +306,27 @@ def _weighing(corpus: Corpus, buckets: int):
                 kinds.append(learnt / n)
                 gain.append(learnt * np.log(n / total * (whole / m)) if len(at) else np.zeros(0))
             sums = [np.bincount(inv, weights=np.concatenate(x), minlength=len(u)) for x in (kinds, gain)]
-            _put(out, 0, left.column("part")[0].as_py(), buckets, u, np.concatenate(above)[first], *sums)
+            # a retained context gains in some part, which names the shorter one
+            _put(out, 0, left.column("part")[0].as_py(), buckets, u, np.where(sums[1] > 0, np.concatenate(above)[first], 0), *[x.astype(np.float32) for x in sums])
         return _table(out)
 
     return run
 
 
-def _split(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(blob) // 24
-    return np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.float64, n, 8 * n), np.frombuffer(blob, np.float64, n, 16 * n)
+def _split(key: bytes, blob: bytes) -> tuple[np.ndarray, ...]:
+    n = len(key) // 8
+    blob = _unzipped(blob, 16 * n)
+    return np.frombuffer(key, np.uint64), np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.float32, n, 8 * n), np.frombuffer(blob, np.float32, n, 12 * n)
 
 
 def _weighed(t: pa.Table) -> pa.Table:
     """A bucket's contexts in one row: the shorter ones, the numbers of symbols and the divergences."""
-    u, first, inv = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in t.column("keys").to_pylist()]), return_index=True, return_inverse=True)
-    above, kinds, gain = (np.concatenate(x) for x in zip(*map(_split, t.column("counts").to_pylist())))
+    keys, above, kinds, gain = (np.concatenate(x) for x in zip(*map(_split, t.column("keys").to_pylist(), t.column("counts").to_pylist())))
+    u, inv = np.unique(keys, return_inverse=True)
+    up = np.zeros(len(u), np.uint64)
+    up[inv[above > 0]] = above[above > 0]
     kinds, gain = (np.bincount(inv, weights=x, minlength=len(u)) for x in (kinds, gain))
-    return _table({"kind": [0], "bucket": [t.column("bucket")[0].as_py()], "part": [-1], "keys": [u.tobytes()], "counts": [above[first].tobytes() + np.rint(kinds).tobytes() + gain.tobytes()]})
+    return _table({"kind": [0], "bucket": [t.column("bucket")[0].as_py()], "part": [-1], "keys": [u.tobytes()], "counts": [_zipped(up, np.rint(kinds).astype(np.float32), gain.astype(np.float32))]})
 
 
 def _lifting(buckets: int):
@@ -333,8 +334,8 @@ def _lifting(buckets: int):
 
     def run(batches):
         for batch in batches:
-            for blob in batch.column("counts").to_pylist():
-                above, _, gain = _split(blob)
+            for key, blob in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
+                _, above, _, gain = _split(key, blob)
                 u = np.unique(above[(gain >= DIVERGES) & (above > 0)])
                 out = _none()
                 _put(out, 1, -1, buckets, u)
@@ -347,10 +348,10 @@ def _lifted(left: pa.Table, right: pa.Table) -> pa.Table:
     """With a retained context the one that is one symbol shorter is retained."""
     out = _none()
     for key, blob in zip(left.column("keys").to_pylist(), left.column("counts").to_pylist()):
-        above, kinds, gain = _split(blob)
+        u, above, kinds, gain = _split(key, blob)
         up = [np.frombuffer(x, np.uint64) for x in right.column("keys").to_pylist()]
-        gain = np.where(np.isin(np.frombuffer(key, np.uint64), np.concatenate(up)), np.inf, gain) if up else gain
-        for k, v in zip(out, (0, left.column("bucket")[0].as_py(), -1, key, above.tobytes() + kinds.tobytes() + gain.tobytes())):
+        gain = np.where(np.isin(u, np.concatenate(up)), np.float32(np.inf), gain) if up else gain
+        for k, v in zip(out, (0, left.column("bucket")[0].as_py(), -1, key, _zipped(above, kinds, gain))):
             out[k].append(v)
     return _table(out)
 
@@ -359,11 +360,10 @@ def _judged(left: pa.Table, right: pa.Table) -> pa.Table:
     """Tells each part the number of symbols after each of its contexts, negative where the context is not retained."""
     out = _none()
     if left.num_rows:
-        u = np.frombuffer(right.column("keys")[0].as_py(), np.uint64)
-        _, kinds, gain = _split(right.column("counts")[0].as_py())
+        u, _, kinds, gain = _split(right.column("keys")[0].as_py(), right.column("counts")[0].as_py())
         value = np.where(gain >= DIVERGES, kinds, -kinds).astype(np.int32)
         for key, p in zip(left.column("keys").to_pylist(), left.column("part").to_pylist()):
-            for k, v in zip(out, (WEIGHED, left.column("bucket")[0].as_py(), p, b"", value[np.searchsorted(u, np.frombuffer(key, np.uint64))].tobytes())):
+            for k, v in zip(out, (WEIGHED, left.column("bucket")[0].as_py(), p, b"", _zipped(value[np.searchsorted(u, np.frombuffer(key, np.uint64))]))):
                 out[k].append(v)
     return _table(out)
 
@@ -454,7 +454,7 @@ def _scored(corpus: Corpus, buckets: int, ident: str):
         within = np.where(count > 0, count - off, off * corpus.other_v + 1) / (corpus.other_n + 1) if corpus.other_v else np.ones(len(count))
         share = np.where(part.symbol == OTHER, np.log10(np.where(part.symbol == OTHER, within, 1)), 0.0)
         # each symbol after the empty context, then after ever longer ones; the longest retained one counts
-        kinds = corpus.frequent + int(corpus.other_n > 0) + int(corpus.ends > 0)
+        kinds = corpus.symbols + int(corpus.other_n > 0) + int(corpus.ends > 0)
         smooth = (part.counts[1] + max(kinds, 1) / (corpus.alphabet - 1)) / (corpus.tokens + max(kinds, 1))
         best, at = smooth.copy(), 0
         u, _, index, places = part.contexts()
@@ -484,7 +484,9 @@ def _scored(corpus: Corpus, buckets: int, ident: str):
 def _swept(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of exchanges that are over: it does so once the driver has collected their handles."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first collection only frees what still holds the handles
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = 6 * MB) -> DataFrame:
@@ -495,6 +497,8 @@ def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id",
     placed = placed.withColumn("part", F.pmod(F.xxhash64(F.lit(5), id_col, "text"), F.lit(parts)).cast("int"))
     met = cut(placed.groupBy("part").applyInArrow(_sent(buckets), SENT).groupBy("bucket").applyInArrow(_met, SENT))
 
+    _swept(docs.sparkSession)
+
     def stats(batches):
         for batch in batches:
             x = [np.frombuffer(b, np.int64) for b in batch.column("counts").to_pylist()]
@@ -504,19 +508,18 @@ def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id",
     row = met.where("kind = 2").select("counts").mapInArrow(stats, "a long, b long, c long").agg(F.sum("a"), F.sum("b"), F.sum("c")).first()
     words, distinct, ends = (int(x or 0) for x in row)
     tokens = words + ends
-    least = max(2, FREQUENT * tokens)
 
     def sorted_out(batches):
-        """Of the words that are not frequent: tokens and distinct words; the words seen once and twice, and the frequent ones."""
+        """Of the words that are no symbols: tokens and distinct words; the words seen once and twice, and those that are symbols."""
         for batch in batches:
             for counts in batch.column("counts").to_pylist():
                 n = np.frombuffer(counts, np.int64)
-                few = n[n < least]
+                few = n[n < REPEATED]
                 yield pa.RecordBatch.from_arrays([pa.array([int(v)]) for v in (few.sum(), len(few), (n == 1).sum(), (n == 2).sum(), len(n) - len(few))], names=list("abcde"))
 
     row = met.where("kind = 1").select("counts").mapInArrow(sorted_out, "a long, b long, c long, d long, e long").agg(*[F.sum(c) for c in "abcde"]).first()
-    other_n, other_v, once, twice, frequent = (int(x or 0) for x in row)
-    corpus = Corpus(tokens, distinct + int(ends > 0), ends, least, other_n, other_v, once / (once + 2 * twice) if once and twice else 0.5, frequent)
+    other_n, other_v, once, twice, symbols = (int(x or 0) for x in row)
+    corpus = Corpus(tokens, distinct + int(ends > 0), ends, other_n, other_v, once / (once + 2 * twice) if once and twice else 0.5, symbols)
 
     def told(function, schema, *answers):
         back = reduce(DataFrame.unionAll, [x.where(F.col("part") >= 0).select("kind", "bucket", "part", "counts") for x in answers])
@@ -530,7 +533,7 @@ def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id",
     asked = cut(told(_weighing(corpus, buckets), SENT, *answers))
     held = cut(asked.groupBy("bucket").applyInArrow(_weighed, SENT))
     for _ in range(DEPTH - 1):
-        up = held.select("counts").mapInArrow(_lifting(buckets), SENT)
+        up = held.select("keys", "counts").mapInArrow(_lifting(buckets), SENT)
         held = cut(held.groupBy("bucket").cogroup(up.groupBy("bucket")).applyInArrow(_lifted, SENT))
     answers.append(cut(asked.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(_judged, SENT)))
     del asked, held, up

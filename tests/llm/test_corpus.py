@@ -341,6 +341,14 @@ def test_suffix_tree_scores_equal_plain_counts(docs):
         assert abs(got[k] - w) < 1e-6 * max(1, abs(w)), k
 
 
+def test_rare_words_are_symbols(spark):
+    """25 occurrences in 300,000 tokens make a word a symbol and a context, as they would in a small corpus."""
+    rows = [(1, "x " * 300_000), (2, "p q z " * 25), (3, "p q"), (4, "q p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in suffix_tree_lm.suffix_tree_scores(docs, F.col("doc_id") < 3).collect()}
+    assert got[3] > got[4] + 1
+
+
 def test_tree_sums_to_one():
     rng = np.random.default_rng(4)
     symbol = rng.integers(3, 9, 4000).astype(np.uint64)
