@@ -209,6 +209,7 @@ ORACLE_SQL = {
     "l2_normalize": """WITH e AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * 3) AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS b FROM e)
 SELECT vec_id, round(v[1] / b, 6) AS first, round(sqrt(list_sum(list_transform(v, lambda x: (x / b) * (x / b)))), 6) AS norm, round(b, 6) AS before FROM n""",
     "cosine_pairs": w(VECTORS, "SELECT a.bb_id AS a_id, b.bb_id AS b_id, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM fv a, fv b WHERE a.side = 'A' AND b.side = 'B' AND a.bb_id % 64 = (b.bb_id - 1) % 64"),
+    "cosine_all_pairs": w(VECTORS, "SELECT a.bb_id AS a_id, b.bb_id AS b_id, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM fv a, fv b WHERE a.side = 'A' AND b.side = 'B'"),
     "topk_candidates": w(VECTORS + "," + NEAR, "SELECT a_id, b_id, round(cosine, 6) AS similarity, rank FROM near"),
     "topk_legacy_ranked": w(VECTORS + "," + NEAR, "SELECT a_id AS bb_id_A, b_id AS bb_id_B, rank, round(cosine, 6) AS sim_embedding FROM near"),
     **{f: w(SCORED, f"SELECT a_id, b_id, {r6(f)} FROM scored") for f in ("feature_brand", "feature_category", "feature_embedding", "feature_size", "feature_size_strict")},

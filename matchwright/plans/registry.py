@@ -278,6 +278,14 @@ def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
     return x.select("a_id", "b_id", r6(vec.cosine(c("x"), c("y"))).alias("cosine"))
 
 
+@query
+def cosine_all_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Every left vector with every right one."""
+    a, b = vector_sides(spark, d)
+    x = a.select(c("bb_id").alias("a_id"), c("embedding").alias("x")).crossJoin(b.select(c("bb_id").alias("b_id"), c("embedding").alias("y")))
+    return x.select("a_id", "b_id", r6(vec.cosine(c("x"), c("y"))).alias("cosine"))
+
+
 @query
 def topk_candidates(spark: SparkSession, d: str) -> DataFrame:
     return matching.topk(*vector_sides(spark, d), FIXTURE.k).select("a_id", "b_id", r6(c("similarity")).alias("similarity"), c("rank").cast("long").alias("rank"))

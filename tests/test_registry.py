@@ -45,6 +45,12 @@ def test_registry_is_whole(spark):
     assert registry.QUERIES["review_prompt"](spark, SF).where("prompt is null").count() == 0
 
 
+def test_cosine_of_every_pair(spark):
+    a, b = registry.vector_sides(spark, SF)
+    got = registry.QUERIES["cosine_all_pairs"](spark, SF).select("a_id", "b_id").distinct().count()
+    assert got == a.count() * b.count() > registry.QUERIES["cosine_pairs"](spark, SF).count()
+
+
 def test_stream_equals_batch(spark, tmp_path):
     raw = registry.raw(spark, SF).drop("side")
     raw.write.json(str(tmp_path / "in"))
