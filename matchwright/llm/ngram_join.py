@@ -9,9 +9,10 @@ set overlaps by its reach at most: what is left of it without the prefix shingle
 
 Prefix shingles meet in packed blobs. Sets that are equal within a map task join their first one at once. In a list of
 at most `short` documents all pairs are counted. In a longer list each document is paired with the list's pivot, the one of
-largest reach. Each document is then verified with the one it shares most with, and of all other pairs, those of the long
-lists included, only those matter that stand in different components and whose overlap the reach allows: a group of
-thousands of near copies costs a star, yet no link between different components is lost. Pairs are verified on whole sets.
+largest reach; lists with the same pivot are one family. Each document is then verified with the one it shares most with, and of
+all other pairs, those of the families included, only those matter that stand in different components and whose overlap the
+reach and the parity bits of the whole sets allow: a group of thousands of near copies costs a star, yet no link between
+different components is lost. Pairs are verified on whole sets.
 
 Cases: null texts and texts without words have an empty set and link with nothing; a text of fewer than five words is
 one shingle. Rows that share an id, or have none, are told apart by their place in the scan; a component is named by its
@@ -28,13 +29,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import MB, Rolling, cut, free, lowered, mix, packed, pieces, release, sliced, text_bytes, words_of
+from matchwright.llm.common import BASE_B, MB, Rolling, cut, free, lowered, mix, packed, pieces, release, sliced, text_bytes, words_of
 from matchwright.llm.components import components
 
 WORDS, PERCENT = 5, 75
 STEPS = (1, 2, 4, 8, 16)  # by how much a prefix may be lengthened
 FREQUENT, SEEN = 200_000, 2
 BROADCAST_ROWS = 2_000_000  # 16 MB of row numbers
+PARITY = 4  # 64-bit words of a set's parity bits
 ROW = "_row"
 
 
@@ -117,19 +119,28 @@ def needed(na: np.ndarray, pa_: np.ndarray, nb: np.ndarray, pb: np.ndarray, perc
 
 
 def choose(doc: np.ndarray, pos: np.ndarray, df: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """For each document the l of least estimated cost: list entries to read, and candidates to verify, weighted 1 to 8."""
+    """For each document the l of least estimated cost: an entry for each prefix shingle, and the candidates that the lists
+    bring, eight times as dear and fewer by l as each must be met l times. A shingle not known as frequent has one document."""
     need = least_overlap(n, percent)
     best, cost = np.ones(len(n), np.int64), np.full(len(n), np.inf)
+    others = np.maximum(df, 1) - 1
     for l in STEPS:
-        entries = np.bincount(doc, weights=np.where(pos < (n - need + l)[doc], df, 0), minlength=len(n))
-        now = entries * (1 + 8 / l)
+        met = np.bincount(doc, weights=np.where(pos < (n - need + l)[doc], others, 0), minlength=len(n))
+        now = (n - need + l) + met * 8 / l
         better = (now < cost) & (l <= need)
         best[better], cost[better] = l, now[better]
     return best
 
 
-ENTRY = "bucket int, rows binary, ids binary, n binary, p binary, end binary, doc binary, hash binary"
-KINDS = {"rows": np.int64, "ids": np.int64, "n": np.uint32, "p": np.uint32, "end": np.int64, "doc": np.uint32, "hash": np.uint64}
+def parities(doc: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
+    """PARITY words for each document: a bit for each of 64 PARITY classes of shingles, set where it holds an odd number of them."""
+    bit = (mix(h ^ np.uint64(BASE_B)) % np.uint64(64 * PARITY)).astype(np.int64)
+    odd = np.bincount(doc * (64 * PARITY) + bit, minlength=n_docs * 64 * PARITY) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64).reshape(n_docs, PARITY)
+
+
+ENTRY = "bucket int, rows binary, ids binary, n binary, p binary, end binary, doc binary, hash binary, bits binary"
+KINDS = {"rows": np.int64, "ids": np.int64, "n": np.uint32, "p": np.uint32, "end": np.int64, "doc": np.uint32, "hash": np.uint64, "bits": np.uint64}
 
 
 def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent: int, flush: int):
@@ -137,12 +148,12 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
     hot, hot_n = known
 
     def emit(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        shift, parts = 0, [[] for _ in range(6)]
-        for rows, ids, n, doc, h, sig in held:
-            for p, x in zip(parts, (rows, ids, n, doc + shift, h, sig)):
+        shift, parts = 0, [[] for _ in range(7)]
+        for rows, ids, n, doc, h, sig, bits in held:
+            for p, x in zip(parts, (rows, ids, n, doc + shift, h, sig, bits)):
                 p.append(x)
             shift += len(rows)
-        rows, ids, n, doc, h, sig = (np.concatenate(p) for p in parts)
+        rows, ids, n, doc, h, sig, bits = (np.concatenate(p) for p in parts)
         # equal sets within the task: the least (id, row) stands for them
         order = np.lexsort((rows, ids, n, sig[:, 1], sig[:, 0]))
         s = sig[order]
@@ -159,7 +170,7 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
             for k, kind in KINDS.items():
                 out[k].append(np.asarray(x.get(k, [])).astype(kind).tobytes())
 
-        put(-1 - int(rows[0]) % buckets, rows=rows, ids=ids, n=n, hash=rows[stands].astype(np.uint64))
+        put(-1 - int(rows[0]) % buckets, rows=rows, ids=ids, n=n, hash=rows[stands].astype(np.uint64), bits=bits.ravel())
         alone = stands == np.arange(len(stands))
         keep = alone[doc]
         doc, h = doc[keep], h[keep]
@@ -179,12 +190,10 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
         doc, h = doc[pick], h[pick]
         bucket = (h >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            if bounds[b + 1] > bounds[b]:
-                p = order[bounds[b] : bounds[b + 1]]
-                docs, index = np.unique(doc[p], return_inverse=True)
-                put(b, rows=rows[docs], ids=ids[docs], n=n[docs], p=prefix[docs], end=end[docs], doc=index, hash=h[p])
+        there, edge = np.unique(bucket[order], return_index=True)
+        for b, p in zip(there.tolist(), np.split(order, edge[1:])):
+            docs, index = np.unique(doc[p], return_inverse=True)
+            put(b, rows=rows[docs], ids=ids[docs], n=n[docs], p=prefix[docs], end=end[docs], doc=index, hash=h[p])
         yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int32()), *[pa.array(out[k], pa.binary()) for k in KINDS]], names=["bucket", *KINDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +206,7 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
             begin = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             sig = np.stack([sums[begin[1:]] - sums[begin[:-1]], other[begin[1:]] - other[begin[:-1]]], axis=1)
             ids = pc.fill_null(batch.column("id"), np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
-            held.append((batch.column(ROW).to_numpy(), ids, n, doc, h, sig))
+            held.append((batch.column(ROW).to_numpy(), ids, n, doc, h, sig, parities(doc, h, batch.num_rows)))
             count += len(h)
             if count > flush:
                 yield from emit(held)
@@ -210,10 +219,10 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
     return run
 
 
-PAIR = "kind int, a long, b long, n int, p int, hash long, end long"
+PAIR = "kind int, a long, b long, n int, p int, hash long, end long, bits array<long>"
 
 
-def _rows(kind: int, a, b, n, p, h=None, end=None) -> pa.Table:
+def _rows(kind: int, a, b, n, p, h=None, end=None, bits=None) -> pa.Table:
     h = np.zeros(len(a), np.uint64) if h is None else np.asarray(h).astype(np.uint64)
     return pa.table(
         {
@@ -224,6 +233,7 @@ def _rows(kind: int, a, b, n, p, h=None, end=None) -> pa.Table:
             "p": pa.array(np.asarray(p, np.int32)),
             "hash": pa.array(h.view(np.int64)),
             "end": pa.array(np.zeros(len(a), np.int64) if end is None else end),
+            "bits": pa.nulls(len(a), pa.list_(pa.int64())) if bits is None else pa.ListArray.from_arrays(np.arange(len(a) + 1, dtype=np.int32) * PARITY, pa.array(bits.view(np.int64))),
         }
     )
 
@@ -247,8 +257,8 @@ def _met(percent: int, short: int):
     def run(t: pa.Table) -> pa.Table:
         cols = {k: [np.frombuffer(x, dtype=kind) for x in t.column(k).to_pylist()] for k, kind in KINDS.items()}
         if t.column("bucket")[0].as_py() < 0:
-            rows, ids, n, h = (np.concatenate(cols[k]) for k in ("rows", "ids", "n", "hash"))
-            return _rows(0, rows, ids, n, n * 0, h)
+            rows, ids, n, h, bits = (np.concatenate(cols[k]) for k in ("rows", "ids", "n", "hash", "bits"))
+            return _rows(0, rows, ids, n, n * 0, h, bits=bits)
         row, n, p = (np.concatenate([x[d] for x, d in zip(cols[k], cols["doc"])]).astype(np.int64) for k in ("rows", "n", "p"))
         end = np.concatenate([x[d] for x, d in zip(cols["end"], cols["doc"])])
         h = np.concatenate(cols["hash"])
@@ -311,28 +321,70 @@ def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataF
     return two.where(f"100 * common >= {percent} * (nx + ny - common)").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _overlap(x: str, y: str, percent: int):
+    """The least overlap of two linked sets of x and y shingles."""
+    return F.expr(f"cast((({percent} * ({x} + {y})) + {99 + percent}) div {100 + percent} as int)")
+
+
+def _families(met: DataFrame, percent: int) -> DataFrame:
+    """(row, to) for each document of a long list and the pivot of that list, once however many lists they share (`n` counts them).
+
+    The pivot has the largest share of its shingles within reach, so lists of one group of near copies mostly name the same one.
+    Documents of one list are in one family, so nothing is lost by looking for pairs in families.
+    """
+    reach = met.where("kind = 2").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("common"))
+    entries = met.where("kind = 3").select(F.col("a").alias("row"), F.col("n").alias("na"), F.col("p").alias("pa"), "hash", "end").join(reach, "row")
+    entries = cut(entries.withColumn("share", (F.col("na") - F.col("pa") + F.col("common")) / F.col("na")))
+    pivot = entries.groupBy("hash").agg(F.max(F.struct("share", F.col("na").alias("nb"), F.col("row").alias("to"), F.col("pa").alias("pb"))).alias("x"))
+    met_at = entries.join(pivot.select("hash", "x.to", "x.nb", "x.pb"), "hash")
+    one = [F.first(c).alias(c) for c in ("na", "pa", "nb", "pb", "end", "common")]
+    return cut(met_at.groupBy("row", "to").agg(F.count(F.lit(1)).alias("n"), *one))
+
+
+def _tried(met: DataFrame, family: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n): pairs of short lists with all shared shingles they need, and of each family its spokes.
+
+    A spoke is tried on half of what it needs, since pivots differ and short lists are apart.
+    """
+    shared = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("p").alias("need")).where("n >= need")
+    need = F.greatest(F.lit(1), _overlap("na", "nb", percent) - F.greatest(F.expr("na - pa"), F.expr("nb - pb")))
+    spokes = family.where("row <> to").where(_overlap("na", "nb", percent) <= F.least("na", "nb")).where(2 * F.col("n") >= need)
+    spokes = spokes.select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b"), "n")
+    return cut(shared.select("a", "b", "n").unionByName(spokes).groupBy("a", "b").agg(F.sum("n").alias("n")))
+
+
+def _within(family: DataFrame, every: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of one family but different components that can still link, by what their prefixes share at most and by parity.
+
+    The prefix that ends first bounds the overlap by what lies behind it and the prefix shingles that both can share. Sets of
+    which `d` parity bits differ have a symmetric difference of `d` at least, so they share (na + nb - d) / 2 at most.
+    """
+    mixed = family.groupBy("to").agg(F.min("root").alias("c"), F.max("root").alias("d")).where("c < d").select("to")
+    left = family.join(mixed, "to", "left_semi").join(every.select(F.col(ROW).alias("row"), "bits"), "row")
+    side = lambda k: left.select(
+        "to", F.col("row").alias(k), *[F.col(c).alias(c[0] + k) for c in ("root", "common", "end")], F.col("na").alias("n" + k), F.expr("na - pa").alias("behind_" + k), *[F.col("bits")[i].alias(f"w{i}{k}") for i in range(PARITY)]
+    )
+    ends_first = F.when(F.col("ea") < F.col("eb"), F.col("behind_a")).when(F.col("ea") > F.col("eb"), F.col("behind_b")).otherwise(F.greatest("behind_a", "behind_b"))
+    most = F.least("na", "nb", ends_first + F.least("ca", "cb"))
+    differ = " + ".join(f"bit_count(w{i}a ^ w{i}b)" for i in range(PARITY))
+    can = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (_overlap("na", "nb", percent) <= most)
+    fits = can & F.expr(f"2 * cast((({percent} * (na + nb)) + {99 + percent}) div {100 + percent} as int) <= na + nb - ({differ})")
+    return side("a").join(side("b"), "to").where(fits).select("a", "b")
+
+
 def ngram_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT, short: int = 8
 ) -> tuple[DataFrame, DataFrame]:
     """(documents: _row, id, n_shingles; members: node, root): nodes are the `_row`s of linked documents."""
     _, total = text_bytes(docs, text_col)
     named = docs.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    buckets = min(pieces(total, 16 * MB, 16), 4096)
+    buckets = pieces(total, 16 * MB, 16)
     sent = named.mapInArrow(_sent(frequent(docs, text_col, size), buckets, size, percent, 300_000), ENTRY)
     met = cut(sent.groupBy("bucket").applyInArrow(_met(percent, short), PAIR))
-    every = met.where("kind = 0").select(F.col("a").alias(ROW), F.col("b").alias("id"), F.col("n").cast("long").alias("n_shingles"), F.col("hash").alias("same"))
+    every = met.where("kind = 0").select(F.col("a").alias(ROW), F.col("b").alias("id"), F.col("n").cast("long").alias("n_shingles"), F.col("hash").alias("same"), "bits")
     copies = every.where(F.col("same") != F.col(ROW)).select(F.col(ROW).alias("u"), F.col("same").alias("v"))
-    shared = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("p").alias("need"))
-    overlap = lambda x, y: F.expr(f"cast((({percent} * ({x} + {y})) + {99 + percent}) div {100 + percent} as int)")
-    need = lambda na, pa_, nb, pb: F.greatest(F.lit(1), overlap(na, nb) - F.greatest(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb)))
-    reach = met.where("kind = 2").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("common"))
-    entries = met.where("kind = 3").select(F.col("a").alias("row"), "n", "p", "hash", "end").join(reach, "row")
-    entries = cut(entries.select("row", "n", "p", "hash", "end", "common", (F.col("n") - F.col("p") + F.col("common")).alias("reach")))
-    pivot = entries.groupBy("hash").agg(F.max(F.struct((F.col("reach") / F.col("n")).alias("share"), F.col("n").alias("nb"), F.col("row").alias("to"), F.col("p").alias("pb"))).alias("x"))
-    spokes = entries.join(pivot.select("hash", "x.to", "x.nb", "x.pb"), "hash").where("row <> to").where(overlap("n", "nb") <= F.least("n", "nb"))
-    spokes = spokes.groupBy(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.max(need("n", "p", "nb", "pb")).alias("need"))
-    # a spoke is tried on half of what it needs, since pivots differ and short lists are apart; long lists are gone through below
-    tried = cut(shared.where("n >= need").select("a", "b", "n").unionByName(spokes.where("2 * n >= need").select("a", "b", "n")).groupBy("a", "b").agg(F.sum("n").alias("n")))
+    family = _families(met, percent)
+    tried = _tried(met, family, percent)
     # first each document with the one it shares most with
     ends = tried.select("a", "b", "n").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
     best = ends.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
@@ -340,21 +392,7 @@ def ngram_join(
     # then what still stands in different components
     roots = lambda df, c, r: df.join(found.select(F.col("node").alias(c), F.col("root").alias(r)), c, "left").withColumn(r, F.coalesce(r, c))
     rest = roots(roots(tried.join(best, ["a", "b"], "left_anti"), "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b")
-    placed = roots(entries, "row", "root")
-    mixed = placed.groupBy("hash").agg(F.min("root").alias("c"), F.max("root").alias("d")).where("c < d").select("hash")
-    left = placed.join(mixed, "hash", "left_semi")
-    x = left.select("hash", F.col("row").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("common").alias("ca"), F.col("end").alias("ea"))
-    y = left.select("hash", F.col("row").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("common").alias("cb"), F.col("end").alias("eb"))
-    # of the prefix that ends first: what lies behind it, and the prefix shingles that both can share
-    behind_a, behind_b = F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")
-    behind = F.when(F.col("ea") < F.col("eb"), behind_a).when(F.col("ea") > F.col("eb"), behind_b).otherwise(F.greatest(behind_a, behind_b))
-    bound = behind + F.least("ca", "cb")
-    fits = (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & (overlap("na", "nb") <= F.least("na", "nb", bound))
-    pairs = x.join(y, "hash").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max(F.greatest(F.lit(1), overlap("na", "nb") - behind)).alias("need"))
-    # a pair may also share shingles of short lists, counted before
-    more = pairs.where("n >= need").select("a", "b").unionByName(
-        pairs.where("n < need").join(shared.select("a", "b", F.col("n").alias("n0")), ["a", "b"]).where("n + n0 >= need").select("a", "b")
-    )
+    more = _within(roots(family, "row", "root"), every, percent)
     stars = found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
     links = stars.unionByName(_links(rest.unionByName(more).distinct(), named, size, percent))
     return every.select(ROW, "id", "n_shingles"), components(links)
