@@ -120,13 +120,13 @@ def needed(na: np.ndarray, pa_: np.ndarray, nb: np.ndarray, pb: np.ndarray, perc
 
 def choose(doc: np.ndarray, pos: np.ndarray, df: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
     """For each document the l of least estimated cost: an entry for each prefix shingle, and the candidates that the lists
-    bring, eight times as dear and fewer by l as each must be met l times. A shingle not known as frequent has one document."""
+    bring, twice as dear and fewer by l as each must be met l times. A shingle not known as frequent has one document."""
     need = least_overlap(n, percent)
     best, cost = np.ones(len(n), np.int64), np.full(len(n), np.inf)
     others = np.maximum(df, 1) - 1
     for l in STEPS:
         met = np.bincount(doc, weights=np.where(pos < (n - need + l)[doc], others, 0), minlength=len(n))
-        now = (n - need + l) + met * 8 / l
+        now = (n - need + l) + met * 2 / l
         better = (now < cost) & (l <= need)
         best[better], cost[better] = l, now[better]
     return best
@@ -139,12 +139,12 @@ def parities(doc: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view(np.uint64).reshape(n_docs, PARITY)
 
 
-ENTRY = "bucket int, rows binary, ids binary, n binary, p binary, end binary, doc binary, hash binary, bits binary"
-KINDS = {"rows": np.int64, "ids": np.int64, "n": np.uint32, "p": np.uint32, "end": np.int64, "doc": np.uint32, "hash": np.uint64, "bits": np.uint64}
+ENTRY = "bucket int, base long, rows binary, hash binary, ids binary, n binary, p binary, end binary, bits binary"
+KINDS = {"rows": np.uint32, "hash": np.uint64, "ids": np.int64, "n": np.uint32, "p": np.uint32, "end": np.int64, "bits": np.uint64}
 
 
 def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent: int, flush: int):
-    """Prefix entries by bucket. Bucket -1 - b: rows and ids of all documents, n, and in `hash` the row of the first with the same set."""
+    """Prefix entries by bucket, as rows (above `base`) and hashes. Bucket -1 - b: all documents, and in `hash` the row of the first with the same set."""
     hot, hot_n = known
 
     def emit(held: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -163,14 +163,16 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
         first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
         stands = np.empty(len(order), np.int64)
         stands[order] = first
-        out = {k: [] for k in ("bucket", *KINDS)}
+        out = {k: [] for k in ("bucket", "base", *KINDS)}
+        base = int(rows.min())
+        above = rows - base  # rows of a task follow each other
 
         def put(bucket: int, **x) -> None:
             out["bucket"].append(bucket)
+            out["base"].append(base)
             for k, kind in KINDS.items():
                 out[k].append(np.asarray(x.get(k, [])).astype(kind).tobytes())
 
-        put(-1 - int(rows[0]) % buckets, rows=rows, ids=ids, n=n, hash=rows[stands].astype(np.uint64), bits=bits.ravel())
         alone = stands == np.arange(len(stands))
         keep = alone[doc]
         doc, h = doc[keep], h[keep]
@@ -186,15 +188,16 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
         end = np.zeros(len(rows), np.int64)  # where each prefix ends in the global order
         last = np.flatnonzero(pos == prefix[doc] - 1)
         end[doc[last]] = (df[last] << 32) | (h[last] >> np.uint64(32)).astype(np.int64)
+        put(-1 - base % buckets, rows=above, ids=ids, n=n, p=prefix, end=end, hash=rows[stands], bits=bits.ravel())
         pick = pos < prefix[doc]
         doc, h = doc[pick], h[pick]
         bucket = (h >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         there, edge = np.unique(bucket[order], return_index=True)
         for b, p in zip(there.tolist(), np.split(order, edge[1:])):
-            docs, index = np.unique(doc[p], return_inverse=True)
-            put(b, rows=rows[docs], ids=ids[docs], n=n[docs], p=prefix[docs], end=end[docs], doc=index, hash=h[p])
-        yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int32()), *[pa.array(out[k], pa.binary()) for k in KINDS]], names=["bucket", *KINDS])
+            put(b, rows=above[doc[p]], hash=h[p])
+        columns = [pa.array(out["bucket"], pa.int32()), pa.array(out["base"], pa.int64()), *[pa.array(out[k], pa.binary()) for k in KINDS]]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "base", *KINDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -219,62 +222,57 @@ def _sent(known: tuple[np.ndarray, np.ndarray], buckets: int, size: int, percent
     return run
 
 
-PAIR = "kind int, a long, b long, n int, p int, hash long, end long, bits array<long>"
+MET = "kind int, a long, b long, n int, p int, hash long, end long, bits array<long>"
 
 
-def _rows(kind: int, a, b, n, p, h=None, end=None, bits=None) -> pa.Table:
-    h = np.zeros(len(a), np.uint64) if h is None else np.asarray(h).astype(np.uint64)
+def _rows(kind: int, a, b=None, n=None, p=None, h=None, end=None, bits=None) -> pa.Table:
+    none = lambda x, t: pa.nulls(len(a), t) if x is None else pa.array(np.asarray(x).astype(t.to_pandas_dtype(), copy=False), t)
     return pa.table(
         {
             "kind": pa.array(np.full(len(a), kind, np.int32)),
-            "a": pa.array(np.asarray(a, np.int64)),
-            "b": pa.array(np.asarray(b, np.int64)),
-            "n": pa.array(np.asarray(n, np.int32)),
-            "p": pa.array(np.asarray(p, np.int32)),
-            "hash": pa.array(h.view(np.int64)),
-            "end": pa.array(np.zeros(len(a), np.int64) if end is None else end),
+            "a": none(a, pa.int64()),
+            "b": none(b, pa.int64()),
+            "n": none(n, pa.int32()),
+            "p": none(p, pa.int32()),
+            "hash": none(None if h is None else h.view(np.int64), pa.int64()),
+            "end": none(end, pa.int64()),
             "bits": pa.nulls(len(a), pa.list_(pa.int64())) if bits is None else pa.ListArray.from_arrays(np.arange(len(a) + 1, dtype=np.int32) * PARITY, pa.array(bits.view(np.int64))),
         }
     )
 
 
-def _counted(kind: int, row, n, p, a, b, percent: int) -> pa.Table:
-    """Pairs (places a and b) with how often each occurs and how many shared prefix shingles it needs (in p)."""
-    ask = needed(n[a], p[a], n[b], p[b], percent)
-    can = ask < np.iinfo(np.int32).max
-    a, b, ask = a[can], b[can], ask[can]
-    low, high = np.minimum(row[a], row[b]), np.maximum(row[a], row[b])
+def _counted(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    """Pairs of rows with how often each occurs."""
+    low, high = np.minimum(a, b), np.maximum(a, b)
     order = np.lexsort((high, low))
-    low, high, ask = low[order], high[order], ask[order]
+    low, high = low[order], high[order]
     new = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))) if len(low) else np.zeros(0, np.int64)
-    return _rows(kind, low[new], high[new], np.diff(np.append(new, len(low))), ask[new])
+    return _rows(1, low[new], high[new], np.diff(np.append(new, len(low))))
 
 
-def _met(percent: int, short: int):
-    """Kind 0: (row, id) with n and the row it equals. 1: a pair, n shared prefix shingles of the p it needs. 2: how many (n) of a
-    document's prefix shingles others have too. 3: an entry of a long list."""
+def _met(short: int):
+    """Kind 0: a document: row, id, n, p, end, parity, and in `hash` the row it equals. 1: a pair and the n short lists that it
+    shares. 2: how many (n) of a document's prefix shingles others have too. 3: an entry of a long list."""
 
     def run(t: pa.Table) -> pa.Table:
+        base = t.column("base").to_numpy()
         cols = {k: [np.frombuffer(x, dtype=kind) for x in t.column(k).to_pylist()] for k, kind in KINDS.items()}
+        row = np.concatenate([x.astype(np.int64) + b for x, b in zip(cols["rows"], base)])
         if t.column("bucket")[0].as_py() < 0:
-            rows, ids, n, h, bits = (np.concatenate(cols[k]) for k in ("rows", "ids", "n", "hash", "bits"))
-            return _rows(0, rows, ids, n, n * 0, h, bits=bits)
-        row, n, p = (np.concatenate([x[d] for x, d in zip(cols[k], cols["doc"])]).astype(np.int64) for k in ("rows", "n", "p"))
-        end = np.concatenate([x[d] for x, d in zip(cols["end"], cols["doc"])])
+            ids, n, p, end, h, bits = (np.concatenate(cols[k]) for k in ("ids", "n", "p", "end", "hash", "bits"))
+            return _rows(0, row, ids, n, p, h, end, bits)
         h = np.concatenate(cols["hash"])
         del cols
-        order = np.argsort(h, kind="stable")
-        hs = h[order]
-        edge = np.flatnonzero(np.append(True, hs[1:] != hs[:-1]))
-        sizes = np.diff(np.append(edge, len(hs)))
-        keep = order[np.repeat(sizes, sizes) > 1]
-        row, n, p, h, end = (x[keep] for x in (row, n, p, h, end))
-        order = np.lexsort((row, n, h))
-        row, n, p, h, end = (x[order] for x in (row, n, p, h, end))
-        if not len(h):
-            return _rows(1, row, row, n, p)
+        order = np.lexsort((row, h))
+        row, h = row[order], h[order]
         edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         sizes = np.diff(np.append(edge, len(h)))
+        keep = np.repeat(sizes, sizes) > 1
+        row, h = row[keep], h[keep]
+        if not len(h):
+            return _rows(1, row)
+        sizes = sizes[sizes > 1]
+        edge = np.cumsum(sizes) - sizes
         first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for gap in range(1, short):  # pairs `gap` apart in their list
             with_gap = np.flatnonzero((sizes > gap) & (sizes <= short))
@@ -287,38 +285,41 @@ def _met(percent: int, short: int):
         rows, shared = np.unique(row, return_counts=True)
         release()
         at = np.flatnonzero(np.repeat(sizes > short, sizes))
-        return pa.concat_tables(
-            [
-                _counted(1, row, n, p, np.concatenate(first), np.concatenate(second), percent),
-                _rows(2, rows, rows, shared, shared),
-                _rows(3, row[at], row[at], n[at], p[at], h[at], end[at]),
-            ]
-        )
+        return pa.concat_tables([_counted(row[np.concatenate(first)], row[np.concatenate(second)]), _rows(2, rows, n=shared), _rows(3, row[at], h=h[at])])
 
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text", MB):
-        doc, h = shingles(*packed(batch.column("text")), size)
-        begin = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
-        words = pa.ListArray.from_arrays(pa.array(begin), pa.array(h.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(ROW), words], names=["row", "words"])
-    release()
+def _linked(size: int, percent: int):
+    """Of pairs with both texts (x and y) those whose whole sets link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "x", MB):
+            n_pairs = batch.num_rows
+            (dx, hx), (dy, hy) = (shingles(*packed(batch.column(c)), size) for c in "xy")
+            d, h = np.append(dx, dy), np.append(hx, hy)
+            order = np.lexsort((h, d))
+            d, h = d[order], h[order]
+            twice = (d[1:] == d[:-1]) & (h[1:] == h[:-1])
+            common = np.bincount(d[1:][twice], minlength=n_pairs)
+            both = np.bincount(d, minlength=n_pairs) - common
+            keep = np.flatnonzero((100 * common >= percent * both) & (common > 0))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep)) for c in "ab"], names=["u", "v"])
+        release()
+
+    return run
 
 
 def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link; the sets are made from the texts of their documents alone."""
+    """The pairs (a, b) that link. Texts are moved, not sets: they are half as large and packed by the exchange."""
     pairs = cut(pairs)
     wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
     if wanted.count() <= BROADCAST_ROWS:  # otherwise texts and rows meet in a shuffle
         wanted = F.broadcast(wanted)
-    sets = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi").mapInArrow(lambda it: _sets(it, size), "row long, words array<long>")
-    # sets are compared in the JVM: no pair of them crosses to Python
-    one = pairs.join(sets.select(F.col("row").alias("a"), F.col("words").alias("x")), "a")
-    two = one.join(sets.select(F.col("row").alias("b"), F.col("words").alias("y")), "b")
-    two = two.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("common"))
-    return two.where(f"100 * common >= {percent} * (nx + ny - common)").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    texts = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi")
+    one = pairs.join(texts.select(F.col(ROW).alias("a"), F.col("text").alias("x")), "a")
+    two = one.join(texts.select(F.col(ROW).alias("b"), F.col("text").alias("y")), "b")
+    return two.select("a", "b", "x", "y").mapInArrow(_linked(size, percent), "u long, v long")
 
 
 def _overlap(x: str, y: str, percent: int):
@@ -326,50 +327,71 @@ def _overlap(x: str, y: str, percent: int):
     return F.expr(f"cast((({percent} * ({x} + {y})) + {99 + percent}) div {100 + percent} as int)")
 
 
-def _families(met: DataFrame, percent: int) -> DataFrame:
+def _alike(percent: int):
+    """Whether the sets of sides a and b (na, w0a, ...; nb, w0b, ...) can link by their parity bits.
+
+    Sets of which `d` bits differ have a symmetric difference of `d` at least, so they share (na + nb - d) / 2 at most.
+    """
+    differ = " + ".join(f"bit_count(w{i}a ^ w{i}b)" for i in range(PARITY))
+    return F.expr(f"2 * cast((({percent} * (na + nb)) + {99 + percent}) div {100 + percent} as int) <= na + nb - ({differ})")
+
+
+def _words(k: str) -> list:
+    return [F.col("bits")[i].alias(f"w{i}{k}") for i in range(PARITY)]
+
+
+def _families(met: DataFrame, every: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(row, to) for each document of a long list and the pivot of that list, once however many lists they share (`n` counts them).
 
     The pivot has the largest share of its shingles within reach, so lists of one group of near copies mostly name the same one.
-    Documents of one list are in one family, so nothing is lost by looking for pairs in families.
+    Documents of one list are in one family, so nothing is lost by looking for pairs in families. Second: (row, lists, other), the
+    long lists of each document and how many of its prefix shingles stand in short ones.
     """
     reach = met.where("kind = 2").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("common"))
-    entries = met.where("kind = 3").select(F.col("a").alias("row"), F.col("n").alias("na"), F.col("p").alias("pa"), "hash", "end").join(reach, "row")
+    entries = met.where("kind = 3").select(F.col("a").alias("row"), "hash").join(reach, "row")
+    entries = entries.join(every.select(F.col(ROW).alias("row"), F.col("n").alias("na"), F.col("p").alias("pa"), "end"), "row")
     entries = cut(entries.withColumn("share", (F.col("na") - F.col("pa") + F.col("common")) / F.col("na")))
     pivot = entries.groupBy("hash").agg(F.max(F.struct("share", F.col("na").alias("nb"), F.col("row").alias("to"), F.col("pa").alias("pb"))).alias("x"))
     met_at = entries.join(pivot.select("hash", "x.to", "x.nb", "x.pb"), "hash")
-    one = [F.first(c).alias(c) for c in ("na", "pa", "nb", "pb", "end", "common")]
-    return cut(met_at.groupBy("row", "to").agg(F.count(F.lit(1)).alias("n"), *one))
+    one = [F.first(c).alias(c) for c in ("na", "pa", "nb", "pb", "end")]
+    lists = entries.groupBy("row").agg(F.collect_list("hash").alias("lists"), (F.first("common") - F.count(F.lit(1))).alias("other"))
+    return cut(met_at.groupBy("row", "to").agg(F.count(F.lit(1)).alias("n"), *one)), lists
 
 
-def _tried(met: DataFrame, family: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n): pairs of short lists with all shared shingles they need, and of each family its spokes.
+def _tried(met: DataFrame, family: DataFrame, every: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n): pairs of short lists with all shared shingles they need, and of each family its spokes, less what parity rules out.
 
     A spoke is tried on half of what it needs, since pivots differ and short lists are apart.
     """
-    shared = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("p").alias("need")).where("n >= need")
-    need = F.greatest(F.lit(1), _overlap("na", "nb", percent) - F.greatest(F.expr("na - pa"), F.expr("nb - pb")))
-    spokes = family.where("row <> to").where(_overlap("na", "nb", percent) <= F.least("na", "nb")).where(2 * F.col("n") >= need)
-    spokes = spokes.select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b"), "n")
-    return cut(shared.select("a", "b", "n").unionByName(spokes).groupBy("a", "b").agg(F.sum("n").alias("n")))
-
-
-def _within(family: DataFrame, every: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of one family but different components that can still link, by what their prefixes share at most and by parity.
-
-    The prefix that ends first bounds the overlap by what lies behind it and the prefix shingles that both can share. Sets of
-    which `d` parity bits differ have a symmetric difference of `d` at least, so they share (na + nb - d) / 2 at most.
+    shared = met.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n")).withColumn("times", F.lit(1))
+    spokes = family.where("row <> to").select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b"), "n", F.lit(2).alias("times"))
+    pairs = shared.unionByName(spokes).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("times").alias("times"))
+    for k in "ab":
+        pairs = pairs.join(every.select(F.col(ROW).alias(k), F.col("n").alias("n" + k), F.col("p").alias("p" + k), *_words(k)), k)
+    overlap = _overlap("na", "nb", percent)
+    need = F.greatest(F.lit(1), overlap - F.greatest(F.expr("na - pa"), F.expr("nb - pb")))
+    pairs = pairs.where(overlap <= F.least("na", "nb")).where(F.col("times") * F.col("n") >= need)
+    return cut(pairs.where(_alike(percent)).select("a", "b", "n"))
+
+
+def _within(family: DataFrame, lists: DataFrame, every: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of one family but different components that can still link, by parity and by what their prefixes share.
+
+    The prefix that ends first bounds the overlap: by what lies behind it, the long lists that both are in, and the shingles of
+    short lists that both can share.
     """
     mixed = family.groupBy("to").agg(F.min("root").alias("c"), F.max("root").alias("d")).where("c < d").select("to")
-    left = family.join(mixed, "to", "left_semi").join(every.select(F.col(ROW).alias("row"), "bits"), "row")
+    left = family.join(mixed, "to", "left_semi").join(every.select(F.col(ROW).alias("row"), "bits"), "row").join(lists, "row")
     side = lambda k: left.select(
-        "to", F.col("row").alias(k), *[F.col(c).alias(c[0] + k) for c in ("root", "common", "end")], F.col("na").alias("n" + k), F.expr("na - pa").alias("behind_" + k), *[F.col("bits")[i].alias(f"w{i}{k}") for i in range(PARITY)]
+        "to", F.col("row").alias(k), *[F.col(c).alias(c + "_" + k) for c in ("root", "end", "lists", "other")], F.col("na").alias("n" + k), F.expr("na - pa").alias("behind_" + k), *_words(k)
     )
-    ends_first = F.when(F.col("ea") < F.col("eb"), F.col("behind_a")).when(F.col("ea") > F.col("eb"), F.col("behind_b")).otherwise(F.greatest("behind_a", "behind_b"))
-    most = F.least("na", "nb", ends_first + F.least("ca", "cb"))
-    differ = " + ".join(f"bit_count(w{i}a ^ w{i}b)" for i in range(PARITY))
-    can = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (_overlap("na", "nb", percent) <= most)
-    fits = can & F.expr(f"2 * cast((({percent} * (na + nb)) + {99 + percent}) div {100 + percent} as int) <= na + nb - ({differ})")
-    return side("a").join(side("b"), "to").where(fits).select("a", "b")
+    ends_first = F.when(F.expr("end_a < end_b"), F.col("behind_a")).when(F.expr("end_a > end_b"), F.col("behind_b")).otherwise(F.greatest("behind_a", "behind_b"))
+    need = _overlap("na", "nb", percent)
+    short_of = need - ends_first - F.least("other_a", "other_b")
+    apart = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & (need <= F.least("na", "nb"))
+    quick = short_of <= F.least(F.size("lists_a"), F.size("lists_b"))
+    pairs = side("a").join(side("b"), "to").where(apart & quick & _alike(percent) & (short_of <= F.size(F.array_intersect("lists_a", "lists_b"))))
+    return pairs.select("a", "b")
 
 
 def ngram_join(
@@ -380,11 +402,11 @@ def ngram_join(
     named = docs.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     buckets = pieces(total, 16 * MB, 16)
     sent = named.mapInArrow(_sent(frequent(docs, text_col, size), buckets, size, percent, 300_000), ENTRY)
-    met = cut(sent.groupBy("bucket").applyInArrow(_met(percent, short), PAIR))
-    every = met.where("kind = 0").select(F.col("a").alias(ROW), F.col("b").alias("id"), F.col("n").cast("long").alias("n_shingles"), F.col("hash").alias("same"), "bits")
+    met = cut(sent.groupBy("bucket").applyInArrow(_met(short), MET))
+    every = met.where("kind = 0").select(F.col("a").alias(ROW), F.col("b").alias("id"), "n", "p", "end", F.col("hash").alias("same"), "bits")
     copies = every.where(F.col("same") != F.col(ROW)).select(F.col(ROW).alias("u"), F.col("same").alias("v"))
-    family = _families(met, percent)
-    tried = _tried(met, family, percent)
+    family, lists = _families(met, every)
+    tried = _tried(met, family, every, percent)
     # first each document with the one it shares most with
     ends = tried.select("a", "b", "n").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
     best = ends.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
@@ -392,10 +414,10 @@ def ngram_join(
     # then what still stands in different components
     roots = lambda df, c, r: df.join(found.select(F.col("node").alias(c), F.col("root").alias(r)), c, "left").withColumn(r, F.coalesce(r, c))
     rest = roots(roots(tried.join(best, ["a", "b"], "left_anti"), "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b")
-    more = _within(roots(family, "row", "root"), every, percent)
+    more = _within(roots(family, "row", "root"), lists, every, percent)
     stars = found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
     links = stars.unionByName(_links(rest.unionByName(more).distinct(), named, size, percent))
-    return every.select(ROW, "id", "n_shingles"), components(links)
+    return every.select(ROW, "id", F.col("n").cast("long").alias("n_shingles")), components(links)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
@@ -422,6 +444,28 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, F.col(row) == F.col(there), "left_anti").drop(row)
 
 
+#: The same rows by joining every shingle with itself and closing the links: for small tables.
+OP9_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+    FROM split
+), shingle AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), link AS (
+    SELECT a.doc_id AS u, b.doc_id AS v FROM shingle a JOIN shingle b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+    SELECT u, v FROM link UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(least(s.doc_id, m.v), s.doc_id) AS component_id
+FROM sets s LEFT JOIN (SELECT u, min(v) AS v FROM reach GROUP BY u) m ON s.doc_id = m.u
+"""
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from matchwright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from matchwright.llm.line_dedup import OP4_SQL, op4_line_dedup
 from matchwright.llm.nbest import op8_nbest_segmentation
-from matchwright.llm.ngram_join import op9_ngram_join
+from matchwright.llm.ngram_join import OP9_SQL, op9_ngram_join
 from matchwright.llm.packing import op3_mixture_packing
 from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
 from matchwright.llm.sharding import op2_two_pass_shuffle
@@ -29,5 +29,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op4_line_dedup": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op9_ngram_join": OP9_SQL,
     "op10_quality_rules": OP10_SQL,
 }
