@@ -5,7 +5,12 @@ the lattice of a text falls apart before every mark that follows another charact
 over the pieces' scores, with byte pieces for characters that have none. Forward Viterbi scores give, for each position,
 the best score of any way there; they are an exact heuristic for the A-star search that runs backward from the end, which
 therefore pops complete segmentations in order of score. The N best of a whole text combine the words' lists by the same
-search over how much each word gives up: only the N - 1 least losses of any word can matter, so memory is that of N.
+search over how much each word gives up: only the N - 1 words of least losses can matter, so only they are searched for all
+N. The best segmentation of every word, and what the second best loses, come from the Viterbi scores themselves, of all
+distinct words of a batch at once: the best way through an arc is worth what leads to it, the arc, and what follows.
+
+Scores are those of the vocabulary file. The public one was made by merging, so its scores are ranks of merges, not
+logarithms of probabilities; sums of them order segmentations all the same.
 
 Cases: a null text has no segmentation (zero pieces, null scores); an empty text has its single mark; ties are broken by the
 pieces' ids; a literal mark character is spelt in bytes, so decoding gives the text back exactly. Texts of any length are cut
@@ -27,6 +32,10 @@ from matchwright.llm.common import MB, packed, sliced
 MARK = "▁"
 #: A character without a piece costs this much below the lowest score for each of its bytes.
 UNKNOWN = 10.0
+#: Longer words are searched one by one, since the lattices of a batch are gone through character by character.
+LONG_WORD = 64
+#: Arcs whose lattices are gone through together, at most: as many as the longest piece has characters begin at each character.
+ARCS = 1 << 22
 
 
 class Pieces:
@@ -51,6 +60,28 @@ class Pieces:
             raise ValueError("a piece has a mark after another character")
         #: every prefix of a piece; None where it is no piece itself
         self.known: dict[str, tuple[int, float] | None] = {p[:k]: None for p in self.ids for k in range(1, len(p))} | self.ids
+        self.trie = Trie(self)
+
+
+class Trie:
+    """The prefixes as nodes, and the steps between them as one sorted array: key = node << 21 | character."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        number = {p: k for k, p in enumerate(sorted(pieces.known), 1)} | {"": 0}
+        self.piece, self.score = np.full(len(number), -1, np.int64), np.zeros(len(number))
+        for p, (k, score) in pieces.ids.items():
+            self.piece[number[p]], self.score[number[p]] = k, score
+        steps = sorted((number[p[:-1]] << 21 | ord(p[-1]), k) for p, k in number.items() if p)
+        self.keys, self.nodes = np.array([k for k, _ in steps], np.int64), np.array([k for _, k in steps], np.int64)
+        self.root = np.full(0x110000, -1, np.int64)  # the steps from the empty prefix, by character
+        begins = self.keys < 1 << 21
+        self.root[self.keys[begins]] = self.nodes[begins]
+
+    def step(self, node: np.ndarray, character: np.ndarray) -> np.ndarray:
+        """The next node, or -1."""
+        key = node << 21 | character
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.nodes[at], -1)
 
 
 def words_in(text: str) -> list[str]:
@@ -162,25 +193,152 @@ def decode(ids: list[int], pieces: Pieces) -> str:
     return out.decode()[1:]
 
 
+class Lattices:
+    """The piece lattices of many words at once: forward and backward Viterbi scores of every place, arc by arc.
+
+    `characters` holds all words in a row, `begin` where each starts (and where the last ends); no word is empty, none has an
+    escape. Afterwards, by word: `score` of its best segmentation, `loss` of the second (the best way through an arc that the
+    best one does not take; infinite if there is none), the number of ids (`sizes`), and all ids in a row (`ids`).
+    """
+
+    def __init__(self, characters: np.ndarray, begin: np.ndarray, pieces: Pieces) -> None:
+        n_words = len(begin) - 1
+        length = np.diff(begin)
+        word = np.repeat(np.arange(n_words), length)
+        start, stop, piece, score = self._arcs(characters, begin, word, pieces)
+        word = word[start]
+        start, stop = start + word, stop + word  # places: one more than characters in each word
+        base = begin[:-1] + np.arange(n_words)
+        last = base + length
+        self.forward, arc = np.full(int(begin[-1]) + n_words, -np.inf), np.zeros(int(begin[-1]) + n_words, np.int64)
+        self.forward[base] = 0.0
+        backward = np.full(len(self.forward), -np.inf)
+        backward[last] = 0.0
+        for at, head, group in self._layers(stop - base[word], stop, stop - start):
+            through = self.forward[start[at]] + score[at]
+            best = np.maximum.reduceat(through, group)
+            self.forward[stop[head]] = best
+            hit = np.where(through == np.repeat(best, np.diff(np.append(group, len(at)))), np.arange(len(at)), -1)
+            arc[stop[head]] = at[np.maximum.reduceat(hit, group)]  # of equal ways the one with the shortest last piece
+        for at, head, group in self._layers(last[word] - start, start, stop - start):
+            backward[start[head]] = np.maximum.reduceat(score[at] + backward[stop[at]], group)
+        taken, here, first = np.zeros(len(start), bool), last, np.zeros(len(self.forward), bool)
+        first[base] = True
+        while len(here):
+            taken[arc[here]] = True
+            here = start[arc[here]]
+            here = here[~first[here]]
+        self.score = self.forward[last]
+        other = np.full(n_words, -np.inf)
+        off = np.flatnonzero(~taken)
+        np.maximum.at(other, word[off], self.forward[start[off]] + score[off] + backward[stop[off]])
+        self.loss = self.score - other
+        way = np.flatnonzero(taken)
+        way = way[np.argsort(start[way])]
+        self.ids, each = self._spelt(piece[way], pieces)
+        self.sizes = np.bincount(word[way], weights=each, minlength=n_words).astype(np.int64)
+
+    @staticmethod
+    def _arcs(characters: np.ndarray, begin: np.ndarray, word: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, ...]:
+        """(start, stop, piece, score); of a character without a piece the piece is -1 - its code."""
+        trie, found = pieces.trie, []
+        at, node, k = np.arange(len(characters)), trie.root[characters], 0
+        ends = begin[1:][word]
+        while len(at):
+            node = trie.step(node, characters[at + k]) if k else node
+            k += 1
+            there = node >= 0
+            hit = np.flatnonzero(there & (trie.piece[node] >= 0))
+            found.append((at[hit], at[hit] + k, trie.piece[node[hit]], trie.score[node[hit]]))
+            if k == 1:
+                bare = np.setdiff1d(at, at[hit], assume_unique=True)
+                code = characters[bare]
+                size = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+                found.append((bare, bare + 1, -1 - code, (pieces.lowest - UNKNOWN) * size))
+            go = np.flatnonzero(there & (at + k < ends[at]))
+            at, node = at[go], node[go]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    @staticmethod
+    def _layers(layer: np.ndarray, place: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Arcs layer by layer: (arcs by place, long ones first, one arc of each place, where the places begin)."""
+        # layer, place, length and the arc itself in one number of 63 bits: 7, 26, 7 and 23
+        packed_key = (layer << 56) | (place << 30) | ((LONG_WORD - length) << 23) | np.arange(len(layer))
+        packed_key.sort()
+        order = packed_key & ((1 << 23) - 1)
+        layer, place = layer[order], place[order]
+        edges = np.append(np.searchsorted(layer, np.arange(int(layer[-1]) + 1)), len(order)).tolist()
+        fresh = np.append(True, place[1:] != place[:-1])
+        for a, b in zip(edges, edges[1:]):
+            if b > a:
+                fresh[a] = True
+                group = np.flatnonzero(fresh[a:b])
+                at = order[a:b]
+                yield at, at[group], group
+
+    @staticmethod
+    def _spelt(piece: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many for each piece): characters without a piece become byte pieces."""
+        each = np.ones(len(piece), np.int64)
+        bare = np.flatnonzero(piece < 0)
+        if not len(bare):
+            return piece.astype(np.uint32), each
+        codes, which = np.unique(-1 - piece[bare], return_inverse=True)
+        spelt = [[pieces.bytes[b] for b in chr(c).encode()] for c in codes.tolist()]
+        sizes = np.array([len(x) for x in spelt])
+        each[bare] = sizes[which]
+        ends = np.cumsum(each)
+        out = np.repeat(piece, each)
+        pool, first = np.array([i for x in spelt for i in x]), np.append(0, np.cumsum(sizes))[:-1]
+        n = sizes[which]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat((ends - each)[bare], n) + step] = pool[np.repeat(first[which], n) + step]
+        return out.astype(np.uint32), each
+
+
 class Cache:
-    """Segmentations of distinct words: of each the best and the loss of the second; all n of those that a text's n best need."""
+    """Segmentations of the distinct words of a batch: of each the best and the loss of the second, all n where a text needs them."""
 
     def __init__(self, pieces: Pieces, n: int, most: int) -> None:
         self.pieces, self.n, self.most = pieces, n, most
-        self.held: dict[bytes, tuple[float, float, tuple[int, ...]]] = {}
         self.lists: dict[bytes, list[tuple[float, tuple[int, ...]]]] = {}
 
     def _search(self, word: bytes, n: int) -> list[tuple[float, tuple[int, ...]]]:
         return n_best(word.decode().replace("\0", "\0\0").replace(MARK, "\0\1").replace(" ", MARK), self.pieces, n)
 
-    def get(self, word: bytes) -> tuple[float, float, tuple[int, ...]]:
-        got = self.held.get(word)
-        if got is None:
-            if len(self.held) >= self.most:
-                self.held.clear()
-            found = self._search(word, min(2, self.n))
-            got = self.held[word] = (found[0][0], found[0][0] - found[1][0] if len(found) > 1 else np.inf, found[0][1])
-        return got
+    def best(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(scores, losses, sizes, where the ids of each begin, ids). Very long words and those with escapes are searched one by one."""
+        raw, offsets = packed_bytes(words)
+        heads = (raw & 0xC0) != 0x80
+        count = np.append(0, np.cumsum(heads))
+        begin = count[offsets]
+        text = raw.tobytes().decode()
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        odd = (codes == 0) | (codes == ord(MARK))
+        alone = (np.diff(begin) > LONG_WORD) | (np.add.reduceat(odd, begin[:-1]) > 0)
+        codes[codes == 32] = ord(MARK)
+        n = len(words)
+        score, loss, sizes = np.zeros(n), np.full(n, np.inf), np.zeros(n, np.int64)
+        plain = np.flatnonzero(~alone)
+        pools = []
+        size = np.diff(begin)
+        runs = np.flatnonzero(np.append(True, np.diff(np.cumsum(size[plain]) // (ARCS // self.pieces.longest)) > 0)).tolist() if len(plain) else []
+        for i, j in zip(runs, [*runs[1:], len(plain)]):
+            mine = plain[i:j]
+            ends = np.cumsum(size[mine])
+            places = np.repeat(begin[mine] - (ends - size[mine]), size[mine]) + np.arange(int(ends[-1]))
+            x = Lattices(codes[places], np.append(0, ends), self.pieces)
+            score[mine], loss[mine], sizes[mine] = x.score, x.loss, x.sizes
+            pools.append(x.ids)
+        for k in np.flatnonzero(alone).tolist():
+            found = self._search(words[k].as_py(), min(2, self.n))
+            score[k], sizes[k] = found[0][0], len(found[0][1])
+            loss[k] = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+            pools.append(np.array(found[0][1], np.uint32))
+        order = np.append(plain, np.flatnonzero(alone))
+        first = np.zeros(n, np.int64)
+        first[order] = np.append(0, np.cumsum(sizes[order]))[:-1]
+        return score, loss, sizes, first, np.concatenate(pools)
 
     def all(self, word: bytes) -> list[tuple[float, tuple[int, ...]]]:
         got = self.lists.get(word)
@@ -191,6 +349,12 @@ class Cache:
         return got
 
 
+def packed_bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    raw = np.frombuffer(words.buffers()[2], np.uint8)
+    return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def _batch(raw: np.ndarray, offsets: np.ndarray, cache: Cache) -> Iterator[tuple[list[float], list[np.ndarray]]]:
     """For each text its n best (scores, ids): distinct words are segmented once."""
     n_docs, n = len(offsets) - 1, cache.n
@@ -203,13 +367,9 @@ def _batch(raw: np.ndarray, offsets: np.ndarray, cache: Cache) -> Iterator[tuple
     bounds = np.append(np.flatnonzero(start), len(marked))
     units = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(marked.tobytes())]).dictionary_encode()
     index = units.indices.to_numpy()
-    words = units.dictionary.to_pylist()
-    entries = [cache.get(w) for w in words]
-    score = np.array([e[0] for e in entries])[index]
-    loss = np.array([e[1] for e in entries])[index]
-    sizes = np.array([len(e[2]) for e in entries], np.int64)
-    pool = np.fromiter((i for e in entries for i in e[2]), np.uint32, int(sizes.sum()))
-    first = np.append(0, np.cumsum(sizes))[:-1]
+    words = units.dictionary
+    score, loss, sizes, first, pool = cache.best(words)
+    score, loss = score[index], loss[index]
     n_ids = sizes[index]
     ends = np.append(0, np.cumsum(n_ids))
     flat = pool[np.repeat(first[index] - ends[:-1], n_ids) + np.arange(int(ends[-1]))]
@@ -217,13 +377,13 @@ def _batch(raw: np.ndarray, offsets: np.ndarray, cache: Cache) -> Iterator[tuple
     at[-1] = len(index)
     doc = np.repeat(np.arange(n_docs), np.diff(at))
     top = np.add.reduceat(score, at[:-1])
-    order = np.lexsort((np.arange(len(index)), loss, doc))
+    order = np.lexsort((loss, doc))
     for d in range(n_docs):
         a, b = int(at[d]), int(at[d + 1])
         few = [int(k) for k in order[a : min(b, a + n - 1)] if loss[k] < np.inf]
         ids = flat[ends[a] : ends[b]]
         scores, ways = [], []
-        lists = [cache.all(words[index[k]]) for k in few]
+        lists = [cache.all(words[int(index[k])].as_py()) for k in few]
         for lost, other in combined([[x for x, _ in y] for y in lists], n):
             scores.append(float(top[d]) - lost)
             parts, done = [], a
@@ -239,7 +399,7 @@ def segmented(docs: DataFrame, model: str, n: int = 4, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = None
-        for batch in sliced(batches, text_col, 2 * MB):
+        for batch in sliced(batches, text_col, 4 * MB):
             cache = cache or Cache(Pieces(model), n, words_kept)
             column = batch.column(text_col)
             raw, offsets = packed(column)

@@ -486,6 +486,25 @@ def test_nbest_equals_brute_force():
             assert [round(s, 5) for s, _ in nbest.encode(t, pieces, 4)] == [round(s, 5) for s in scores]
 
 
+def test_lattices_equal_the_search_of_each_word():
+    pieces = nbest.Pieces(nbest.public_model())
+    rng = random.Random(4)
+    letters = ["a", "e", "t", "h", "the", "in", "ing", "Ω", "𝄞", "ü", "中", "9", "-", "\n"]
+    words = [" " * rng.randint(1, 2) + "".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(400)] + [" " + "the" * 40, " a\0b", " ▁▁x"]
+    column = pa.array([w.encode() for w in words], pa.large_binary())
+    cache = nbest.Cache(pieces, 4, 10)
+    score, loss, sizes, first, ids = cache.best(column)
+    for k, w in enumerate(words):
+        want = cache.all(w.encode())
+        assert score[k] == pytest.approx(want[0][0]) and sum(pieces_score(pieces, i) for i in ids[first[k] : first[k] + sizes[k]]) == pytest.approx(want[0][0])
+        assert loss[k] == pytest.approx(want[0][0] - want[1][0]) if len(want) > 1 else loss[k] == np.inf
+        assert nbest.decode(ids[first[k] : first[k] + sizes[k]].tolist(), pieces) == w[1:]
+
+
+def pieces_score(pieces, i):
+    return pieces.ids[pieces.names[i]][1] if i in pieces.names else pieces.lowest - nbest.UNKNOWN
+
+
 def test_segmented(docs, empty):
     got = nbest.segmented(docs, nbest.public_model(), 3).collect()
     assert len(got) == len(ROWS) and all(r.decodes for r in got if r.score is not None)
