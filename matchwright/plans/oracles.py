@@ -192,7 +192,7 @@ ORACLE_SQL = {
     "l1_route_counts": w(L0, "SELECT hard, count(*) AS n FROM l0 GROUP BY hard"),
     "l1_limit": w(L0, "SELECT bb_id, title_normalized_l0 FROM l0 ORDER BY bb_id LIMIT 100"),
     "l1_fallback": w(L1, f"SELECT {L1_OUT} FROM easy"),
-    "llm_clean_stub": w(L0, "SELECT bb_id, concat('reply ', CAST(bb_id % 10 AS VARCHAR)) AS reply FROM l0 WHERE hard"),
+    "llm_clean_stub": w(L0, "SELECT bb_id, concat('reply ', CAST(bb_id AS VARCHAR)) AS reply FROM l0 WHERE hard"),
     "l1_decode": w(L1, f"SELECT {L1_OUT} FROM decoded"),
     "l1_clean": w(L1, f"SELECT {L1_OUT} FROM l1"),
     "jsonl_roundtrip": w(L1, f"SELECT {L1_OUT} FROM l1"),
@@ -202,14 +202,13 @@ ORACLE_SQL = {
     "fuse_category": w(L2, "SELECT bb_id, category_lvl1_final AS lvl1, category_lvl2_final AS lvl2, category_final_source AS source FROM l2"),
     "fuse_size": w(L2, "SELECT bb_id, round(size_ml_final, 6) AS ml, round(size_g_final, 6) AS g, round(size_count_final, 6) AS count, size_final_source AS source FROM l2"),
     "l2_clean": w(L2, f"SELECT bb_id, side, {FINAL_OUT} FROM l2"),
-    "phase1_clean": w(L2, f"SELECT bb_id, side, title_normalized_l0, {FINAL_OUT} FROM l2 WHERE side = 'A'"),
-    "size_display": w(L2, f"SELECT bb_id, concat_ws(', ', {shown('size_ml_final', 'ml')}, {shown('size_g_final', 'g')}) AS size FROM l2"),
+    "phase1_clean": w(L2, f"SELECT bb_id, side, title_normalized_l0, {FINAL_OUT} FROM l2"),
+    "size_display": w(L2, f"SELECT bb_id, concat_ws(', ', {shown('size_count_final', 'count')}, {shown('size_ml_final', 'ml')}, {shown('size_g_final', 'g')}) AS size FROM l2"),
     "embedding_text": w(L2, f"""SELECT bb_id, concat_ws(', ', title_normalized_l0, {label('brand', 'brand_final')}, {label('core', 'product_core_final')}, {label('flavor', 'flavor_final')},
   CASE WHEN {SHOWN} <> '' THEN concat('size: ', {SHOWN}) END, {label('category', 'category_lvl1_final')}) AS text_for_embedding FROM l2"""),
     "l2_normalize": """WITH e AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * 3) AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS b FROM e)
 SELECT vec_id, round(v[1] / b, 6) AS first, round(sqrt(list_sum(list_transform(v, lambda x: (x / b) * (x / b)))), 6) AS norm, round(b, 6) AS before FROM n""",
-    "cosine_pairs": w(VECTORS, "SELECT a.bb_id AS a_id, b.bb_id AS b_id, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM fv a, fv b WHERE a.side = 'A' AND b.side = 'B' AND a.bb_id % 64 = (b.bb_id - 1) % 64"),
-    "cosine_all_pairs": w(VECTORS, "SELECT a.bb_id AS a_id, b.bb_id AS b_id, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM fv a, fv b WHERE a.side = 'A' AND b.side = 'B'"),
+    "cosine_pairs": w(VECTORS + "," + NEAR, "SELECT a_id, b_id, round(cosine, 6) AS cosine FROM near"),
     "topk_candidates": w(VECTORS + "," + NEAR, "SELECT a_id, b_id, round(cosine, 6) AS similarity, rank FROM near"),
     "topk_legacy_ranked": w(VECTORS + "," + NEAR, "SELECT a_id AS bb_id_A, b_id AS bb_id_B, rank, round(cosine, 6) AS sim_embedding FROM near"),
     **{f: w(SCORED, f"SELECT a_id, b_id, {r6(f)} FROM scored") for f in ("feature_brand", "feature_category", "feature_embedding", "feature_size", "feature_size_strict")},

@@ -17,12 +17,21 @@ def clean(raw: DataFrame, config: CatalogConfig, replies: DataFrame, policy: Pol
     return cleaning.l2_clean(cleaning.l1_clean(cleaning.l0_clean(raw, config), replies, config.product_id, policy.skip_simple_rows))
 
 
-def ask_replies(raw: DataFrame, config: CatalogConfig, client: Callable[[], Callable[[str], str]], threads: int = 5) -> DataFrame:
-    """(id, reply) for the hard rows of a side. Write it to a table: a task that runs again asks again."""
+def ask_replies(raw: DataFrame, config: CatalogConfig, client: Callable[[], Callable[[str], str]], threads: int = 5, pause: float = 0.0, stored: DataFrame | None = None) -> DataFrame:
+    """(id, reply) for the hard rows of a side without a reply in `stored` (id, reply).
+
+    Append the result to that table: a run after a failure then asks only for what is missing.
+    """
     l0 = cleaning.l0_clean(raw, config)
     hard = l0.where(F.coalesce(cleaning.needs_model(l0), F.lit(True)))
     asked = hard.select(config.product_id, cleaning.clean_prompt(l0, config.side).alias("prompt"))
-    return clients.ask(asked, "prompt", "reply", client, threads).drop("prompt")
+    return clients.ask(clients.missing(asked, stored, [config.product_id]), "prompt", "reply", client, threads, pause).drop("prompt")
+
+
+def ask_reviews(band: DataFrame, client: Callable[[], Callable[[str], str]], threads: int = 5, pause: float = 0.0, stored: DataFrame | None = None) -> DataFrame:
+    """(a_id, b_id, reply) for the band's pairs without a reply in `stored`; matching.review_decode reads what is stored."""
+    asked = band.select("a_id", "b_id", matching.review_prompt(band).alias("prompt"))
+    return clients.ask(clients.missing(asked, stored, ["a_id", "b_id"]), "prompt", "reply", client, threads, pause).drop("prompt")
 
 
 def candidates(a: DataFrame, b: DataFrame, policy: Policy = Policy(), similarity: Callable = lambda c: c) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -180,13 +181,12 @@ def asked(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def llm_clean_stub(spark: SparkSession, d: str) -> DataFrame:
-    """A client that answers from the prompt alone, through the worker port."""
+    """Each hard row's prompt through the worker port to a client that answers with the id that the prompt names."""
 
     def factory() -> Callable[[str], str]:
-        return lambda prompt: "reply " + prompt[-1]
+        return lambda prompt: "reply " + json.loads(prompt.split("\n")[1])["product_id"]
 
-    x = asked(spark, d).select("bb_id", F.concat(F.lit("p"), (c("bb_id") % 10).cast("string")).alias("prompt"))
-    return clients.ask(x, "prompt", "reply", factory).select("bb_id", "reply")
+    return clients.ask(clean_prompt(spark, d), "prompt", "reply", factory).select("bb_id", "reply")
 
 
 @query
@@ -241,14 +241,14 @@ def l2_clean(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def phase1_clean(spark: SparkSession, d: str) -> DataFrame:
-    """The whole of phase one on the left side."""
-    x = raw(spark, d).where("side = 'A'").drop("side")
-    return out(pipeline.clean(x, CatalogConfig("A"), fixtures.clean_replies(spark, d)), ["bb_id", "side", "title_normalized_l0", *FINAL_TEXT], FINAL_SIZE)
+    """The whole of phase one on both sides."""
+    one = lambda side: pipeline.clean(raw(spark, d).where(c("side") == side).drop("side"), CatalogConfig(side), fixtures.clean_replies(spark, d))
+    return out(one("A").unionByName(one("B")), ["bb_id", "side", "title_normalized_l0", *FINAL_TEXT], FINAL_SIZE)
 
 
 @query
 def size_display(spark: SparkSession, d: str) -> DataFrame:
-    return l2(spark, d).select("bb_id", text.size_display(c("size_ml_final"), c("size_g_final"), F.lit(None).cast("double")).alias("size"))
+    return l2(spark, d).select("bb_id", text.size_display(c("size_ml_final"), c("size_g_final"), c("size_count_final")).alias("size"))
 
 
 @query
@@ -273,16 +273,10 @@ def l2_normalize(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The cosine of every candidate pair, from the vectors of both sides."""
     a, b = vector_sides(spark, d)
-    x = a.select(c("bb_id").alias("a_id"), c("embedding").alias("x")).join(b.select(c("bb_id").alias("b_id"), c("embedding").alias("y")), F.pmod(c("a_id"), F.lit(64)) == F.pmod(c("b_id") - 1, F.lit(64)))
-    return x.select("a_id", "b_id", r6(vec.cosine(c("x"), c("y"))).alias("cosine"))
-
-
-@query
-def cosine_all_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Every left vector with every right one."""
-    a, b = vector_sides(spark, d)
-    x = a.select(c("bb_id").alias("a_id"), c("embedding").alias("x")).crossJoin(b.select(c("bb_id").alias("b_id"), c("embedding").alias("y")))
+    pairs = matching.topk(a, b, FIXTURE.k).select("a_id", "b_id")
+    x = pairs.join(a.select(c("bb_id").alias("a_id"), c("embedding").alias("x")), "a_id").join(b.select(c("bb_id").alias("b_id"), c("embedding").alias("y")), "b_id")
     return x.select("a_id", "b_id", r6(vec.cosine(c("x"), c("y"))).alias("cosine"))
 
 
@@ -396,7 +390,7 @@ def review_band(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def review_prompt(spark: SparkSession, d: str) -> DataFrame:
-    x = kept(spark, d)
+    x = matching.review_band(kept(spark, d), FIXTURE)
     return x.select("a_id", "b_id", matching.review_prompt(x).alias("prompt"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -33,11 +34,11 @@ def read_credentials(path: str) -> tuple[str, str, str]:
         raise ValueError(f"{path} lacks openai.{e.args[0]}") from e
 
 
-def ask(df: DataFrame, prompt: str, reply: str, factory: Callable[[], Callable[[str], str]], threads: int = 5) -> DataFrame:
+def ask(df: DataFrame, prompt: str, reply: str, factory: Callable[[], Callable[[str], str]], threads: int = 5, pause: float = 0.0) -> DataFrame:
     """Adds `reply`: factory() makes a client in the worker, which answers a batch's prompts on `threads` threads; a failure is null.
 
-    The number of partitions times `threads` bounds what is asked at once. Tasks that run again ask again: write the replies to
-    a table before decoding them.
+    The number of partitions times `threads` bounds what is asked at once; each thread waits `pause` seconds after an answer.
+    Tasks that run again ask again: write the replies to a table before decoding them, and ask for what is `missing` there.
     """
     names = df.columns
 
@@ -52,6 +53,8 @@ def ask(df: DataFrame, prompt: str, reply: str, factory: Callable[[], Callable[[
                         return client(text)
                     except Exception:  # whatever a client raises counts as no reply
                         return None
+                    finally:
+                        time.sleep(pause)
 
                 got = list(pool.map(one, batch.column(prompt).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], names=[*names, reply])
@@ -60,6 +63,33 @@ def ask(df: DataFrame, prompt: str, reply: str, factory: Callable[[], Callable[[
     return df.mapInArrow(run, f"{kinds}, `{reply}` string")
 
 
+def missing(asked: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:
+    """The rows of `asked` without a reply in `stored`; a null reply counts as none."""
+    return asked if stored is None else asked.join(stored.where(F.col("reply").isNotNull()).select(*keys), keys, "left_anti")
+
+
+_LOADED: dict[str, object] = {}
+
+
+def sentence_encoder(model: str, batch_size: int = 64) -> Callable[[], Callable[[list[str]], np.ndarray]]:
+    """A factory of encoders by a named sentence-transformers model, which a worker loads once."""
+
+    def factory() -> Callable[[list[str]], np.ndarray]:
+        if model not in _LOADED:
+            from sentence_transformers import SentenceTransformer  # an optional package
+
+            _LOADED[model] = SentenceTransformer(model)
+
+        def encode(texts: list[str]) -> np.ndarray:
+            if not texts:
+                return np.zeros((0, 0), np.float32)
+            return np.asarray(_LOADED[model].encode(texts, batch_size=batch_size, show_progress_bar=False), np.float32)
+
+        return encode
+
+    return factory
+
+
 def hashing_encoder(dimension: int = 64) -> Callable[[list[str]], np.ndarray]:
     """An encoder that needs no model: hashed character trigrams."""
 

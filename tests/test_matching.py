@@ -1,3 +1,6 @@
+import sys
+import types
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from matchwright.functions import features, sizes, vectors
 from matchwright.operators import matching
 from matchwright.plans import pipeline
 from matchwright.plans.policy import FIXTURE, Policy
+from matchwright.sources import clients
 
 
 def sides(spark, n_a=23, n_b=40, d=5, seed=1):
@@ -33,6 +37,14 @@ def test_nearest_of_nothing(spark):
     assert matching.topk(a, b.limit(0), 5).count() == 0 and matching.topk(a.limit(0), b, 5).count() == 0
 
 
+@pytest.mark.parametrize("carried", [8_000_000, 0])
+def test_unsound_vectors_take_no_part(spark, carried):
+    kind = "bb_id long, embedding array<double>"
+    a = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [1.0]), (5, [0.0, None])], kind)
+    b = spark.createDataFrame([(11, [1.0, 0.1]), (12, [float("nan"), 0.0]), (13, None), (14, [0.0, 1.0]), (15, [1.0]), (16, [-1.0, 0.0])], kind)
+    assert rows(matching.topk(a, b, 2, carried=carried), "a_id", "b_id", "rank") == [(1, 11, 1), (1, 14, 2)]
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0])], "a array<double>, z array<double>")
     r = df.select(vectors.l2_normalize(F.col("a")).alias("u"), vectors.l2_normalize(F.col("z")).alias("n"), vectors.cosine(F.col("a"), F.col("a")).alias("c"), vectors.cosine(F.col("a"), F.col("z")).alias("o")).first()
@@ -155,3 +167,37 @@ def test_without_review_all_matches_are_final(spark):
     plain = pipeline.match(add(a), add(b), FIXTURE)
     none = pipeline.match(add(a), add(b), FIXTURE, lambda band: band.withColumn("gpt_label", F.lit("exact")))
     assert rows(plain, "bb_id_A", "bb_id_B") == rows(none, "bb_id_A", "bb_id_B") != []
+
+
+def test_replies_are_asked_for_once(spark):
+    asked = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "a_id long, prompt string")
+    stored = spark.createDataFrame([(1, "old"), (2, None)], "a_id long, reply string")
+    got = clients.ask(clients.missing(asked, stored, ["a_id"]), "prompt", "reply", lambda: str.upper, 2, 0.01)
+    assert rows(got, "a_id", "reply") == [(2, "Y"), (3, "Z")] and clients.missing(asked, None, ["a_id"]).count() == 3
+
+
+def test_reviews_by_a_client(spark):
+    band = spark.createDataFrame([(1, 2, "milk", "milk"), (1, 3, "milk", "beer")], "a_id long, b_id long, a_title_normalized_l0 string, b_title_normalized_l0 string")
+
+    def client():
+        return lambda prompt: '{"label": "exact", "score": 0.9}' if prompt.count("milk") == 2 else "no answer"
+
+    got = matching.review_decode(pipeline.ask_reviews(band, client))
+    assert rows(got, "a_id", "b_id", "gpt_label", "gpt_score") == [(1, 2, "exact", 0.9), (1, 3, "none", 0.0)]
+
+
+def test_named_encoder(monkeypatch):
+    calls = []
+
+    class Model:
+        def __init__(self, name):
+            calls.append(name)
+
+        def encode(self, texts, batch_size, show_progress_bar):
+            calls.append(batch_size)
+            return [[float(len(t))] for t in texts]
+
+    monkeypatch.setitem(sys.modules, "sentence_transformers", types.SimpleNamespace(SentenceTransformer=Model))
+    encode = clients.sentence_encoder("small", 8)()
+    assert encode(["a", "bcd"]).tolist() == [[1.0], [3.0]] and clients.sentence_encoder("small", 8)()([]).shape == (0, 0)
+    assert calls == ["small", 8]
