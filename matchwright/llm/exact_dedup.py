@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import free, packed, sliced
+from matchwright.llm.common import cut, free, packed, sliced
 
 SPACES = bytes(32 if x == 32 or 9 <= x <= 13 else x for x in range(256))
+BROADCAST_ROWS = 2_000_000  # 16 MB of row numbers
 MIN_CHUNK, MASK_BITS, MAX_CHUNK, DIGEST = 256, 11, 16384, 16
 
 
@@ -78,7 +79,7 @@ def chunked(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def _digest(chunk: bytes, size: int) -> bytes:
-    return hashlib.blake2b(chunk, digest_size=size).digest()
+    return hashlib.blake2b(chunk, digest_size=32).digest()[:size]
 
 
 def _texts(batch: pa.RecordBatch, text: str) -> list[bytes]:
@@ -87,38 +88,39 @@ def _texts(batch: pa.RecordBatch, text: str) -> list[bytes]:
     return [normalised(whole[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
-def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: int = DIGEST) -> DataFrame:
-    """(id, n_bytes, text_sha256, recipe): recipe holds the chunks' identifiers in order."""
+def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: int = DIGEST, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, columns of `carry`, n_bytes, text_sha256, recipe): recipe holds the chunks' identifiers in order."""
+    there = [id_col, *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text_col):
             texts = _texts(batch, text_col)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(id_col),
+                    *[batch.column(c) for c in there],
                     pa.array([len(x) for x in texts], pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
                     pa.array([b"".join(_digest(c, digest) for c in chunks) for chunks in chunked(texts)], pa.binary()),
                 ],
-                names=[id_col, "n_bytes", "text_sha256", "recipe"],
+                names=[*there, "n_bytes", "text_sha256", "recipe"],
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, text_sha256 string, recipe binary")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in there)
+    return docs.select(*there, text_col).mapInArrow(run, f"{kinds}, n_bytes long, text_sha256 string, recipe binary")
 
 
 def failed_identifiers(docs: DataFrame, text_col: str = "text", digest: int = DIGEST) -> DataFrame:
     """(chunk_id) of identifiers that stand for more than one byte string; none with a sound digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        sent: set[bytes] = set()
         for batch in sliced(batches, text_col):
             ids, chunks = [], []
             for found in chunked(_texts(batch, text_col)):
                 for c in found:
-                    if (seen := hash(c)) not in sent:  # the same bytes went out from this task already
-                        sent.add(seen)
-                        ids.append(_digest(c, digest))
+                    if (whole := _digest(c, 32)) not in sent:  # otherwise the same bytes went out from this task already
+                        sent.add(whole)
+                        ids.append(whole[:digest])
                         chunks.append(c)
             if len(sent) > 500_000:
                 sent.clear()
@@ -128,27 +130,30 @@ def failed_identifiers(docs: DataFrame, text_col: str = "text", digest: int = DI
     return moved.groupBy("chunk_id").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a <> b").select("chunk_id")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: int = DIGEST, salts: int = 32) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256, n_bytes.
-
-    The groups of two and more, a small relation, are repeated over `salts` keys for the join back, so that a group
-    with a third of all rows is dealt over that many tasks.
-    """
-    made = recipes(docs, id_col, text_col, digest)
-    rows = made.groupBy(id_col, "n_bytes", "text_sha256", "recipe").agg(F.count(F.lit(1)).alias("times"))
+def _keyed(rows: DataFrame, docs: DataFrame, text_col: str, digest: int) -> DataFrame:
+    """Rows with their `key`: the recipe, or the digest of the whole text where an identifier in the recipe failed."""
     parts = F.expr(f"transform(sequence(1, cast(length(recipe) / {digest} as int)), i -> substring(recipe, (i - 1) * {digest} + 1, {digest}))")
     broken = (
         rows.where(F.length("recipe") > 0).select("recipe", F.explode(parts).alias("chunk_id"))
         .join(failed_identifiers(docs, text_col, digest), "chunk_id", "left_semi")
         .select("recipe", F.lit(True).alias("failed")).distinct()
     )
-    rows = rows.join(broken, "recipe", "left").withColumn(
-        "key", F.when(F.col("failed"), F.concat(F.lit("text:").cast("binary"), F.col("text_sha256").cast("binary"))).otherwise(F.col("recipe"))
-    )
-    keys = rows.groupBy("key").agg(F.min(id_col).alias("keep_id"), F.sum("times").alias("group_size")).where("group_size > 1")
+    whole = F.concat(F.lit("text:").cast("binary"), F.col("text_sha256").cast("binary"))
+    return rows.join(broken, "recipe", "left").withColumn("key", F.when(F.col("failed"), whole).otherwise(F.col("recipe")))
+
+
+def _met(rows: DataFrame, keys: DataFrame, by: str, how: str, salts: int) -> DataFrame:
+    """Rows with what their key's group says: each group is there once for each salt, so a hot one is dealt over `salts` tasks."""
     keys = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
-    each = salted.join(keys, ["key", "salt"], "left").withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).join(keys, ["key", "salt"], how)
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: int = DIGEST, salts: int = 32) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256, n_bytes."""
+    made = recipes(docs, id_col, text_col, digest)
+    rows = _keyed(made.groupBy(id_col, "n_bytes", "text_sha256", "recipe").agg(F.count(F.lit(1)).alias("times")), docs, text_col, digest)
+    keys = rows.groupBy("key").agg(F.min(id_col).alias("keep_id"), F.sum("times").alias("group_size")).where("group_size > 1")
+    each = _met(rows, keys, id_col, "left", salts).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col(id_col)).otherwise(F.col("keep_id"))
     return each.select(
@@ -161,13 +166,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, that exact_dedup keeps."""
-    ident, sha_there, own = (free(x, docs.columns) for x in ("_keep_id", "_keep_sha", "_own_sha"))
-    found = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias(ident), F.col("text_sha256").alias(sha_there))
-    sha = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
-    once = docs.withColumn(own, sha).dropDuplicates([id_col, own])
-    return once.join(found, F.col(id_col).eqNullSafe(F.col(ident)) & (F.col(own) == F.col(sha_there)), "left_semi").drop(own)
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: int = DIGEST, salts: int = 32) -> DataFrame:
+    """The rows of `docs`, all columns, less those whose text an earlier row has: by id, a null id last, then by place in the scan.
+
+    Only recipes and row numbers move; `docs` must be a table scan or otherwise stable.
+    """
+    row = free("_row", docs.columns)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    rows = _keyed(recipes(numbered, id_col, text_col, digest, (row,)), docs, text_col, digest)
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row")))
+    keys = rows.groupBy("key").agg(first.alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1").select("key", F.col("first.row").alias("stays"))
+    gone = cut(_met(rows, keys, row, "inner", salts).where(F.col(row) != F.col("stays")).select(row))
+    if gone.count() <= BROADCAST_ROWS:  # otherwise rows meet their numbers in a shuffle
+        gone = F.broadcast(gone)
+    return numbered.join(gone, row, "left_anti").drop(row)
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:

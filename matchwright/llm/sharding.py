@@ -8,7 +8,7 @@ a function of the seed and the rows, so a task that runs again writes the same.
 
 Cases: null texts have size 1; null ids and repeated rows are scattered like any others (identical rows meet in one
 bucket only if all their columns are equal; a tie then does not show); empty tables give empty shards; extra columns ride
-along.
+along, maps and other nested ones too; a text longer than a bucket makes that bucket as large as itself.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from matchwright.llm.common import MB, free, pieces, text_bytes
 
 ADDED = ("bucket", "place", "shard", "slot")
-#: Positions of a bucket's rows are dealt by one task; more rows than this in a bucket split it.
+#: The driver holds the number of rows of each bucket, so many at most.
 MAX_BUCKETS = 1 << 20
 
 
@@ -34,10 +34,19 @@ def _fisher_yates(n: int, seed: int) -> np.ndarray:
 
 
 def _canonical(t: pa.Table, first: list[str]) -> np.ndarray:
-    """An order of the rows that depends on their values alone."""
+    """An order of the rows that depends on their values alone; nested values are ordered as they are written."""
     keys = [c for c in first if c in t.column_names] + [c for c in t.column_names if c not in first]
-    usable = [c for c in keys if not (pa.types.is_nested(t.schema.field(c).type))]
-    return pc.sort_indices(t, sort_keys=[(c, "ascending") for c in usable]).to_numpy()
+    plain = {}
+    for k, c in enumerate(keys):
+        col = t.column(c)
+        plain[str(k)] = pa.array([str(v) for v in col.to_pylist()]) if pa.types.is_nested(col.type) else col
+    return pc.sort_indices(pa.table(plain), sort_keys=[(k, "ascending") for k in plain]).to_numpy()
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.StructType) and any(_has_map(f.dataType) for f in kind)
 
 
 def two_pass_shuffle(
@@ -50,7 +59,8 @@ def two_pass_shuffle(
     bucket_, place_, shard_, slot_ = (free(x, docs.columns) for x in ADDED)
     _, size = text_bytes(docs, text_col)
     buckets = min(MAX_BUCKETS, pieces(size, bucket_bytes, 16))
-    keyed = docs.withColumn(bucket_, F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in docs.columns]), F.lit(buckets)).cast("int"))
+    values = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in docs.schema]  # maps have no hash
+    keyed = docs.withColumn(bucket_, F.pmod(F.xxhash64(F.lit(seed), *values), F.lit(buckets)).cast("int"))
     # one number for each bucket, MAX_BUCKETS at most
     counts = np.zeros(buckets + 1, dtype=np.int64)
     for row in keyed.groupBy(bucket_).count().collect():

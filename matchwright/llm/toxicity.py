@@ -1,7 +1,7 @@
 """Toxicity scores from a learned lexicon, matched with one edit, and the context of the matches.
 
 Fitting takes at most `sample` labelled rows (the least hashes of their ids), all of them where fewer are labelled. Stems
-that toxic texts hold and clean ones lack make the lexicon, `terms` at most. The lexicon's trie is intersected with the
+that toxic texts hold and clean ones lack make the lexicon, all for which the evidence suffices. The lexicon's trie is intersected with the
 Levenshtein automaton of each stem: the product is determinised once, so that a token runs through one table, byte by byte,
 and ends as an exact match, a match with one edit (stems of five letters and more), or none. Around each match a window of
 words gives its context: other matches close by speak for abuse, quotation marks or a reporting colon before it for a
@@ -24,17 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import free, lowered, packed, sliced, words_of
+from matchwright.llm.common import cut, free, lowered, packed, sliced, words_of
 
-SAMPLE, TERMS, WINDOW = 20_000, 256, 12
-#: Stems that the driver may see, and the log-likelihood ratio that chance does not reach among millions of stems.
-STEMS, EVIDENCE = 50_000, 17.0
+SAMPLE, WINDOW = 20_000, 12
+#: The log-likelihood ratio that chance does not reach among millions of stems.
+EVIDENCE = 17.0
 STEM_LEAST, STEM_MOST, FUZZY_LEAST = 4, 12, 5
 FEATURES = 7
 #: Bytes that cannot stand in a term: they are dropped from a token's ends and keep their context meaning.
 QUOTES = (b'"', b"'", b"\xc2\xab", b"\xc2\xbb", b"\xe2\x80\x9c", b"\xe2\x80\x9d", b"\xe2\x80\x9e", b"`")
 EDGE = np.zeros(256, bool)
 EDGE[[c for c in range(128) if not chr(c).isalnum()]] = True
+MARKS = bytes(np.flatnonzero(EDGE).tolist())
 
 
 @dataclass
@@ -140,13 +141,10 @@ def matches(auto: Automaton, raw: np.ndarray, start: np.ndarray, stop: np.ndarra
 
 def trimmed(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens without the marks at their front; marks inside or after a token do not matter to a prefix match."""
-    start = start.copy()
-    for _ in range(4):
-        edge = (start < stop) & EDGE[raw[np.minimum(start, len(raw) - 1)]]
-        if not edge.any():
-            break
-        start[edge] += 1
-    return start, stop
+    inside = np.flatnonzero(~EDGE[raw])
+    at = np.searchsorted(inside, start)
+    first = np.append(inside, len(raw))[at]
+    return np.minimum(first, stop), stop
 
 
 def features(auto: Automaton, raw: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -206,7 +204,7 @@ class Model:
 
 
 def stem_counts(texts: list[bytes], toxic: list[int]) -> dict[bytes, list[int]]:
-    """In how many toxic and how many other texts each stem (the first letters of a word) stands."""
+    """In how many toxic and how many other texts each stem (the first letters of a word, and a longer word itself) stands."""
     out: dict[bytes, list[int]] = {}
     for text, y in zip(texts, toxic):
         raw = lowered(np.frombuffer(text, np.uint8))
@@ -215,24 +213,25 @@ def stem_counts(texts: list[bytes], toxic: list[int]) -> dict[bytes, list[int]]:
         start, stop, _ = words_of(raw, np.array([0, len(raw)]))
         s, e = trimmed(raw, start, stop)
         whole = raw.tobytes()
-        words = {whole[a : min(b, a + STEM_MOST)] for a, b in zip(s.tolist(), e.tolist()) if b - a >= STEM_LEAST}
-        for w in {w[:k] for w in words for k in range(STEM_LEAST, len(w) + 1)}:
+        words = {whole[a:b] for a, b in zip(s.tolist(), e.tolist()) if b - a >= STEM_LEAST}
+        stems = {w[:k] for w in words for k in range(STEM_LEAST, min(len(w), STEM_MOST) + 1)}
+        for w in stems | {w.rstrip(MARKS) for w in words if len(w) > STEM_MOST}:
             out.setdefault(w, [0, 0])[0 if y else 1] += 1
     return out
 
 
-def choose_terms(counts: dict[bytes, tuple[int, int]], n_yes: int, n_no: int, terms: int = TERMS) -> list[bytes]:
-    """Stems by likelihood ratio, nearly pure ones only; of stems that stand for nearly the same texts the longest."""
+def evidence(a: float, b: float, base: float) -> float:
+    """The log-likelihood ratio of a toxic and b other texts against a share of `base`."""
+    p = a / (a + b)
+    return a * math.log(p / base) + (b * math.log((1 - p) / (1 - base)) if b else 0)
+
+
+def choose_terms(counts: dict[bytes, tuple[int, int]], n_yes: int, n_no: int) -> list[bytes]:
+    """Stems of enough evidence, nearly pure ones only; of stems that stand for nearly the same texts the longest."""
     if not n_yes or not n_no:
         return []
     base = n_yes / (n_yes + n_no)
-    count = {}
-    for w, (a, b) in counts.items():
-        if a < 3 or a < 9 * b or EDGE[w[-1]] or (w[-1] & 0xC0) == 0xC0:
-            continue
-        p = a / (a + b)
-        if a * math.log(p / base) + (b * math.log((1 - p) / (1 - base)) if b else 0) >= EVIDENCE:
-            count[w] = a
+    count = {w: a for w, (a, b) in counts.items() if a >= 3 and a >= 9 * b and not EDGE[w[-1]] and (w[-1] & 0xC0) != 0xC0 and evidence(a, b, base) >= EVIDENCE}
     by_stem = defaultdict(list)
     for w in sorted(count):
         by_stem[w[:STEM_LEAST]].append(w)
@@ -248,7 +247,7 @@ def choose_terms(counts: dict[bytes, tuple[int, int]], n_yes: int, n_no: int, te
                     break
                 w = longer[0]
             chosen.add(w)
-    return sorted(sorted(chosen, key=lambda w: (-count[w], w))[:terms])
+    return sorted(chosen)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
@@ -269,11 +268,11 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, terms: int = TERMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """A model from at most `sample` labelled rows (id, toxic) of the training folds.
 
     Texts stay on the executors: they send stem counts, of which the driver takes those with enough evidence, and then a
-    few numbers for each sampled row.
+    few numbers for each sampled row. Stems are counted in distinct texts, so copies of one text weigh once.
     """
     few = (
         labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
@@ -291,11 +290,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 names=["stem", "a", "b"],
             )
 
-    kinds = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
+    once = cut(rows.groupBy("text").agg(F.max("toxic").alias("toxic")))
+    kinds = {r[0]: r[1] for r in once.groupBy("toxic").count().collect()}
     n_yes, n_no = kinds.get(1, 0), kinds.get(0, 0)
-    strong = rows.mapInArrow(count, "stem binary, a long, b long").groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    strong = strong.where("a >= 3 and a >= 9 * b").orderBy(F.desc("a"), "b", "stem").limit(STEMS)
-    lexicon = choose_terms({bytes(r[0]): (r[1], r[2]) for r in strong.collect()}, n_yes, n_no, terms)
+    if not n_yes or not n_no:
+        return Model()
+    strong = once.mapInArrow(count, "stem binary, a long, b long").groupBy("stem").agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b"))
+    base = n_yes / (n_yes + n_no)
+    ratio = F.expr(f"a * ln(a / (a + b) / {base}D) + if(b > 0, b * ln(b / (a + b) / {1 - base}D), 0)")
+    # a little slack, as the driver decides; what passes is bounded by the sample
+    strong = strong.where("a >= 3 and a >= 9 * b").where(ratio >= EVIDENCE - 1e-6)
+    lexicon = choose_terms({bytes(r[0]): (r[1], r[2]) for r in strong.collect()}, n_yes, n_no)
     if not lexicon:
         return Model()
     auto = build_automaton(lexicon)

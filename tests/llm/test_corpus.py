@@ -98,6 +98,20 @@ def test_automaton_equals_edit_distance():
         assert v == (2 if exact else 1 if near else 0), t
 
 
+def test_marks_before_a_word_are_stripped_whatever_their_number():
+    raw = np.frombuffer(b"[[[[[[[[wretch, ((( plain", np.uint8)
+    start, stop, _ = toxicity.words_of(raw, np.array([0, len(raw)]))
+    start, stop = toxicity.trimmed(raw, start, stop)
+    assert [raw[a:b].tobytes() for a, b in zip(start, stop)] == [b"wretch,", b"", b"plain"]
+    auto = toxicity.build_automaton([b"wretch"])
+    assert toxicity.matches(auto, raw, start, stop).tolist() == [2, 0, 0]
+
+
+def test_long_stems_stand_for_themselves():
+    counts = toxicity.stem_counts([b"extraordinarily, fine", b"extraordinarily-"], [1, 0])
+    assert counts[b"extraordinarily"] == [1, 1] and counts[b"extraordinar"] == [1, 1] and b"extraordinari" not in counts
+
+
 def test_toxicity_learns_held_out(spark, docs, empty):
     rng = random.Random(2)
     rows, labels = [], []
@@ -144,6 +158,13 @@ def test_two_pass_shuffle(spark, docs, empty, tmp_path):
 # ---- 3
 
 
+def test_two_pass_shuffle_of_nested_columns(spark):
+    kind = "doc_id long, text string, m map<string,int>, l array<struct<a:int>>, bucket string"
+    rows = [(i % 5, "same", {"x": i % 2}, [(i % 3,)], "b") for i in range(40)] + [(None, None, None, None, None)]
+    out = sharding.two_pass_shuffle(spark.createDataFrame(rows, kind), 4).collect()
+    assert len(out) == 41 and sorted((r.shard, r.slot) for r in out) == sorted((k % 4, k // 4) for k in range(41))
+
+
 def test_encoder_equals_the_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
