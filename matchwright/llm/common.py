@@ -46,6 +46,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop(df: DataFrame) -> None:
+    """Deletes the files of a frame that cut() made and nothing reads any more."""
+    held = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if held.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(held.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> tuple[int, int]:
     """(rows, UTF-8 bytes of the text column): one pass over a single column, for sizing partitions."""
     row = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long"))).first()
@@ -99,6 +107,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct values, first place of each, index of each key among them) of uint64 hashes.
+
+    High bits and places are sorted as one number, which is several times as fast as an indirect sort; where the bits left out
+    matter, the few places are put right afterwards.
+    """
+    n = len(keys)
+    if not n or n >= 1 << 24:
+        return np.unique(keys, return_index=True, return_inverse=True)
+    low = np.uint64((1 << 24) - 1)
+    both = (keys & ~low) | np.arange(n, dtype=np.uint64)
+    both.sort()
+    order, both = (both & low).astype(np.int64), both >> np.uint64(24)
+    ks = keys[order]
+    for at in np.flatnonzero(ks[1:] < ks[:-1]).tolist():
+        i, j = np.searchsorted(both, both[at]), np.searchsorted(both, both[at], side="right")
+        run = np.sort(order[i:j])
+        order[i:j] = run[np.argsort(keys[run], kind="stable")]
+        ks[i:j] = keys[order[i:j]]
+    new = np.append(True, ks[1:] != ks[:-1])
+    inverse = np.empty(n, np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ks[new], order[new], inverse
+
+
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 

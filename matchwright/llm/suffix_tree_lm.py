@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import BASE_A, BASE_B, MB, Rolling, cut, lowered, mix, packed, pieces, sliced, text_bytes, words_of
+from matchwright.llm.common import BASE_A, BASE_B, MB, Rolling, cut, distinct, drop, lowered, mix, packed, pieces, sliced, text_bytes, words_of
 
 DEPTH, BITS = 3, 14
 REPEATED, LEAST, DIVERGES = 2, 20, 12.0
@@ -79,6 +79,18 @@ def _zipped(*values: np.ndarray) -> bytes:
     return pa.compress(b"".join(x.tobytes() for x in values), codec="zstd", asbytes=True)
 
 
+def _coded(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte by byte of all of them: the high bytes of hashes that lie close vanish."""
+    step = np.diff(keys, prepend=np.uint64(0))
+    return len(keys).to_bytes(4, "little") + pa.compress(step.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _decoded(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:4], "little")
+    step = np.frombuffer(pa.decompress(blob[4:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(step.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _unzipped(blob: bytes, size: int) -> bytes:
     return pa.decompress(blob, size, codec="zstd", asbytes=True)
 
@@ -89,7 +101,7 @@ def _tokens(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     raw = lowered(raw)
     start, stop, doc = words_of(raw, offsets)
     h = Rolling(raw).of(start, stop) if len(start) else np.zeros(0, np.uint64)
-    u, first, inv = np.unique(h, return_index=True, return_inverse=True)
+    u, first, inv = distinct(h)
     return raw, start[first], stop[first], u, inv, doc
 
 
@@ -109,20 +121,23 @@ def _sent(buckets: int):
 
 
 def _met(t: pa.Table) -> pa.Table:
-    """Kind 0: corpus counts of the words of (part, bucket), in their order. 1: counts of the trained words. 2: tokens, distinct, ends."""
+    """Kind 0: corpus counts of the words of (part, bucket), in their order. 1: see sorted_out. 2: tokens, distinct, ends."""
     kind = t.column("kind").to_numpy()
     keys, counts, part = t.column("keys").to_pylist(), t.column("counts").to_pylist(), t.column("part").to_numpy()
     bucket, out = t.column("bucket")[0].as_py(), []
     mine = np.flatnonzero(kind == 0)
     if len(mine):
-        u, inv = np.unique(np.concatenate([np.frombuffer(keys[i], np.uint64) for i in mine]), return_inverse=True)
-        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(_unzipped(counts[i], len(keys[i]) // 2), np.uint32) for i in mine]), minlength=len(u)).astype(np.int64)
+        held = [_decoded(keys[i]) for i in mine]
+        u, _, inv = distinct(np.concatenate(held))
+        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(_unzipped(counts[i], 4 * len(k)), np.uint32) for i, k in zip(mine, held)]), minlength=len(u)).astype(np.int64)
         at = 0
-        for i in mine:
-            n = len(keys[i]) // 8
+        for i, k in zip(mine, held):
+            n = len(k)
             out.append((0, bucket, int(part[i]), b"", _zipped(total[inv[at : at + n]])))
             at += n
-        out.append((1, bucket, -1, b"", total[total > 0].tobytes()))
+        spread = np.bincount(np.minimum(total[total > 0], REPEATED + 1), weights=total[total > 0], minlength=REPEATED + 2)
+        kinds = np.bincount(np.minimum(total[total > 0], REPEATED + 1), minlength=REPEATED + 2)
+        out.append((1, bucket, -1, b"", np.array([spread[:REPEATED].sum(), kinds[:REPEATED].sum(), kinds[1], kinds[2], kinds[REPEATED:].sum()], np.int64).tobytes()))
         out.append((2, bucket, -1, b"", np.array([total.sum(), (total > 0).sum(), 0], np.int64).tobytes()))
     for i in np.flatnonzero(kind == 2):
         out.append((2, bucket, -1, b"", np.array([0, 0, np.frombuffer(counts[i], np.int64)[0]], np.int64).tobytes()))
@@ -135,7 +150,7 @@ def _put(out: dict[str, list], kind: int, part: int, buckets: int, keys: np.ndar
     bounds = _bounds(keys, buckets)
     for b in np.flatnonzero(np.diff(bounds)).tolist():
         i, j = bounds[b], bounds[b + 1]
-        for k, v in zip(out, (kind, b, part, keys[i:j].tobytes(), _zipped(*[x[i:j] for x in values]))):
+        for k, v in zip(out, (kind, b, part, _coded(keys[i:j]), _zipped(*[x[i:j] for x in values]))):
             out[k].append(v)
 
 
@@ -221,7 +236,7 @@ class Part:
     def asked(self, *lengths: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """(distinct keys, index of each place among them, places) of the runs of such lengths."""
         places = [np.flatnonzero(self.known[n - 1]) for n in lengths]
-        u, inv = np.unique(np.concatenate([self.keys[n][at] for n, at in zip(lengths, places)]), return_inverse=True)
+        u, _, inv = distinct(np.concatenate([self.keys[n][at] for n, at in zip(lengths, places)]))
         return u, inv, places
 
     def twos(self):
@@ -250,7 +265,7 @@ class Part:
     def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """(distinct keys of contexts, first occurrence among the places, index of each place, places by length)."""
         places = [np.flatnonzero(self.known[d]) for d in range(1, DEPTH + 1)]
-        u, first, inv = np.unique(np.concatenate([self.keys[d + 1][at - 1] for d, at in enumerate(places)]), return_index=True, return_inverse=True)
+        u, first, inv = distinct(np.concatenate([self.keys[d + 1][at - 1] for d, at in enumerate(places)]))
         return u, first, inv, places
 
     def seen(self, d: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -277,10 +292,11 @@ def _answered(kind: int):
     def run(t: pa.Table) -> pa.Table:
         keys, counts, part = t.column("keys").to_pylist(), t.column("counts").to_pylist(), t.column("part").to_pylist()
         out, at = _none(), 0
-        u, inv = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in keys]), return_inverse=True)
-        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(_unzipped(x, len(k) // 2), np.uint32) for k, x in zip(keys, counts)]), minlength=len(u)).astype(np.uint32)
+        keys = [_decoded(x) for x in keys]
+        u, _, inv = distinct(np.concatenate(keys))
+        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(_unzipped(x, 4 * len(k)), np.uint32) for k, x in zip(keys, counts)]), minlength=len(u)).astype(np.uint32)
         for x, p in zip(keys, part):
-            n = len(x) // 8
+            n = len(x)
             for k, v in zip(out, (kind, t.column("bucket")[0].as_py(), p, b"", _zipped(total[inv[at : at + n]]))):
                 out[k].append(v)
             at += n
@@ -314,19 +330,20 @@ def _weighing(corpus: Corpus, buckets: int):
 
 
 def _split(key: bytes, blob: bytes) -> tuple[np.ndarray, ...]:
-    n = len(key) // 8
+    keys = _decoded(key)
+    n = len(keys)
     blob = _unzipped(blob, 16 * n)
-    return np.frombuffer(key, np.uint64), np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.float32, n, 8 * n), np.frombuffer(blob, np.float32, n, 12 * n)
+    return keys, np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.float32, n, 8 * n), np.frombuffer(blob, np.float32, n, 12 * n)
 
 
 def _weighed(t: pa.Table) -> pa.Table:
     """A bucket's contexts in one row: the shorter ones, the numbers of symbols and the divergences."""
     keys, above, kinds, gain = (np.concatenate(x) for x in zip(*map(_split, t.column("keys").to_pylist(), t.column("counts").to_pylist())))
-    u, inv = np.unique(keys, return_inverse=True)
+    u, _, inv = distinct(keys)
     up = np.zeros(len(u), np.uint64)
     up[inv[above > 0]] = above[above > 0]
     kinds, gain = (np.bincount(inv, weights=x, minlength=len(u)) for x in (kinds, gain))
-    return _table({"kind": [0], "bucket": [t.column("bucket")[0].as_py()], "part": [-1], "keys": [u.tobytes()], "counts": [_zipped(up, np.rint(kinds).astype(np.float32), gain.astype(np.float32))]})
+    return _table({"kind": [0], "bucket": [t.column("bucket")[0].as_py()], "part": [-1], "keys": [_coded(u)], "counts": [_zipped(up, np.rint(kinds).astype(np.float32), gain.astype(np.float32))]})
 
 
 def _lifting(buckets: int):
@@ -349,7 +366,7 @@ def _lifted(left: pa.Table, right: pa.Table) -> pa.Table:
     out = _none()
     for key, blob in zip(left.column("keys").to_pylist(), left.column("counts").to_pylist()):
         u, above, kinds, gain = _split(key, blob)
-        up = [np.frombuffer(x, np.uint64) for x in right.column("keys").to_pylist()]
+        up = [_decoded(x) for x in right.column("keys").to_pylist()]
         gain = np.where(np.isin(u, np.concatenate(up)), np.float32(np.inf), gain) if up else gain
         for k, v in zip(out, (0, left.column("bucket")[0].as_py(), -1, key, _zipped(above, kinds, gain))):
             out[k].append(v)
@@ -363,7 +380,7 @@ def _judged(left: pa.Table, right: pa.Table) -> pa.Table:
         u, _, kinds, gain = _split(right.column("keys")[0].as_py(), right.column("counts")[0].as_py())
         value = np.where(gain >= DIVERGES, kinds, -kinds).astype(np.int32)
         for key, p in zip(left.column("keys").to_pylist(), left.column("part").to_pylist()):
-            for k, v in zip(out, (WEIGHED, left.column("bucket")[0].as_py(), p, b"", _zipped(value[np.searchsorted(u, np.frombuffer(key, np.uint64))]))):
+            for k, v in zip(out, (WEIGHED, left.column("bucket")[0].as_py(), p, b"", _zipped(value[np.searchsorted(u, _decoded(key))]))):
                 out[k].append(v)
     return _table(out)
 
@@ -492,7 +509,7 @@ def _swept(spark: SparkSession) -> None:
 def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = 6 * MB) -> DataFrame:
     """id, train boolean, n_tokens, n_known, train_tokens, base_score, score; `train` says which rows to learn from."""
     _, size = text_bytes(docs, text_col)
-    parts, buckets = pieces(size, part_bytes, 12), min(pieces(size, 8 * MB, 16), 2048)
+    parts, buckets = pieces(size, part_bytes, 12), pieces(size, 8 * MB, 16)
     placed = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), train.alias("train"))
     placed = placed.withColumn("part", F.pmod(F.xxhash64(F.lit(5), id_col, "text"), F.lit(parts)).cast("int"))
     met = cut(placed.groupBy("part").applyInArrow(_sent(buckets), SENT).groupBy("bucket").applyInArrow(_met, SENT))
@@ -513,9 +530,7 @@ def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id",
         """Of the words that are no symbols: tokens and distinct words; the words seen once and twice, and those that are symbols."""
         for batch in batches:
             for counts in batch.column("counts").to_pylist():
-                n = np.frombuffer(counts, np.int64)
-                few = n[n < REPEATED]
-                yield pa.RecordBatch.from_arrays([pa.array([int(v)]) for v in (few.sum(), len(few), (n == 1).sum(), (n == 2).sum(), len(n) - len(few))], names=list("abcde"))
+                yield pa.RecordBatch.from_arrays([pa.array([int(v)]) for v in np.frombuffer(counts, np.int64)], names=list("abcde"))
 
     row = met.where("kind = 1").select("counts").mapInArrow(sorted_out, "a long, b long, c long, d long, e long").agg(*[F.sum(c) for c in "abcde"]).first()
     other_n, other_v, once, twice, symbols = (int(x or 0) for x in row)
@@ -533,10 +548,16 @@ def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id",
     asked = cut(told(_weighing(corpus, buckets), SENT, *answers))
     held = cut(asked.groupBy("bucket").applyInArrow(_weighed, SENT))
     for _ in range(DEPTH - 1):
+        _swept(docs.sparkSession)
         up = held.select("keys", "counts").mapInArrow(_lifting(buckets), SENT)
-        held = cut(held.groupBy("bucket").cogroup(up.groupBy("bucket")).applyInArrow(_lifted, SENT))
+        before, held = held, cut(held.groupBy("bucket").cogroup(up.groupBy("bucket")).applyInArrow(_lifted, SENT))
+        drop(before)
+    del before, up
+    _swept(docs.sparkSession)
     answers.append(cut(asked.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(_judged, SENT)))
-    del asked, held, up
+    drop(asked)
+    drop(held)
+    del asked, held
     _swept(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     out = told(_scored(corpus, buckets, id_col), f"`{id_col}` {kind}, train boolean, n_tokens long, n_known long, base_score double, score double", *answers)
