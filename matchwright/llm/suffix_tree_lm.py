@@ -501,7 +501,7 @@ def _scored(corpus: Corpus, buckets: int, ident: str):
 def _swept(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of exchanges that are over: it does so once the driver has collected their handles."""
     gc.collect()
-    for _ in range(2):  # the first collection only frees what still holds the handles
+    for _ in range(3):  # the first collection only frees what still holds the handles
         spark.sparkContext._jvm.System.gc()
         time.sleep(1)
 
@@ -546,6 +546,7 @@ def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id",
         answers.append(cut(asked.groupBy("bucket").applyInArrow(_answered(kind), SENT)))
         _swept(docs.sparkSession)
     asked = cut(told(_weighing(corpus, buckets), SENT, *answers))
+    _swept(docs.sparkSession)
     held = cut(asked.groupBy("bucket").applyInArrow(_weighed, SENT))
     for _ in range(DEPTH - 1):
         _swept(docs.sparkSession)
