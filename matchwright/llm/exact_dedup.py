@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import cut, free, packed, sliced
+from matchwright.llm.common import MB, cut, free, packed, release, sliced
 
 SPACES = bytes(32 if x == 32 or 9 <= x <= 13 else x for x in range(256))
 BROADCAST_ROWS = 2_000_000  # 16 MB of row numbers
@@ -93,7 +93,7 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
     there = [id_col, *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col):
+        for batch in sliced(batches, text_col, 4 * MB):
             texts = _texts(batch, text_col)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -104,6 +104,8 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
                 ],
                 names=[*there, "n_bytes", "text_sha256", "recipe"],
             )
+            del batch, texts
+        release()
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in there)
     return docs.select(*there, text_col).mapInArrow(run, f"{kinds}, n_bytes long, text_sha256 string, recipe binary")
@@ -114,7 +116,7 @@ def failed_identifiers(docs: DataFrame, text_col: str = "text", digest: int = DI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
-        for batch in sliced(batches, text_col):
+        for batch in sliced(batches, text_col, 4 * MB):
             ids, chunks = [], []
             for found in chunked(_texts(batch, text_col)):
                 for c in found:
@@ -125,6 +127,9 @@ def failed_identifiers(docs: DataFrame, text_col: str = "text", digest: int = DI
             if len(sent) > 500_000:
                 sent.clear()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(chunks, pa.binary())], names=["chunk_id", "chunk"])
+            del batch, ids, chunks
+        del sent
+        release()
 
     moved = docs.select(text_col).mapInArrow(run, "chunk_id binary, chunk binary")
     return moved.groupBy("chunk_id").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a <> b").select("chunk_id")

@@ -305,6 +305,7 @@ def _linked(size: int, percent: int):
             both = np.bincount(d, minlength=n_pairs) - common
             keep = np.flatnonzero((100 * common >= percent * both) & (common > 0))
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep)) for c in "ab"], names=["u", "v"])
+            del batch, dx, hx, dy, hy, d, h, order, twice
         release()
 
     return run
@@ -319,7 +320,7 @@ def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataF
     texts = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi")
     one = pairs.join(texts.select(F.col(ROW).alias("a"), F.col("text").alias("x")), "a")
     two = one.join(texts.select(F.col(ROW).alias("b"), F.col("text").alias("y")), "b")
-    return two.select("a", "b", "x", "y").mapInArrow(_linked(size, percent), "u long, v long")
+    return cut(two.select("a", "b", "x", "y").mapInArrow(_linked(size, percent), "u long, v long"))
 
 
 def _overlap(x: str, y: str, percent: int):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import MB, cut, packed, pieces, sliced, text_bytes
+from matchwright.llm.common import MB, cut, packed, pieces, release, sliced, text_bytes
 
 WINDOW, QUANTUM, END = 1024, 128, 0
 #: Lead bytes of characters among which Unicode white space is found: no cut stands before them.
@@ -79,7 +79,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, source_col: str, voca
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = None
-        for batch in sliced(batches, "text", 4 * MB):
+        for batch in sliced(batches, "text", 2 * MB):
             coder = coder or Encoder(vocabulary, pattern)
             ids, first = coder.encode(*packed(batch.column("text")))
             ids, first = ids.astype(np.uint16), first.tolist()
@@ -88,6 +88,9 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, source_col: str, voca
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("source"), pa.array([len(x) // 2 for x in blobs], pa.int64()), pa.array(blobs, pa.binary()), batch.column("order")], names=["id", "source", "n", "ids", "order"]
             )
+            del batch, ids, first, blobs
+        del coder
+        release()
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"), F.xxhash64(F.lit(3), id_col, text_col, source_col).alias("order"))

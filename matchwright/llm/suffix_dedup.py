@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import BASE_B, MB, Rolling, packed, pieces, sliced, text_bytes
+from matchwright.llm.common import BASE_B, MB, Rolling, packed, pieces, release, sliced, text_bytes
 from matchwright.llm.induced_sort import sorted_suffixes
 
 LENGTH, GRAM = 100, 32
@@ -155,11 +155,9 @@ def _sent(buckets: int, length: int, gram: int, flush: int):
         x["first"], x["last"] = x["at"] - x["first"], x["at"] - x["last"]
         bucket = (x["hash"] >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            if bounds[b + 1] > bounds[b]:
-                pick = order[bounds[b] : bounds[b + 1]]
-                put(b, {k: v[pick] for k, v in x.items()})
+        there, edge = np.unique(bucket[order], return_index=True)
+        for b, pick in zip(there.tolist(), np.split(order, edge[1:])):
+            put(b, {k: v[pick] for k, v in x.items()})
         yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int32()), *[pa.array(out[k], pa.binary()) for k in KINDS]], names=["bucket", *KINDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,6 +175,8 @@ def _sent(buckets: int, length: int, gram: int, flush: int):
                 held, rows, ids, count, docs = [], [], [], 0, 0
         if count:
             yield from emit(held, np.concatenate(rows), np.concatenate(ids))
+        del held
+        release()
 
     return run
 
@@ -234,6 +234,7 @@ def _cut(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBa
             ],
             names=["shard", "row", "id", "start", "bytes"],
         )
+    release()
 
 
 def _sorted_shard(length: int, limit: int, base: int):
@@ -263,6 +264,8 @@ def _sorted_shard(length: int, limit: int, base: int):
         later = np.flatnonzero(np.append(False, g[1:] == g[:-1]))
         w, o = w[later], o[later]
         w, a, b = merged(w, o, o + length)
+        del text, order, lcp, which, offset, full, link, group
+        release()
         return _ranges(1, row[w], ident[w], start[w] + a, start[w] + b, start[w] + a, np.zeros(len(w)))
 
     return run
@@ -298,6 +301,8 @@ def _removed(batches: Iterator[pa.RecordBatch], keep: list[str], decoded: bool =
             "stops": pa.array(out["stops"], pa.list_(pa.int64())),
         }
         yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep if k not in made], *[made[k] for k in made if k in keep]], names=[*[k for k in keep if k not in made], *[k for k in made if k in keep]])
+        del batch, raw, whole, out, made
+    release()
 
 
 MADE = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "kept": "binary", "starts": "array<long>", "stops": "array<long>"}
@@ -323,7 +328,7 @@ def suffix_dedup(
     """
     _, size = text_bytes(docs, text_col)
     shards = pieces(size, shard_bytes, 16)
-    buckets = min(pieces(size, 8 * MB, 16), 4096)
+    buckets = pieces(size, 8 * MB, 16)
     named = docs.select(
         F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
         *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)],

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import cut, free, lowered, packed, sliced, words_of
+from matchwright.llm.common import cut, free, lowered, packed, release, sliced, words_of
 
 SAMPLE, WINDOW = 20_000, 12
 #: The log-likelihood ratio that chance does not reach among millions of stems.
@@ -332,6 +332,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             x = features(m.auto, *packed(batch.column(text_col))) if m.auto is not None else np.zeros((batch.num_rows, FEATURES))
             hits = np.rint(np.expm1(x[:, 0]) + np.expm1(x[:, 1])).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.score(x)), pa.array(hits)], names=[*names, first, second])
+            del batch
+        release()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{kinds}, `{first}` double, `{second}` long")
