@@ -26,10 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Leaves the cluster's spark.checkpoint.dir alone; sets a temporary folder only where none is set (tests)."""
+    """Takes the folder of spark.checkpoint.dir; only a local master (tests) gets a temporary one where none is named."""
     if spark.sparkContext.getCheckpointDir() is None:
-        where = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="checkpoint-")
-        spark.sparkContext.setCheckpointDir(where)
+        where = spark.conf.get("spark.checkpoint.dir", "")
+        if not where and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
 def free(name: str, columns: list[str]) -> str:
