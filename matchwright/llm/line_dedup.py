@@ -65,7 +65,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """A null text counts as empty here, as in OP4_SQL."""
+    out = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
