@@ -168,23 +168,50 @@ class Rolling:
         return mix(h + mix((stop - start).astype(np.uint64)))
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, index of the document) of the words: runs without the white space of WS."""
-    space = np.ones(len(raw) + 2, dtype=bool)
-    space[1:-1] = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    edge = np.diff(space.astype(np.int8))
-    begins = edge == -1
-    # a document's end also ends a word
+def runs_of(outside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, index of the document) of the runs of bytes that are not `outside`; the end of a document ends a run."""
+    gap = np.ones(len(outside) + 2, dtype=bool)
+    gap[1:-1] = outside
+    edge = np.diff(gap.astype(np.int8))
     inner = offsets[1:-1]
-    inner = np.unique(inner[(inner > 0) & (inner < len(raw))])
-    both = inner[~space[inner] & ~space[inner + 1]]
-    starts, ends = np.flatnonzero(begins), np.flatnonzero(edge == 1)
+    inner = np.unique(inner[(inner > 0) & (inner < len(outside))])
+    both = inner[~gap[inner] & ~gap[inner + 1]]
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if len(both):
         starts, ends = np.sort(np.concatenate([starts, both])), np.sort(np.concatenate([ends, both]))
     doc = np.searchsorted(offsets, starts, side="right") - 1
     return starts, ends, doc
 
 
+def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, index of the document) of the words: runs without the white space of WS."""
+    return runs_of((raw == 32) | ((raw >= 9) & (raw <= 13)), offsets)
+
+
+_KEPT = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def word_hashes(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: each eight-byte block is mixed with its place before the blocks are summed.
+
+    No block enters linearly, so no pattern of equal blocks (as that of Thue and Morse, which cancels in a polynomial modulo
+    2**64) makes two words alike.
+    """
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    size = (stop - start).astype(np.int64)
+    padded = np.append(raw, np.zeros(8, np.uint8))
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded.data, strides=(1,))
+    blocks = np.maximum(1, -(-size // 8))
+    first = np.cumsum(blocks) - blocks
+    word = np.repeat(np.arange(len(start)), blocks)
+    k = np.arange(len(word)) - first[word]
+    at = start[word] + 8 * k
+    value = eight[at] & _KEPT[np.minimum(8, stop[word] - at)]
+    part = mix(mix(value) + (k + 1).astype(np.uint64) * np.uint64(BASE_A))
+    return mix(np.add.reduceat(part, first) + mix(size.astype(np.uint64)))
+
+
 def lowered(raw: np.ndarray) -> np.ndarray:
     """A-Z lower-cased, other bytes as they are."""
     return np.where((raw >= 65) & (raw <= 90), raw + np.uint8(32), raw)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from matchwright.llm.conversation_repair import op11_conversation_repair
 from matchwright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from matchwright.llm.line_dedup import OP4_SQL, op4_line_dedup
 from matchwright.llm.nbest import op8_nbest_segmentation
 from matchwright.llm.ngram_join import OP9_SQL, op9_ngram_join
 from matchwright.llm.packing import op3_mixture_packing
 from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
+from matchwright.llm.ranked_search import OP12_SQL, op12_ranked_search
 from matchwright.llm.sharding import op2_two_pass_shuffle
 from matchwright.llm.suffix_dedup import op7_suffix_dedup
 from matchwright.llm.suffix_tree_lm import op6_suffix_tree_lm
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_nbest_segmentation": op8_nbest_segmentation,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLE_SQL = {
@@ -31,4 +35,5 @@ ORACLE_SQL = {
     "op5_exact_dedup": OP5_SQL,
     "op9_ngram_join": OP9_SQL,
     "op10_quality_rules": OP10_SQL,
+    "op12_ranked_search": OP12_SQL,
 }
