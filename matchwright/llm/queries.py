@@ -8,6 +8,7 @@ from matchwright.llm.line_dedup import OP4_SQL, op4_line_dedup
 from matchwright.llm.nbest import op8_nbest_segmentation
 from matchwright.llm.ngram_join import OP9_SQL, op9_ngram_join
 from matchwright.llm.packing import op3_mixture_packing
+from matchwright.llm.pii import op13_personal_data
 from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
 from matchwright.llm.ranked_search import OP12_SQL, op12_ranked_search
 from matchwright.llm.sharding import op2_two_pass_shuffle
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_ranked_search": op12_ranked_search,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE_SQL = {
