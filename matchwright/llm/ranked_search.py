@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import MB, lowered, packed, pieces, release, runs_of, sliced, table, text_bytes, word_hashes
+from matchwright.llm.common import MB, cut, lowered, packed, pieces, release, runs_of, sliced, table, text_bytes, word_hashes
 
 TOP, BLOCK = 50, 4 * MB
 SLICE, TRIPLES = MB // 2, 2_000_000
@@ -194,7 +194,7 @@ def _searched(docs: DataFrame, q: Queries, k: int) -> DataFrame:
     weights = np.zeros(len(q.terms), np.int64)
     for term, df in found.items():
         weights[term] = weight(df, n_docs)
-    rows = docs.mapInArrow(_scoring(q, weights, n_docs, n_terms, k), FOUND)
+    rows = cut(docs.mapInArrow(_scoring(q, weights, n_docs, n_terms, k), FOUND))  # the ranges are sampled from it, so it is read twice
     order = (F.desc("score"), F.asc_nulls_last("doc"))
     spread = rows.repartitionByRange("item", *order)
     return spread.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(*order))).where(F.col("rank") <= k)
