@@ -221,6 +221,7 @@ SELECT vec_id, round(v[1] / b, 6) AS first, round(sqrt(list_sum(list_transform(v
     "matches_v0": w(SCORED, f"SELECT a_id, b_id, a_brand_final, b_brand_final, {ALL} FROM v0"),
     "match_coverage": w(SCORED, "SELECT (SELECT count(DISTINCT a_id) FROM scored) AS n_a, (SELECT count(DISTINCT a_id) FROM v0) AS n_matched"),
     "filter_funnel": w(SCORED, "SELECT 'candidates' AS step, count(*) AS n, count(*) FILTER (b_id IS NULL) AS n_missing FROM scored UNION ALL SELECT 'best', count(*), count(*) FILTER (b_id IS NULL) FROM best UNION ALL SELECT 'matches', count(*), count(*) FILTER (b_id IS NULL) FROM v0"),
+    "row_index": w(FX, "SELECT bb_id, side, row_number() OVER (ORDER BY bb_id) - 1 AS row_index FROM fx"),
     "upc_eligible": w(L0, "SELECT bb_id, side, upc_clean_l0 FROM l0 WHERE upc_clean_l0 IS NOT NULL AND upc_clean_l0 <> '' AND is_private_label = false"),
     "upc_join": w(CODES, f"SELECT a_bb_id, b_bb_id, upc_clean, {r6('size_penalty')}, title_overlap FROM code"),
     "main_size": w(L2, "SELECT bb_id, round(coalesce(size_ml_final, size_g_final, size_count_final), 6) AS size FROM l2"),

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchwright.functions import features, sizes, taxonomy, text
 from matchwright.functions import vectors as vec
-from matchwright.operators import cleaning, matching
+from matchwright.operators import cleaning, matching, numbering
 from matchwright.plans import pipeline
 from matchwright.plans.policy import FIXTURE, CatalogConfig
 from matchwright.sources import clients, fixtures
@@ -287,7 +286,7 @@ def topk_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def topk_legacy_ranked(spark: SparkSession, d: str) -> DataFrame:
-    x = matching.topk_sql(*vector_sides(spark, d), FIXTURE.k)
+    x = matching.topk(*vector_sides(spark, d), FIXTURE.k)
     return x.select(c("a_id").alias("bb_id_A"), c("b_id").alias("bb_id_B"), c("rank").cast("long").alias("rank"), r6(c("similarity")).alias("sim_embedding"))
 
 
@@ -335,16 +334,18 @@ def matches_v0(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def match_coverage(spark: SparkSession, d: str) -> DataFrame:
-    return matching.coverage(candidates(spark, d), kept(spark, d))
+    return matching.coverage(candidates(spark, d), FIXTURE)
 
 
 @query
 def filter_funnel(spark: SparkSession, d: str) -> DataFrame:
-    x = candidates(spark, d)
-    best = matching.best_per_a(x)
-    k = best.where(matching.accepted(FIXTURE))
-    count = lambda df, step: df.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n"), F.count_if(c("b_id").isNull()).alias("n_missing"))
-    return reduce(DataFrame.unionByName, [count(x, "candidates"), count(best, "best"), count(k, "matches")])
+    return matching.funnel(candidates(spark, d), FIXTURE)
+
+
+@query
+def row_index(spark: SparkSession, d: str) -> DataFrame:
+    """Row numbers of the catalog by id."""
+    return numbering.row_index(raw(spark, d).select("bb_id", "side"), "bb_id")
 
 
 # ---- product codes

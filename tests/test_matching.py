@@ -22,29 +22,6 @@ def rows(df, *cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
-@pytest.mark.parametrize("k", [1, 7, 100])
-def test_three_forms_of_nearest_agree(spark, k):
-    a, b = sides(spark)
-    key = lambda df: {(r.a_id, r["rank"]): round(r.similarity, 9) for r in df.collect()}
-    want = key(matching.topk_sql(a, b, k))
-    assert key(matching.topk(a, b, k)) == want and key(matching.topk(a, b, k, carried=0, tile=11)) == want
-    assert len(want) == 23 * min(k, 40)
-    assert sorted({r for _, r in want}) == list(range(1, min(k, 40) + 1))
-
-
-def test_nearest_of_nothing(spark):
-    a, b = sides(spark)
-    assert matching.topk(a, b.limit(0), 5).count() == 0 and matching.topk(a.limit(0), b, 5).count() == 0
-
-
-@pytest.mark.parametrize("carried", [8_000_000, 0])
-def test_unsound_vectors_take_no_part(spark, carried):
-    kind = "bb_id long, embedding array<double>"
-    a = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [1.0]), (5, [0.0, None])], kind)
-    b = spark.createDataFrame([(11, [1.0, 0.1]), (12, [float("nan"), 0.0]), (13, None), (14, [0.0, 1.0]), (15, [1.0]), (16, [-1.0, 0.0])], kind)
-    assert rows(matching.topk(a, b, 2, carried=carried), "a_id", "b_id", "rank") == [(1, 11, 1), (1, 14, 2)]
-
-
 def test_vectors(spark):
     df = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0])], "a array<double>, z array<double>")
     r = df.select(vectors.l2_normalize(F.col("a")).alias("u"), vectors.l2_normalize(F.col("z")).alias("n"), vectors.cosine(F.col("a"), F.col("a")).alias("c"), vectors.cosine(F.col("a"), F.col("z")).alias("o")).first()
@@ -158,7 +135,14 @@ def test_sample_and_summary(spark):
     s = {r.feature: r for r in matching.feature_summary(df).collect()}["score_total"]
     x = np.array([np.float32(0.5 + k / 1000) for k in range(200)], float)
     assert s["count"] == 200 and np.allclose([s.mean, s["std"], s["min"], s.p25, s.p50, s.p75, s["max"]], [x.mean(), x.std(ddof=1), x.min(), *np.percentile(x, [25, 50, 75]), x.max()])
-    assert matching.coverage(df, df.limit(5)).first().asDict() == {"n_a": 200, "n_matched": 5}
+    passing = sum(np.float32(0.5 + k / 1000) >= np.float32(0.70) for k in range(200))
+    some = df.union(df.withColumn("rank", F.lit(2)).limit(7)).union(df.limit(1).withColumn("a_id", F.lit(None).cast("long")))
+    assert matching.coverage(some).first().asDict() == {"n_a": 200, "n_matched": 0}
+    sure = df.withColumn("feature_embedding", F.lit(0.9).cast("float"))
+    assert matching.coverage(sure).first().asDict() == {"n_a": 200, "n_matched": passing}
+    assert rows(matching.funnel(sure), "step", "n", "n_missing") == [("best", 200, 0), ("candidates", 200, 0), ("matches", passing, 0)]
+    assert rows(matching.funnel(some), "step", "n") == [("best", 200), ("candidates", 208), ("matches", 0)]
+    assert rows(matching.funnel(df.limit(0)), "n", "n_missing") == [(0, 0)] * 3
 
 
 def test_without_review_all_matches_are_final(spark):
