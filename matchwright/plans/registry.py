@@ -356,9 +356,13 @@ def upc_eligible(spark: SparkSession, d: str) -> DataFrame:
     return matching.upc_eligible(l0(spark, d)).select("bb_id", "side", "upc_clean_l0")
 
 
-def codes(spark: SparkSession, d: str) -> DataFrame:
+def cleaned_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     x = l2(spark, d)
-    return matching.upc_join(x.where("side = 'A'"), x.where("side = 'B'"))
+    return x.where("side = 'A'"), x.where("side = 'B'")
+
+
+def codes(spark: SparkSession, d: str) -> DataFrame:
+    return matching.upc_join(*cleaned_sides(spark, d))
 
 
 @query
@@ -378,7 +382,7 @@ def title_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def upc_exact(spark: SparkSession, d: str) -> DataFrame:
-    return matching.upc_exact(codes(spark, d))
+    return matching.upc_exact(*cleaned_sides(spark, d))
 
 
 # ---- review and the final list

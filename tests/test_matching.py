@@ -99,7 +99,7 @@ def test_codes(spark):
     b = spark.createDataFrame([(10, "9", False, "tea", None, 90.0), (11, "9", False, "green tea", None, 110.0), (12, "9", False, "green tea", None, 110.0), (13, "9", True, "t", None, None), (14, "8", False, "", None, None)], cols)
     pairs = matching.upc_join(a, b)
     assert rows(pairs, "a_bb_id", "b_bb_id", "size_penalty", "title_overlap") == [(1, 10, 10.0, 1), (1, 11, 10.0, 2), (1, 12, 10.0, 2), (4, 14, 9999.0, 0)]
-    assert rows(matching.upc_exact(pairs), "a_bb_id", "b_bb_id", "upc_clean", "match_type") == [(1, 11, "9", "upc_exact"), (4, 14, "8", "upc_exact")]
+    assert rows(matching.upc_exact(a, b), "a_bb_id", "b_bb_id", "upc_clean", "match_type") == [(1, 11, "9", "upc_exact"), (4, 14, "8", "upc_exact")]
     assert rows(matching.upc_join(a.select("bb_id", "upc_clean_l0", "is_private_label", F.col("title_normalized_l0").alias("name")), b), "size_penalty")[0] == (9999.0,)
 
 

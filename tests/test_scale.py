@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchwright.functions import vectors
-from matchwright.operators import nearest, numbering, order_stats
+from matchwright.operators import codes, matching, nearest, numbering, order_stats
 
 
 def plans_text(df):
@@ -134,3 +134,49 @@ def test_search_equals_built_in_functions(spark):
     y = frame(spark, b).select(F.col("bb_id").alias("b_id"), vectors.l2_normalize(F.col("embedding")).alias("y"))
     pairs = x.crossJoin(y).select("a_id", "b_id", vectors.dot(F.col("x"), F.col("y")).alias("similarity"))
     assert shown(nearest.ranked(pairs, 5)) == shown(nearest.topk(frame(spark, a), frame(spark, b), 5))
+
+
+PRODUCT = "bb_id long, upc_clean_l0 string, is_private_label boolean, title_normalized_l0 string, size_ml_final double"
+
+
+def best_by_code(a, b):
+    """By the definition: all pairs of a code."""
+    out = []
+    for i, code, _, title, size in a:
+        found = [
+            (9999.0 if size is None or s is None else abs(size - s), -len(set((title or "").split()) & set((t or "").split())), j)
+            for j, c, _, t, s in b if c == code
+        ]
+        if found:
+            out.append((i, min(found)[2], code))
+    return sorted(out)
+
+
+def products(n, start, seed, codes_=5, sizes_=12):
+    rng = random.Random(seed)
+    words = "green tea milk bar soap oat corn rice salt lime".split()
+    size = lambda: rng.choice([None, 20_000.0, -9_000.0, *range(sizes_)])
+    return [(start + k, str(rng.choice([0, 0, 0, *range(codes_)])), False, rng.choice([None, "", " ".join(rng.sample(words, rng.randint(1, 4)))]), None if (s := size()) is None else float(s)) for k in range(n)]
+
+
+@pytest.mark.parametrize("few,left,right", [(32, 4000, 20_000), (0, 7, 5), (2, 50, 3)])
+def test_nearest_by_code(spark, few, left, right):
+    a, b = products(300, 0, 1), products(200, 1000, 2) + [(5000, "9", False, "x", 1.0)]
+    a += [(900, "7", False, "x", 1.0), (901, "9", False, "x", None), (902, "9", False, "x", 30_000.0)]
+    shape = lambda rows: spark.createDataFrame(rows, PRODUCT).repartition(5).select(F.col("bb_id").alias("id"), F.col("upc_clean_l0").alias("code"), F.col("size_ml_final").alias("size"), F.col("title_normalized_l0").alias("title"))
+    got = codes.nearest(shape(a), shape(b), few, left, right)
+    assert sorted(tuple(r) for r in got.collect()) == best_by_code(a, b)
+
+
+def test_code_without_partners(spark):
+    a = spark.createDataFrame([(1, "1", False, "x", 1.0)], PRODUCT)
+    assert matching.upc_exact(a, a.limit(0)).count() == 0 and matching.upc_exact(a.limit(0), a).count() == 0
+    assert matching.upc_exact(a, a.withColumn("is_private_label", F.lit(True))).count() == 0
+
+
+def test_hot_code(spark):
+    """One code with 20,000 products on each side: some 10^8 pairs that nobody makes."""
+    make = lambda n, add: spark.range(n).select((F.col("id") + add).alias("bb_id"), F.lit("7").alias("upc_clean_l0"), F.lit(False).alias("is_private_label"), F.concat(F.lit("tea "), (F.col("id") % 50).cast("string")).alias("title_normalized_l0"), (F.col("id") % 400).cast("double").alias("size_ml_final"))
+    got = matching.upc_exact(make(20_000, 0), make(20_000, 100_000))
+    want = got.where(F.col("b_bb_id") == 100_000 + F.col("a_bb_id") % 400).count()
+    assert got.count() == want == 20_000
