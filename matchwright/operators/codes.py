@@ -1,6 +1,6 @@
 """The nearest product of one code: for each left product the right one of least size difference, then largest title overlap, then least id.
 
-Pairs of a code are never made. Each side is first reduced to distinct (code, size, bag of title words), the right one with its
+Codes with few right products are joined: a left product meets `FEW` of them at most. For other codes pairs are never made. Each side is first reduced to distinct (code, size, bag of title words), the right one with its
 least id. Sizes of both sides are merged in order, dealt by ranges so that a hot code lies in many tasks, and each left size
 gets its neighbours below and above; products without a size stand at a fixed difference from all. Titles are compared only
 among the right products at the least difference: where these are few, by a join; where they are many, in blocks of
@@ -53,7 +53,7 @@ def neighbours(sizes: DataFrame) -> DataFrame:
 
 
 def wanted(left: DataFrame, right: DataFrame) -> DataFrame:
-    """code, size, kind, at: where the right products at the least difference from each (code, size) of the left side stand."""
+    """code, size, kind, at, penalty: where the right products at the least difference from each (code, size) of the left side stand."""
     sized = left.where("size is not null").select("code", "size", F.lit(False).alias("right")).unionByName(right.where("size is not null").select("code", "size", F.lit(True).alias("right")))
     near = neighbours(sized.distinct())
     bare = right.where("size is null").select(F.col("code").alias("bare")).distinct()
@@ -65,8 +65,8 @@ def wanted(left: DataFrame, right: DataFrame) -> DataFrame:
         F.when(gap("below") == least, place(SIZED, F.col("below"))), F.when((gap("above") == least) & (F.col("above") != F.coalesce("below", F.col("above") + 1)), place(SIZED, F.col("above"))),
         F.when(F.col("bare").isNotNull() & (least == NO_SIZE), place(UNSIZED, F.lit(0.0))),
     )
-    some = near.select("code", "size", F.explode(F.array_compact(places)).alias("p")).select("code", "size", "p.kind", "p.at")
-    none = left.where("size is null").select("code", "size", F.lit(ALL).alias("kind"), F.lit(0.0).alias("at")).distinct()
+    some = near.select("code", "size", least.alias("penalty"), F.explode(F.array_compact(places)).alias("p")).select("code", "size", "p.kind", "p.at", "penalty")
+    none = left.where("size is null").select("code", "size", F.lit(ALL).alias("kind"), F.lit(0.0).alias("at"), F.lit(NO_SIZE).alias("penalty")).distinct()
     return some.unionByName(none)
 
 
@@ -99,11 +99,11 @@ def _blocks(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def nearest(a: DataFrame, b: DataFrame, few: int = FEW, left_block: int = LEFT_BLOCK, right_block: int = RIGHT_BLOCK) -> DataFrame:
-    """a_bb_id, b_bb_id, upc_clean: of (id, code, size, title) on both sides; left products whose code no right one has drop out.
+    """a_bb_id, b_bb_id, upc_clean, size_penalty, title_overlap: the best for each row of (id, code, size, title) of the left side.
 
-    Differences are those of double precision: right sizes that only rounding makes equally near count as the nearest of them.
+    Left products whose code no right one has drop out. Differences are those of double precision: right sizes that only rounding makes equally near count as the nearest of them.
     """
-    shape = lambda df: df.where(F.col("code").isNotNull()).select("id", F.col("code").cast("string").alias("code"), F.nanvl("size", F.lit(None).cast("double")).alias("size"), bag(F.col("title")).alias("bag"))
+    shape = lambda df: df.where(F.col("code").isNotNull()).select("id", "code", "size", bag(F.col("title")).alias("bag"))
     products, others = written(shape(a)), shape(b)
     right = written(others.groupBy("code", "size", "bag").agg(F.min("id").alias("b_id")))
     codes = right.select(F.col("code").alias("of")).distinct()
@@ -129,6 +129,32 @@ def nearest(a: DataFrame, b: DataFrame, few: int = FEW, left_block: int = LEFT_B
         y = stands.join(grid, at).withColumn("column_block", cell("columns")).withColumn("row_block", upto("rows"))
         found = found.unionByName(_blocks(x.drop("rows", "columns"), y.drop("rows", "columns")))
     key = ["code", "size", "bag"]
-    best = found.groupBy(*key).agg(F.max("overlap").alias("most"), F.min_by("b_id", F.struct(-F.col("overlap"), F.col("b_id"))).alias("b_id"))
-    met = (F.col("x.code") == F.col("y.code")) & F.col("x.size").eqNullSafe(F.col("y.size")) & (F.col("x.bag") == F.col("y.bag"))
-    return products.alias("x").join(best.alias("y"), met).select(F.col("x.id").alias("a_bb_id"), F.col("y.b_id").alias("b_bb_id"), F.col("x.code").alias("upc_clean"))
+    best = found.groupBy(*key).agg(F.max("overlap").alias("overlap"), F.min_by("b_id", F.struct(-F.col("overlap"), F.col("b_id"))).alias("b_id"))
+    gaps = places.groupBy("code", "size").agg(F.first("penalty").alias("penalty"))
+    sized = lambda y: (F.col("x.code") == F.col(f"{y}.code")) & F.col("x.size").eqNullSafe(F.col(f"{y}.size"))
+    out = products.alias("x").join(best.alias("y"), sized("y") & (F.col("x.bag") == F.col("y.bag"))).join(gaps.alias("z"), sized("z"))
+    return out.select(F.col("x.id").alias("a_bb_id"), F.col("y.b_id").alias("b_bb_id"), F.col("x.code").alias("upc_clean"), F.col("z.penalty").alias("size_penalty"), F.col("y.overlap").alias("title_overlap"))
+
+
+def pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """All pairs of a code, of (id, code, size, title) on both sides."""
+    x, y = a.alias("x"), b.alias("y")
+    penalty = F.coalesce(F.abs(F.col("x.size") - F.col("y.size")), F.lit(NO_SIZE))
+    overlap = text.title_overlap(F.col("x.title"), F.col("y.title"))
+    met = x.join(y, F.col("x.code") == F.col("y.code"))
+    return met.select(F.col("x.id").alias("a_bb_id"), F.col("y.id").alias("b_bb_id"), F.col("x.code").alias("upc_clean"), penalty.alias("size_penalty"), overlap.alias("title_overlap"))
+
+
+def best(a: DataFrame, b: DataFrame, few: int = FEW) -> DataFrame:
+    """a_bb_id, b_bb_id, upc_clean, size_penalty, title_overlap: the best right product of each left id that has one."""
+    right = written(b.where(F.col("code").isNotNull()))
+    hot = written(right.groupBy(F.col("code").alias("hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > few).select("hot"))
+    is_hot = F.col("code") == F.col("hot")
+    if hot.take(1):
+        found = pairs(a.join(hot, is_hot, "left_anti"), right.join(hot, is_hot, "left_anti"))
+        found = found.unionByName(nearest(a.join(hot, is_hot, "left_semi"), right.join(hot, is_hot, "left_semi"), few))
+    else:
+        found = pairs(a, right)
+    order = F.struct(F.col("size_penalty"), -F.col("title_overlap"), F.col("b_bb_id"))
+    rest = F.struct("b_bb_id", "upc_clean", "size_penalty", "title_overlap")
+    return found.groupBy("a_bb_id").agg(F.min_by(rest, order).alias("r")).select("a_bb_id", "r.*")

@@ -152,6 +152,12 @@ def best_by_code(a, b):
     return sorted(out)
 
 
+def penalty(a, b, found):
+    size = {r[0]: r[4] for r in (*a, *b)}
+    bag = {r[0]: set((r[3] or "").split()) for r in (*a, *b)}
+    return [(9999.0 if size[i] is None or size[j] is None else abs(size[i] - size[j]), len(bag[i] & bag[j])) for i, j, _ in found]
+
+
 def products(n, start, seed, codes_=5, sizes_=12):
     rng = random.Random(seed)
     words = "green tea milk bar soap oat corn rice salt lime".split()
@@ -164,8 +170,11 @@ def test_nearest_by_code(spark, few, left, right):
     a, b = products(300, 0, 1), products(200, 1000, 2) + [(5000, "9", False, "x", 1.0)]
     a += [(900, "7", False, "x", 1.0), (901, "9", False, "x", None), (902, "9", False, "x", 30_000.0)]
     shape = lambda rows: spark.createDataFrame(rows, PRODUCT).repartition(5).select(F.col("bb_id").alias("id"), F.col("upc_clean_l0").alias("code"), F.col("size_ml_final").alias("size"), F.col("title_normalized_l0").alias("title"))
-    got = codes.nearest(shape(a), shape(b), few, left, right)
-    assert sorted(tuple(r) for r in got.collect()) == best_by_code(a, b)
+    want = best_by_code(a, b)
+    got = sorted(tuple(r) for r in codes.nearest(shape(a), shape(b), few, left, right).collect())
+    assert [r[:3] for r in got] == want and [r[3:] for r in got] == penalty(a, b, want)
+    for bound in (10, 1000):  # some codes, or none, count as hot
+        assert sorted(tuple(r) for r in codes.best(shape(a + a[:9]), shape(b), bound).collect()) == got
 
 
 def test_code_without_partners(spark):
