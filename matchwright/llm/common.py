@@ -156,7 +156,12 @@ BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any range of a byte array, mixed with the range's length."""
+    """Hashes of any range of a byte array: polynomials modulo 2**64 of its blocks, each mixed with its place, and the length.
+
+    A polynomial alone would not tell long patterns of Thue and Morse from their complements.
+    """
+
+    BLOCK = 256
 
     def __init__(self, data: np.ndarray, base: int = BASE_A) -> None:
         up, self.down = powers(base, len(data))
@@ -164,8 +169,18 @@ class Rolling:
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        h = (self.sums[stop] - self.sums[start]) * self.down[start]
-        return mix(h + mix((stop - start).astype(np.uint64)))
+        size = stop - start
+        if not len(size) or size.max() <= self.BLOCK:
+            return mix((self.sums[stop] - self.sums[start]) * self.down[start] + mix(size.astype(np.uint64)))
+        h, live, k = mix(size.astype(np.uint64)), np.arange(len(size)), 0
+        while len(live):
+            a = start[live] + k * self.BLOCK
+            b = np.minimum(a + self.BLOCK, stop[live])
+            part = (self.sums[b] - self.sums[a]) * self.down[a]
+            h[live] += part if k == 0 else mix(part + np.uint64(k * BASE_A % (1 << 64)))
+            k += 1
+            live = live[size[live] > k * self.BLOCK]
+        return mix(h)
 
 
 def runs_of(outside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import BASE_B, MB, Rolling, cut, free, lowered, mix, packed, pieces, release, sliced, text_bytes, words_of
+from matchwright.llm.common import BASE_B, MB, cut, free, lowered, mix, packed, pieces, release, sliced, text_bytes, word_hashes, words_of
 from matchwright.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -46,14 +46,13 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tuple[n
     n_docs = len(offsets) - 1
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    roll = Rolling(lowered(raw))
-    word = roll.of(start, stop)
+    word = word_hashes(lowered(raw), start, stop)
     n = len(word)
     odd = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
     count = np.bincount(doc, minlength=n_docs)
     total = np.zeros(n, np.uint64)
     for k in range(size):
-        total[: n - k] += word[k:] * odd[k % 5]
+        total[: max(0, n - k)] += word[k:] * odd[k % 5]
     whole = np.zeros(n, bool)
     if n >= size:
         whole[: n - size + 1] = doc[: n - size + 1] == doc[size - 1 :]
