@@ -9,7 +9,7 @@ the number of symbols seen after it (Witten-Bell); a token is scored by the long
 Every pair of context and symbol counts, those seen once too. A word that is no symbol of its own shares the probability
 of the common symbol by its count, less a discount that goes to the unknown word, so the events after any context sum to one.
 
-The model is never in one place. Texts are dealt into parts, and everything is counted by blob exchanges: a part sends the
+The model is never in one place. Texts are dealt into parts and written once as words' hashes; then everything is counted by blob exchanges: a part sends the
 hashes and training counts of its distinct items by bucket, and a bucket returns the corpus counts of what it was asked
 for. Words come first, then runs of two symbols, then those of three and four; a run is asked for only where the context in
 it can have `LEAST` occurrences, which loses none, as a run is seen no more often than what it holds. The count of a run is
@@ -18,14 +18,13 @@ give: one over the pair's count (the number of symbols seen after it) and the lo
 divergence). The driver sees sums only.
 
 Cases: a null or empty text is its end alone; without training rows all events are uniform and the base is as its formula
-says; rows that repeat count each time; a null id trains. Empty tables give empty results. Words, runs and contexts are
-told apart by 64-bit hashes.
+says; rows that repeat count each time; a null id trains. A text of any length is in one part. Ties do not arise: counts and
+sums decide. Empty tables give empty results; other columns are not read. Words, runs and contexts are told apart by 64-bit
+hashes.
 """
 
 from __future__ import annotations
 
-import gc
-import time
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,40 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import BASE_A, BASE_B, MB, Rolling, cut, distinct, drop, lowered, mix, packed, pieces, sliced, text_bytes, words_of
+from matchwright.llm.common import BASE_A, BASE_B, MB, cut, distinct, drop, lowered, mix, packed, pieces, text_bytes, word_hashes, words_of
 
-DEPTH, BITS = 3, 14
+DEPTH = 3
 REPEATED, LEAST, DIVERGES = 2, 20, 12.0
 BEGIN, OTHER, END, FIRST = 0, 1, 2, 3  # symbols; words from FIRST on
 SENT = "kind int, bucket int, part int, keys binary, counts binary"
 WORDS, TWOS, LONGER, WEIGHED = 0, 10, 11, 12  # what a part is told
-ONES = [(1 << (BITS * d)) - 1 for d in range(DEPTH + 1)]
-
-
-def key_of(length: np.ndarray | int, context: np.ndarray) -> np.ndarray:
-    return (np.asarray(length).astype(np.uint64) << np.uint64(BITS * DEPTH)) | context
-
-
-def chained(symbol: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, context length, packed context, symbol) of every token, ends included; the nearest symbol lies lowest.
-
-    A context ends with a begin or with a word that is no symbol of its own.
-    """
-    count = np.bincount(doc, minlength=n_docs)
-    base = np.append(0, np.cumsum(count + 2))[:-1]
-    row = np.full(int(count.sum()) + 2 * n_docs, END, np.uint64)
-    row[base] = BEGIN
-    row[base[doc] + 1 + np.arange(len(doc)) - np.append(0, np.cumsum(count))[:-1][doc]] = symbol
-    text = np.repeat(np.arange(n_docs), count + 2)
-    at = np.flatnonzero(row != BEGIN)
-    length, context = np.zeros(len(at), np.int64), np.zeros(len(at), np.uint64)
-    open_ = np.ones(len(at), bool)
-    for k in range(1, DEPTH + 1):
-        s = row[np.maximum(at - k, 0)]
-        context[open_] |= s[open_] << np.uint64(BITS * (k - 1))
-        length[open_] += 1
-        open_ &= (s != BEGIN) & (s != OTHER)
-    return text[at], length, context, row[at]
 
 
 def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -95,27 +67,58 @@ def _unzipped(blob: bytes, size: int) -> bytes:
     return pa.decompress(blob, size, codec="zstd", asbytes=True)
 
 
-def _tokens(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(lower-cased bytes, start and stop of one occurrence of each distinct word, its hash, each token's word, each token's text)."""
-    raw, offsets = packed(t.column("text").combine_chunks())
-    raw = lowered(raw)
-    start, stop, doc = words_of(raw, offsets)
-    h = Rolling(raw).of(start, stop) if len(start) else np.zeros(0, np.uint64)
-    u, first, inv = distinct(h)
-    return raw, start[first], stop[first], u, inv, doc
+def _tokenised(kind: str, ident: str):
+    """A part's texts as one row: ids, training flags, words of each text, distinct word hashes, and each token's word among them."""
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        raw, offsets = packed(t.column("text").chunk(0))
+        raw = lowered(raw)
+        start, stop, doc = words_of(raw, offsets)
+        u, _, inv = distinct(word_hashes(raw, start, stop))
+        sizes = np.bincount(doc, minlength=t.num_rows)
+        ids = t.column(ident).chunk(0)
+        return pa.table(
+            {
+                "part": t.column("part").slice(0, 1),
+                "n": pa.array([t.num_rows], pa.int64()),
+                "ids": pa.ListArray.from_arrays([0, t.num_rows], ids),
+                "train": pa.ListArray.from_arrays([0, t.num_rows], t.column("train").chunk(0)),
+                "sizes": pa.array([_zipped(sizes.astype(np.uint32))], pa.binary()),
+                "tokens": pa.array([len(inv)], pa.int64()),
+                "words": pa.array([_coded(u)], pa.binary()),
+                "word": pa.array([_zipped(inv.astype(np.uint32))], pa.binary()),
+            }
+        )
+
+    return run, f"part int, n long, ids array<{kind}>, train array<boolean>, sizes binary, tokens long, words binary, word binary"
+
+
+class Texts:
+    """A part's row, read: distinct word hashes, each token's word, each token's text, and which texts are learnt from."""
+
+    def __init__(self, t: pa.Table) -> None:
+        get = lambda c: t.column(c)[0].as_py()
+        self.part, self.n = get("part"), get("n")
+        self.words = _decoded(get("words"))
+        self.word = np.frombuffer(_unzipped(get("word"), 4 * get("tokens")), np.uint32).astype(np.int64)
+        self.doc = np.repeat(np.arange(self.n), np.frombuffer(_unzipped(get("sizes"), 4 * self.n), np.uint32))
+        self.ids, self.flags = (t.column(c).combine_chunks().flatten() for c in ("ids", "train"))
+        self.train = self.flags.to_numpy(zero_copy_only=False).astype(bool)
 
 
 def _sent(buckets: int):
-    def run(t: pa.Table) -> pa.Table:
-        raw, start, stop, u, inv, doc = _tokens(t)
-        part = t.column("part")[0].as_py()
-        train = t.column("train").to_numpy().astype(np.float64)
-        counts = np.bincount(inv, weights=train[doc], minlength=len(u)).astype(np.int64)
-        out = _none()
-        _put(out, 0, part, buckets, u, counts.astype(np.uint32))
-        for k, v in zip(out, (2, 0, part, b"", np.array([train.sum()], np.int64).tobytes())):
-            out[k].append(v)
-        return _table(out)
+    """Words and their training counts, from the parts' rows."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                texts, out = Texts(pa.Table.from_batches([batch.slice(i, 1)])), _none()
+                counts = np.bincount(texts.word, weights=texts.train[texts.doc].astype(np.float64), minlength=len(texts.words)).astype(np.int64)
+                _put(out, 0, texts.part, buckets, texts.words, counts.astype(np.uint32))
+                for k, v in zip(out, (2, 0, texts.part, b"", np.array([texts.train.sum()], np.int64).tobytes())):
+                    out[k].append(v)
+                yield from _table(out).to_batches()
 
     return run
 
@@ -162,7 +165,7 @@ def _none() -> dict[str, list]:
     return {"kind": [], "bucket": [], "part": [], "keys": [], "counts": []}
 
 
-def _told(right: pa.Table, kind: int, keys: np.ndarray, buckets: int, kept: type) -> np.ndarray:
+def _told(right: pa.Table, kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
     """What the buckets answered to a part's keys."""
     out = np.zeros(len(keys), np.int64)
     if len(keys):
@@ -170,7 +173,7 @@ def _told(right: pa.Table, kind: int, keys: np.ndarray, buckets: int, kept: type
         for k, b, blob in zip(right.column("kind").to_pylist(), right.column("bucket").to_pylist(), right.column("counts").to_pylist()):
             if k == kind:
                 i, j = bounds[b], bounds[b + 1]
-                out[i:j] = np.frombuffer(_unzipped(blob, int(j - i) * np.dtype(kept).itemsize), kept)
+                out[i:j] = np.frombuffer(_unzipped(blob, 8 * int(j - i)), np.int64)
     return out
 
 
@@ -196,11 +199,12 @@ class Part:
 
     def __init__(self, t: pa.Table, right: pa.Table, corpus: Corpus, buckets: int) -> None:
         self.right, self.corpus, self.buckets = right, corpus, buckets
-        _, _, _, u, self.inv, self.doc = _tokens(t)
-        self.count = _told(right, WORDS, u, buckets, np.int64)
+        self.texts = Texts(t)
+        u, self.inv, self.doc = self.texts.words, self.texts.word, self.texts.doc
+        self.count = _told(right, WORDS, u, buckets)
         often = self.count >= REPEATED
         self.symbol = np.where(often, u, np.uint64(OTHER))
-        n = t.num_rows
+        n = self.texts.n
         size = np.bincount(self.doc, minlength=n) + 2
         base = np.append(0, np.cumsum(size))[:-1]
         self.row = np.full(int(size.sum()), END, np.uint64)
@@ -212,7 +216,7 @@ class Part:
         self.token[base] = False
         self.word = np.zeros(len(self.row), bool)
         self.word[place] = often[self.inv]
-        self.train = t.column("train").to_numpy().astype(bool)[self.text] & self.token
+        self.train = self.texts.train[self.text] & self.token
         one = np.full(len(self.row), corpus.ends, np.int64)
         one[place] = np.where(often, self.count, corpus.other_n)[self.inv]
         # counts[L] and keys[L]: of the L symbols that end here, the nearest first in the key; known[d]: the d symbols before are a context
@@ -251,7 +255,7 @@ class Part:
 
     def learn(self, kind: int, asked: tuple, *lengths: int) -> None:
         u, inv, places = asked
-        n, at = _told(self.right, kind, u, self.buckets, np.uint32)[inv], 0
+        n, at = _told(self.right, kind, u, self.buckets)[inv], 0
         for length, place in zip(lengths, places):
             self.counts[length][place] = n[at : at + len(place)]
             at += len(place)
@@ -294,7 +298,7 @@ def _answered(kind: int):
         out, at = _none(), 0
         keys = [_decoded(x) for x in keys]
         u, _, inv = distinct(np.concatenate(keys))
-        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(_unzipped(x, 4 * len(k)), np.uint32) for k, x in zip(keys, counts)]), minlength=len(u)).astype(np.uint32)
+        total = np.bincount(inv, weights=np.concatenate([np.frombuffer(_unzipped(x, 4 * len(k)), np.uint32) for k, x in zip(keys, counts)]), minlength=len(u)).astype(np.int64)
         for x, p in zip(keys, part):
             n = len(x)
             for k, v in zip(out, (kind, t.column("bucket")[0].as_py(), p, b"", _zipped(total[inv[at : at + n]]))):
@@ -323,7 +327,7 @@ def _weighing(corpus: Corpus, buckets: int):
                 gain.append(learnt * np.log(n / total * (whole / m)) if len(at) else np.zeros(0))
             sums = [np.bincount(inv, weights=np.concatenate(x), minlength=len(u)) for x in (kinds, gain)]
             # a retained context gains in some part, which names the shorter one
-            _put(out, 0, left.column("part")[0].as_py(), buckets, u, np.where(sums[1] > 0, np.concatenate(above)[first], 0), *[x.astype(np.float32) for x in sums])
+            _put(out, 0, left.column("part")[0].as_py(), buckets, u, np.where(sums[1] > 0, np.concatenate(above)[first], 0), *sums)
         return _table(out)
 
     return run
@@ -332,8 +336,8 @@ def _weighing(corpus: Corpus, buckets: int):
 def _split(key: bytes, blob: bytes) -> tuple[np.ndarray, ...]:
     keys = _decoded(key)
     n = len(keys)
-    blob = _unzipped(blob, 16 * n)
-    return keys, np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.float32, n, 8 * n), np.frombuffer(blob, np.float32, n, 12 * n)
+    blob = _unzipped(blob, 24 * n)
+    return keys, np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.float64, n, 8 * n), np.frombuffer(blob, np.float64, n, 16 * n)
 
 
 def _weighed(t: pa.Table) -> pa.Table:
@@ -343,7 +347,7 @@ def _weighed(t: pa.Table) -> pa.Table:
     up = np.zeros(len(u), np.uint64)
     up[inv[above > 0]] = above[above > 0]
     kinds, gain = (np.bincount(inv, weights=x, minlength=len(u)) for x in (kinds, gain))
-    return _table({"kind": [0], "bucket": [t.column("bucket")[0].as_py()], "part": [-1], "keys": [_coded(u)], "counts": [_zipped(up, np.rint(kinds).astype(np.float32), gain.astype(np.float32))]})
+    return _table({"kind": [0], "bucket": [t.column("bucket")[0].as_py()], "part": [-1], "keys": [_coded(u)], "counts": [_zipped(up, np.rint(kinds), gain)]})
 
 
 def _lifting(buckets: int):
@@ -367,7 +371,7 @@ def _lifted(left: pa.Table, right: pa.Table) -> pa.Table:
     for key, blob in zip(left.column("keys").to_pylist(), left.column("counts").to_pylist()):
         u, above, kinds, gain = _split(key, blob)
         up = [_decoded(x) for x in right.column("keys").to_pylist()]
-        gain = np.where(np.isin(u, np.concatenate(up)), np.float32(np.inf), gain) if up else gain
+        gain = np.where(np.isin(u, np.concatenate(up)), np.inf, gain) if up else gain
         for k, v in zip(out, (0, left.column("bucket")[0].as_py(), -1, key, _zipped(above, kinds, gain))):
             out[k].append(v)
     return _table(out)
@@ -378,90 +382,19 @@ def _judged(left: pa.Table, right: pa.Table) -> pa.Table:
     out = _none()
     if left.num_rows:
         u, _, kinds, gain = _split(right.column("keys")[0].as_py(), right.column("counts")[0].as_py())
-        value = np.where(gain >= DIVERGES, kinds, -kinds).astype(np.int32)
+        value = np.where(gain >= DIVERGES, kinds, -kinds).astype(np.int64)
         for key, p in zip(left.column("keys").to_pylist(), left.column("part").to_pylist()):
             for k, v in zip(out, (WEIGHED, left.column("bucket")[0].as_py(), p, b"", _zipped(value[np.searchsorted(u, _decoded(key))]))):
                 out[k].append(v)
     return _table(out)
 
 
-@dataclass
-class Tree:
-    """Retained contexts and their smoothed logarithms: of (context, symbol) pairs seen, and of the weight left to the shorter one."""
-
-    contexts: np.ndarray
-    left: np.ndarray
-    pairs: np.ndarray
-    logs: np.ndarray
-    alphabet: int = FIRST
-
-    def steps(self, length: np.ndarray, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol after its context."""
-        out = np.zeros(len(symbol))
-        live = np.arange(len(symbol))
-        for d in range(DEPTH, -1, -1):
-            at = live[length[live] >= d]
-            key = key_of(d, context[at] & np.uint64(ONES[d]))
-            pair = (key << np.uint64(BITS)) | symbol[at]
-            i = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1) if len(self.pairs) else np.zeros(len(at), np.int64)
-            seen = self.pairs[i] == pair if len(self.pairs) else np.zeros(len(at), bool)
-            out[at[seen]] += self.logs[i[seen]]
-            rest = np.flatnonzero(~seen)
-            if len(self.contexts) and len(rest):
-                j = np.minimum(np.searchsorted(self.contexts, key[rest]), len(self.contexts) - 1)
-                kept = self.contexts[j] == key[rest]
-                out[at[rest[kept]]] += self.left[j[kept]]
-            done = np.zeros(len(symbol), bool)
-            done[at[seen]] = True
-            live = live[~done[live]]
-        out[live] -= np.log10(self.alphabet - 1)
-        return out
-
-
-def grow(context: np.ndarray, symbol: np.ndarray, n: np.ndarray, total: np.ndarray, kinds: np.ndarray, alphabet: int, diverges: float = DIVERGES) -> Tree:
-    """The tree from counts of (context, symbol): with each pair its context's count and number of symbols, rare pairs left out."""
-    order = np.lexsort((symbol, context))
-    context, symbol, n, total, kinds = (x[order] for x in (context, symbol.astype(np.uint64), n.astype(np.float64), total.astype(np.float64), kinds.astype(np.float64)))
-    ctx, start = np.unique(context, return_index=True)
-    if not len(ctx):
-        return Tree(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0), alphabet)
-    which = np.repeat(np.arange(len(ctx)), np.diff(np.append(start, len(context))))
-    total, kinds = total[start], kinds[start]
-    length = (ctx >> np.uint64(BITS * DEPTH)).astype(np.int64)
-    short = ctx & np.uint64(ONES[DEPTH])
-    mask = np.array([0, *ONES[:-1]], np.uint64)
-    parent = np.searchsorted(ctx, key_of(np.maximum(length - 1, 0), short & mask[length]))
-    pair = (context << np.uint64(BITS)) | symbol
-    # a pair's parent pair is counted at least as often, so it is there too
-    above = np.searchsorted(pair, (ctx[parent][which] << np.uint64(BITS)) | symbol)
-    own, ref = n / total[which], n[above] / total[which[above]]
-    gain = np.add.reduceat(n * np.log(own / ref), start)
-    # what the pairs left out must give to the divergence at least
-    seen_own, seen_ref = np.add.reduceat(own, start), np.add.reduceat(ref, start)
-    rest = np.maximum(1 - seen_own, 1e-12)
-    gain += np.where(seen_own < 1, total * rest * np.log(rest / np.maximum(1 - seen_ref, 1e-12)), 0)
-    keep = (gain >= diverges) | (length == 0)
-    for d in range(DEPTH, 0, -1):
-        keep[parent[keep & (length == d)]] = True
-    smooth = np.zeros(len(pair))
-    for d in range(DEPTH + 1):
-        at = np.flatnonzero(length[which] == d)
-        lower = np.full(len(at), 1 / (alphabet - 1)) if d == 0 else smooth[above[at]]
-        smooth[at] = (n[at] + kinds[which[at]] * lower) / (total + kinds)[which[at]]
-    held = keep[which]
-    # what is left for symbols without a pair of their own, as a share of what the shorter context gives them
-    given = np.add.reduceat(smooth, start)
-    lower = np.where(length[which] == 0, 1 / (alphabet - 1), smooth[np.where(length[which] == 0, 0, above)])
-    free = np.maximum(1 - np.add.reduceat(lower, start), 1e-12)
-    left = np.clip((1 - given) / free, 1e-12, 1)
-    return Tree(ctx[keep], np.log10(left[keep]), pair[held], np.log10(smooth[held]), alphabet)
-
-
 def _scored(corpus: Corpus, buckets: int, ident: str):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return pa.table({ident: pa.array([], left.schema.field(ident).type), **{k: pa.array([], v) for k, v in (("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))}})
-        part, n = Part(left, right, corpus, buckets), left.num_rows
+            return pa.table({ident: pa.array([], left.schema.field("ids").type.value_type), **{k: pa.array([], v) for k, v in (("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))}})
+        part = Part(left, right, corpus, buckets)
+        n = part.texts.n
         part.whole()
         count, inv, doc = part.count, part.inv, part.doc
         under = corpus.tokens + 0.1 * (corpus.kinds + 1)
@@ -475,7 +408,7 @@ def _scored(corpus: Corpus, buckets: int, ident: str):
         smooth = (part.counts[1] + max(kinds, 1) / (corpus.alphabet - 1)) / (corpus.tokens + max(kinds, 1))
         best, at = smooth.copy(), 0
         u, _, index, places = part.contexts()
-        told = _told(right, WEIGHED, u, buckets, np.int32)[index]
+        told = _told(right, WEIGHED, u, buckets)[index]
         for d, place in enumerate(places, 1):
             k, (seen, total) = told[at : at + len(place)], part.seen(d, place)
             at += len(place)
@@ -486,8 +419,8 @@ def _scored(corpus: Corpus, buckets: int, ident: str):
         sums = lambda x: np.bincount(doc, weights=x[inv], minlength=n)
         return pa.table(
             {
-                ident: left.column(ident),
-                "train": left.column("train"),
+                ident: part.texts.ids,
+                "train": part.texts.flags,
                 "n_tokens": pa.array(words + 1),
                 "n_known": pa.array(np.rint(sums((count > 0).astype(float))).astype(np.int64) + int(corpus.ends > 0)),
                 "base_score": pa.array(sums(logs) + np.log10((corpus.ends + 0.1) / under)),
@@ -498,23 +431,29 @@ def _scored(corpus: Corpus, buckets: int, ident: str):
     return run
 
 
-def _swept(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of exchanges that are over: it does so once the driver has collected their handles."""
-    gc.collect()
-    for _ in range(3):  # the first collection only frees what still holds the handles
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
+#: Spark's own setting: exchanges of a finished job are deleted at once. Every step here ends in a checkpoint and is not run again.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = 6 * MB) -> DataFrame:
     """id, train boolean, n_tokens, n_known, train_tokens, base_score, score; `train` says which rows to learn from."""
+    conf = docs.sparkSession.conf
+    before = conf.get(TIDY, "false")
+    conf.set(TIDY, "true")
+    try:
+        return _suffix_tree_scores(docs, train, id_col, text_col, part_bytes)
+    finally:
+        conf.set(TIDY, before)
+
+
+def _suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str, text_col: str, part_bytes: int) -> DataFrame:
     _, size = text_bytes(docs, text_col)
     parts, buckets = pieces(size, part_bytes, 12), pieces(size, 8 * MB, 16)
+    of_id = docs.schema[id_col].dataType.simpleString()
     placed = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), train.alias("train"))
     placed = placed.withColumn("part", F.pmod(F.xxhash64(F.lit(5), id_col, "text"), F.lit(parts)).cast("int"))
-    met = cut(placed.groupBy("part").applyInArrow(_sent(buckets), SENT).groupBy("bucket").applyInArrow(_met, SENT))
-
-    _swept(docs.sparkSession)
+    texts = cut(placed.groupBy("part").applyInArrow(*_tokenised(of_id, id_col)))
+    met = cut(texts.mapInArrow(_sent(buckets), SENT).groupBy("bucket").applyInArrow(_met, SENT))
 
     def stats(batches):
         for batch in batches:
@@ -538,30 +477,22 @@ def suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str = "doc_id",
 
     def told(function, schema, *answers):
         back = reduce(DataFrame.unionAll, [x.where(F.col("part") >= 0).select("kind", "bucket", "part", "counts") for x in answers])
-        return placed.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(function, schema)
+        return texts.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(function, schema)
 
     answers = [met.where(F.col("kind") == WORDS)]
     for kind, what in ((TWOS, "twos"), (LONGER, "longer")):
         asked = told(_asking(what, corpus, buckets), SENT, *answers)
         answers.append(cut(asked.groupBy("bucket").applyInArrow(_answered(kind), SENT)))
-        _swept(docs.sparkSession)
     asked = cut(told(_weighing(corpus, buckets), SENT, *answers))
-    _swept(docs.sparkSession)
     held = cut(asked.groupBy("bucket").applyInArrow(_weighed, SENT))
     for _ in range(DEPTH - 1):
-        _swept(docs.sparkSession)
         up = held.select("keys", "counts").mapInArrow(_lifting(buckets), SENT)
         before, held = held, cut(held.groupBy("bucket").cogroup(up.groupBy("bucket")).applyInArrow(_lifted, SENT))
         drop(before)
-    del before, up
-    _swept(docs.sparkSession)
     answers.append(cut(asked.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(_judged, SENT)))
     drop(asked)
     drop(held)
-    del asked, held
-    _swept(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = told(_scored(corpus, buckets, id_col), f"`{id_col}` {kind}, train boolean, n_tokens long, n_known long, base_score double, score double", *answers)
+    out = told(_scored(corpus, buckets, id_col), f"`{id_col}` {of_id}, train boolean, n_tokens long, n_known long, base_score double, score double", *answers)
     return out.withColumn("train_tokens", F.lit(tokens).cast("long"))
 
 
