@@ -126,7 +126,7 @@ def _ranges(kind: int, row, ident, start, stop, at, h) -> pa.Table:
 
 
 BLOB = "bucket int, rows binary, ids binary, doc binary, at binary, first binary, last binary, hash binary, same binary"
-KINDS = {"rows": np.int64, "ids": np.int64, "doc": np.uint32, "at": np.uint32, "first": np.uint8, "last": np.uint8, "hash": np.uint64, "same": np.uint64}
+KINDS = {"rows": np.int64, "ids": np.int64, "doc": np.uint32, "at": np.uint32, "first": np.uint32, "last": np.uint32, "hash": np.uint64, "same": np.uint64}
 
 
 def _sent(buckets: int, length: int, gram: int, flush: int):
