@@ -15,6 +15,7 @@ other columns are not read.
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,7 +36,35 @@ FEATURES = 7
 QUOTES = (b'"', b"'", b"\xc2\xab", b"\xc2\xbb", b"\xe2\x80\x9c", b"\xe2\x80\x9d", b"\xe2\x80\x9e", b"`")
 EDGE = np.zeros(256, bool)
 EDGE[[c for c in range(128) if not chr(c).isalnum()]] = True
-MARKS = bytes(np.flatnonzero(EDGE).tolist())
+#: Code points beyond ASCII that are marks by their category: punctuation, symbols, separators, controls and format characters.
+MARK = np.zeros(0x20000, bool)
+MARK[[c for c in range(128, len(MARK)) if unicodedata.category(chr(c))[0] in "PSZ" or unicodedata.category(chr(c)) in ("Cc", "Cf")]] = True
+
+
+def marks(raw: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to marks: those of EDGE, and all bytes of a longer mark."""
+    out = EDGE[raw]
+    lead = np.flatnonzero(raw >= 0xC2)
+    if not len(lead):
+        return out
+    more = np.where(raw[lead] >= 0xF0, 3, np.where(raw[lead] >= 0xE0, 2, 1))
+    lead, more = lead[lead + more < len(raw)], more[lead + more < len(raw)]
+    point = (raw[lead] & (0x3F >> more)).astype(np.int64)
+    for k in range(1, 4):
+        on = more >= k
+        point[on] = (point[on] << 6) | (raw[lead[on] + k] & 0x3F)
+    here = MARK[np.minimum(point, len(MARK) - 1)]
+    lead, more = lead[here], more[here]
+    for k in range(4):
+        out[lead[more >= k] + k] = True
+    return out
+
+
+def bare(word: bytes) -> bytes:
+    """A word without the marks at its end."""
+    at = marks(np.frombuffer(word, np.uint8))
+    inside = np.flatnonzero(~at)
+    return word[: inside[-1] + 1] if len(inside) else b""
 
 
 @dataclass
@@ -141,7 +170,7 @@ def matches(auto: Automaton, raw: np.ndarray, start: np.ndarray, stop: np.ndarra
 
 def trimmed(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens without the marks at their front; marks inside or after a token do not matter to a prefix match."""
-    inside = np.flatnonzero(~EDGE[raw])
+    inside = np.flatnonzero(~marks(raw))
     at = np.searchsorted(inside, start)
     first = np.append(inside, len(raw))[at]
     return np.minimum(first, stop), stop
@@ -215,7 +244,7 @@ def stem_counts(texts: list[bytes], toxic: list[int]) -> dict[bytes, list[int]]:
         whole = raw.tobytes()
         words = {whole[a:b] for a, b in zip(s.tolist(), e.tolist()) if b - a >= STEM_LEAST}
         stems = {w[:k] for w in words for k in range(STEM_LEAST, min(len(w), STEM_MOST) + 1)}
-        for w in stems | {w.rstrip(MARKS) for w in words if len(w) > STEM_MOST}:
+        for w in stems | {bare(w) for w in words if len(w) > STEM_MOST}:
             out.setdefault(w, [0, 0])[0 if y else 1] += 1
     return out
 
@@ -231,7 +260,7 @@ def choose_terms(counts: dict[bytes, tuple[int, int]], n_yes: int, n_no: int) ->
     if not n_yes or not n_no:
         return []
     base = n_yes / (n_yes + n_no)
-    count = {w: a for w, (a, b) in counts.items() if a >= 3 and a >= 9 * b and not EDGE[w[-1]] and (w[-1] & 0xC0) != 0xC0 and evidence(a, b, base) >= EVIDENCE}
+    count = {w: a for w, (a, b) in counts.items() if a >= 3 and a >= 9 * b and (w[-1] & 0xC0) != 0xC0 and evidence(a, b, base) >= EVIDENCE and bare(w) == w}
     by_stem = defaultdict(list)
     for w in sorted(count):
         by_stem[w[:STEM_LEAST]].append(w)
