@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchwright.llm.common import MB, cut, packed, pieces, release, sliced, text_bytes
+from matchwright.operators.numbering import running_sums
 
 WINDOW, QUANTUM, END = 1024, 128, 0
 #: Lead bytes of characters among which Unicode white space is found: no cut stands before them.
@@ -152,12 +153,8 @@ def pack(
     tokens = cut(tokenised(docs, id_col, text_col, source_col, vocabulary, pattern).withColumn("lane", F.pmod("order", F.lit(lanes)).cast("int")))
     held = tokens.groupBy("lane", "source").agg(F.sum("n").alias("n"))
     by_lane = held.groupBy("lane").agg(F.sum("n").alias("lane_n"))
-    earlier = Window.orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    by_lane = by_lane.select(
-        "lane",
-        F.coalesce(F.sum("lane_n").over(earlier), F.lit(0)).alias("before"),
-        F.coalesce(F.sum(F.ceil(F.col("lane_n") / window)).over(earlier), F.lit(0)).cast("long").alias("first_sequence"),
-    )
+    by_lane = by_lane.withColumn("sequences", F.ceil(F.col("lane_n") / window))
+    by_lane = running_sums(by_lane, "lane", {"before": "lane_n", "first_sequence": "sequences"}, lanes)
     by_source = held.groupBy("source").agg(F.sum("n").alias("source_n"))
     whole = by_source.agg(F.sum("source_n").alias("all_n"))
     if targets is None:
@@ -165,8 +162,7 @@ def pack(
     else:
         given = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))])
         share = by_source.select("source", F.coalesce(given[F.coalesce("source", F.lit(""))], F.lit(0.0)).alias("share"))
-    mine = Window.partitionBy("source").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    served = held.select("lane", "source", F.coalesce(F.sum("n").over(mine), F.lit(0)).alias("served"))
+    served = running_sums(held, "lane", {"served": "n"}, lanes, ("source",)).drop("n")
     plan = (
         served.join(by_lane, "lane").join(share.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
         .select(F.col("lane").alias("at_lane"), F.col("source").alias("of"), "share", (F.col("share") * F.col("before") - F.col("served")).alias("credit"), "first_sequence")
