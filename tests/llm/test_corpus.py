@@ -370,27 +370,6 @@ def test_rare_words_are_symbols(spark):
     assert got[3] > got[4] + 1
 
 
-def test_tree_sums_to_one():
-    rng = np.random.default_rng(4)
-    symbol = rng.integers(3, 9, 4000).astype(np.uint64)
-    symbol[1::2] = symbol[::2]  # the second of a pair repeats the first
-    _, length, context, nxt = suffix_tree_lm.chained(symbol, np.zeros(4000, np.int64), 1)
-    every = [(suffix_tree_lm.key_of(d, context[length >= d] & np.uint64(suffix_tree_lm.ONES[d])), nxt[length >= d]) for d in range(suffix_tree_lm.DEPTH + 1)]
-    pairs = collections.Counter((int(k), int(s)) for ks, ss in every for k, s in zip(ks, ss))
-    total, kinds = collections.Counter(), collections.Counter()
-    for (k, _), n in pairs.items():
-        total[k] += n
-        kinds[k] += 1
-    keys = [k for k in pairs if pairs[k] >= 2 and total[k[0]] >= 20]
-    col = lambda f, t: np.array([f(k) for k in keys], t)
-    tree = suffix_tree_lm.grow(col(lambda k: k[0], np.uint64), col(lambda k: k[1], np.uint64), col(lambda k: pairs[k], np.int64), col(lambda k: total[k[0]], np.int64), col(lambda k: kinds[k[0]], np.int64), 9)
-    assert len(tree.contexts) > 1
-    for ctx, size in ((0, 0), (4, 1), (5 | 5 << suffix_tree_lm.BITS, 2), (6 | 7 << suffix_tree_lm.BITS, 2)):
-        s = np.arange(1, 9).astype(np.uint64)
-        p = 10 ** tree.steps(np.full(8, size), np.full(8, ctx, np.uint64), s)
-        assert abs(p.sum() - 1) < 1e-6
-
-
 # ---- 7
 
 
@@ -688,3 +667,75 @@ def test_pipeline(spark, tmp_path):
     assert len(got[13]) < len(before[13]) - 250 and got[11].encode() == before[11]
     pieces = corpus_pipeline.run(spark, folder).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m"))
     assert {r.doc_id for r in pieces.where("n = m").collect()} == ids[3]
+
+
+# ---- adversarial words, wide strings, typographic marks, chosen mixtures
+
+
+def morse(n, low="a", high="b"):
+    return "".join((low, high)[bin(i).count("1") & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096, 16384])
+def test_words_of_thue_and_morse_stay_apart(spark, n):
+    """Two words that a polynomial modulo 2**64 cannot tell apart: joined sets, counts of words."""
+    one, two = morse(n), morse(n, "b", "a")
+    docs = spark.createDataFrame([(0, one), (1, two), (2, one)], "doc_id long, text string").repartition(2)
+    got = {r.id: r.component_id for r in ngram_join.classes(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 0}
+    scores = {r.doc_id: r for r in suffix_tree_lm.suffix_tree_scores(docs, F.lit(True)).collect()}
+    under = 6 + 0.1 * (3 + 1)
+    base = lambda c: math.log10((c + 0.1) / under) + math.log10((3 + 0.1) / under)
+    assert all(math.isclose(scores[i].base_score, base(c), rel_tol=1e-9) for i, c in ((0, 2), (1, 1), (2, 2)))
+
+
+@pytest.mark.parametrize("length,gram", [(400, 32), (700, 64)])
+def test_long_strings_are_removed_whole(spark, length, gram):
+    """Strings far longer than a byte counts."""
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = letters(900)
+    texts = [letters(300) + shared + letters(200), letters(10) + shared, shared[:length] + letters(40), shared[: length - 1] + "#" + letters(40), letters(2000)]
+    rows = list(enumerate(texts))
+    out = suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), length=length, gram=gram)
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in out.collect()}
+    assert got == {0: (0, 0), 1: (900, 1), 2: (length, 1), 3: (0, 0), 4: (0, 0)}
+
+
+@pytest.mark.parametrize("before,after", [("\u201c", "\u201d"), ("\u00ab", "\u00bb"), ("\u2014", ""), ("\u2018\u201c", "\u2026"), ("\u00bf", "?"), ("\U0001f600", "")])
+def test_marks_do_not_hide_terms(before, after):
+    auto = toxicity.build_automaton([b"scum", b"vilest"])
+    for word, want in (("scum", 2), ("vilest", 2), ("vilxst", 1), ("garden", 0)):
+        raw, offsets = packed(pa.array([f"the {before}{word}{after} here \u00e9t\u00e9"]))
+        x = toxicity.features(auto, raw, offsets)[0]
+        assert (x[5], x[6]) == (float(want == 2), float(want == 1)), (before, word)
+    assert toxicity.bare(f"scum{after}".encode()) == b"scum"
+    quoted = [toxicity.features(auto, *packed(pa.array([t])))[0][4] for t in (f"he said {before}scum{after} here", "he said scum here")]
+    assert quoted == [float(after in ("\u201d", "\u00bb")), 0.0]
+
+
+def test_packing_keeps_a_chosen_mixture(spark):
+    """Every full window holds the target shares, within the tokens of a quantum, while all sources last."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["tea", "milk", "bread", "salt"]) for _ in range(rng.randint(20, 400))), s) for i, s in enumerate(["a"] * 300 + ["b"] * 300 + ["c"] * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    targets = {"a": 0.5, "b": 0.3, "c": 0.2}
+    out = packing.pack(docs, *packing.public_vocabulary(), targets=targets, lane_bytes=400_000).collect()
+    total, by = collections.Counter(), collections.Counter()
+    for r in out:
+        total[r.sequence_id] += r.length
+        by[r.sequence_id, r.source] += r.length
+    left = collections.Counter()
+    for r in out:
+        left[r.source] += r.length
+    used, lasting = collections.Counter(), []
+    for s in sorted(total):
+        if all(used[k] + packing.WINDOW <= left[k] for k in targets) and total[s] == packing.WINDOW:
+            lasting.append(s)
+        for k in targets:
+            used[k] += by[s, k]
+    assert len(lasting) > 20
+    for k, share in targets.items():
+        assert all(abs(by[s, k] - share * packing.WINDOW) <= 2 * packing.QUANTUM for s in lasting), k
+        assert abs(sum(by[s, k] for s in lasting) / (packing.WINDOW * len(lasting)) - share) < 0.02
+    assert sum(left.values()) == sum(r.length for r in out)
