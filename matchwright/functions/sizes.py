@@ -62,7 +62,7 @@ def size_pair(a: dict[str, Column], b: dict[str, Column]) -> Column:
     """struct(a, b) of the first of ml, g, count that both sides have; null fields otherwise."""
     out = F.struct(F.lit(None).cast("double").alias("a"), F.lit(None).cast("double").alias("b"))
     for kind in ("count", "g", "ml"):
-        x, y = a[kind].cast("double"), b[kind].cast("double")
+        x, y = (F.nanvl(side[kind].cast("double"), F.lit(None).cast("double")) for side in (a, b))
         out = F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("a"), y.alias("b"))).otherwise(out)
     return out
 

@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 
 from matchwright.functions import sizes, taxonomy, text
 from matchwright.plans.policy import CatalogConfig
+from matchwright.sources.ledger import latest
 
 RELIABLE = ("high", "medium")
 # Names of a reply's fields, and the notes and sources that mark where a value comes from.
 REPLY_TEXT = ("brand", "brand_confidence", "product_core", "product_core_confidence", "flavor", "flavor_confidence", "category_lvl1", "category_lvl1_confidence", "category_lvl2", "category_lvl2_confidence", "notes")
 REPLY_SIZE = ("size_ml", "size_g", "size_count")
+#: What stands before and after the listing in the cleaning prompt.
+CLEAN_ASK = (
+    "Product listing as JSON:\n",
+    f"\nAnswer with a single JSON object holding exactly the keys {', '.join(['product_id', 'side', *REPLY_TEXT, 'is_private_label', *REPLY_SIZE, 'size_confidence'])}. "
+    "Confidence is high, medium or low. An unknown brand or product core is UNKNOWN, an absent flavor or second category NONE, a doubtful first category "
+    "other_unknown. Keep the given sizes unless the text shows better ones.",
+)
 EASY, NO_REPLY, BAD_REPLY = "SKIPPED_GPT_EASY_ROW", "GPT_API_ERROR", "GPT_JSON_PARSE_ERROR"
 MODEL, RAW, RULES, DEPARTMENT, NOTHING = "gpt", "raw", "l0", "department_fallback", "none"
 
@@ -102,22 +110,21 @@ def decode_record(reply: str | None) -> dict | None:
 
 
 def l1_clean(df: DataFrame, replies: DataFrame, id_col: str = "bb_id", skip_simple_rows: bool = True) -> DataFrame:
-    """Easy rows with fallback records, hard rows with their replies (id, reply): one row for each input row."""
+    """Easy rows with fallback records, hard rows with their replies (id, reply): one row for each input row.
+
+    Of several replies to an id one that is not null counts: the latest by asked_at where the table has that column.
+    """
     hard = F.coalesce(needs_model(df, skip_simple_rows), F.lit(True))
-    asked = df.where(hard).join(replies.select(id_col, "reply"), id_col, "left")
+    one = latest(replies, [id_col], at="asked_at" if "asked_at" in replies.columns else None)
+    asked = df.where(hard).join(one, id_col, "left")
     return l1_fallback(df.where(~hard)).unionByName(l1_decode(asked).drop("reply"))
 
 
-def clean_prompt(df: DataFrame, side: str) -> Column:
+def clean_prompt(df: DataFrame, side: str, product_id: str = "bb_id") -> Column:
     """What a model is asked about a hard row."""
     fields = [c for c in ("title_normalized_l0", "title_raw", "brand_raw", "department", "category_raw", "description", "permanent_tags", "is_private_label", "is_fresh", "size_value_raw_l0", "size_unit_raw_l0", "size_ml_l0", "size_g_l0", "size_count_l0", "size_unit_norm_l0") if c in df.columns]
-    payload = F.to_json(F.struct(F.col("bb_id").cast("string").alias("product_id"), F.lit(side).alias("side"), *fields), {"ignoreNullFields": "false"})
-    wanted = ", ".join(["product_id", "side", *REPLY_TEXT, "is_private_label", *REPLY_SIZE, "size_confidence"])
-    rules = (
-        f"Answer with a single JSON object holding exactly the keys {wanted}. Confidence is high, medium or low. An unknown brand or product core is "
-        "UNKNOWN, an absent flavor or second category NONE, a doubtful first category other_unknown. Keep the given sizes unless the text shows better ones."
-    )
-    return F.concat(F.lit("Product listing as JSON:\n"), payload, F.lit("\n" + rules))
+    payload = F.to_json(F.struct(F.col(product_id).cast("string").alias("product_id"), F.lit(side).alias("side"), *fields), {"ignoreNullFields": "false"})
+    return F.concat(F.lit(CLEAN_ASK[0]), payload, F.lit(CLEAN_ASK[1]))
 
 
 def _reliable(confidence: Column) -> Column:

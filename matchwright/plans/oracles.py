@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from matchwright.operators.cleaning import CLEAN_ASK
+from matchwright.operators.matching import REVIEW_ASK
 from matchwright.sources.fixtures import CATALOG_SQL, CLEAN_REPLY_SQL, PAIR_KEY, REVIEW_REPLY_SQL
 
 
@@ -13,12 +15,12 @@ def department(x: str) -> str:
     """Words and categories in the order of the rules."""
     low = f"lower({x})"
     rules = [
-        ("produce fruit vegetable", "fresh_produce"), ("meat", "meat"), ("seafood fish", "seafood"), ("dairy milk cheese", "dairy"), ("egg", "eggs"),
-        ("bakery bread", "bakery"), ("frozen", "frozen_food"), ("alcohol wine beer liquor", "alcohol"), ("beverage drink soda juice", "beverage_non_alcohol"),
-        ("snack chips candy cookies", "snacks"), ("cereal breakfast", "breakfast_cereal"), ("baby", "baby"), ("pet", "pet"), ("household clean paper", "household"),
-        ("personal beauty hair skin", "personal_care"),
+        (("produce", "fruit", "vegetable"), "fresh_produce"), (("meat",), "meat"), (("seafood", "fish"), "seafood"), (("dairy", "milk", "cheese"), "dairy"),
+        (("egg",), "eggs"), (("bakery", "bread"), "bakery"), (("frozen",), "frozen_food"), (("alcohol", "wine", "beer", "liquor"), "alcohol"),
+        (("beverage", "drink", "soda", "juice"), "beverage_non_alcohol"), (("snack", "chips", "candy", "cookies"), "snacks"), (("cereal", "breakfast"), "breakfast_cereal"),
+        (("baby",), "baby"), (("pet",), "pet"), (("household", "clean", "paper"), "household"), (("personal", "beauty", "hair", "skin"), "personal_care"),
     ]
-    cases = " ".join(f"WHEN {' OR '.join(f'contains({low}, {w!r})' for w in words.split())} THEN '{cat}'" for words, cat in rules)
+    cases = " ".join(f"WHEN {' OR '.join(f'contains({low}, {w!r})' for w in words)} THEN '{cat}'" for words, cat in rules)
     return f"CASE WHEN {x} IS NULL THEN 'other_unknown' {cases} ELSE 'pantry' END"
 
 
@@ -179,6 +181,22 @@ def label(name: str, x: str) -> str:
 FX = f"fx AS ({CATALOG_SQL})"
 SHOWN = f"concat_ws(', ', {shown('size_count_final', 'count')}, {shown('size_ml_final', 'ml')}, {shown('size_g_final', 'g')})"
 
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def json_of(**fields: str) -> str:
+    return "CAST(to_json({" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "}) AS VARCHAR)"
+
+
+LISTED = ("title_normalized_l0", "title_raw", "brand_raw", "department", "category_raw", "is_private_label", "size_value_raw_l0", "size_unit_raw_l0", "size_ml_l0", "size_g_l0", "size_count_l0", "size_unit_norm_l0")
+SHOWN_SIDE = ("title_normalized_l0", "brand_final", "category_lvl1_final", "size_ml_final", "size_g_final", "size_count_final")
+PROMPTS = f"""{REVIEW},
+shown AS (SELECT band.a_id, band.b_id, {json_of(**{n: f'a.{n}' for n in SHOWN_SIDE})} AS x, {json_of(**{n: f'b.{n}' for n in SHOWN_SIDE})} AS y
+  FROM band JOIN l2 a ON a.bb_id = band.a_id JOIN l2 b ON b.bb_id = band.b_id)"""
+
 ORACLE_SQL = {
     "scan_catalog": w(FX, "SELECT * FROM fx"),
     "normalize_title": w(FX, f"SELECT bb_id, {TITLE} AS title FROM fx"),
@@ -206,8 +224,10 @@ ORACLE_SQL = {
     "size_display": w(L2, f"SELECT bb_id, concat_ws(', ', {shown('size_count_final', 'count')}, {shown('size_ml_final', 'ml')}, {shown('size_g_final', 'g')}) AS size FROM l2"),
     "embedding_text": w(L2, f"""SELECT bb_id, concat_ws(', ', title_normalized_l0, {label('brand', 'brand_final')}, {label('core', 'product_core_final')}, {label('flavor', 'flavor_final')},
   CASE WHEN {SHOWN} <> '' THEN concat('size: ', {SHOWN}) END, {label('category', 'category_lvl1_final')}) AS text_for_embedding FROM l2"""),
+    "preview": w(L2, f"""SELECT bb_id, concat_ws(', ', title_normalized_l0, {label('brand', 'brand_final')}, {label('core', 'product_core_final')}, {label('flavor', 'flavor_final')},
+  CASE WHEN {SHOWN} <> '' THEN concat('size: ', {SHOWN}) END, {label('category', 'category_lvl1_final')}) AS text_for_embedding FROM l2 ORDER BY bb_id LIMIT 5"""),
     "l2_normalize": """WITH e AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * 3) AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS b FROM e)
-SELECT vec_id, round(v[1] / b, 6) AS first, round(sqrt(list_sum(list_transform(v, lambda x: (x / b) * (x / b)))), 6) AS norm, round(b, 6) AS before FROM n""",
+SELECT vec_id, i - 1 AS position, round(v[i] / b, 6) AS value, round(sqrt(list_sum(list_transform(v, lambda x: (x / b) * (x / b)))), 6) AS norm, round(b, 6) AS before FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM n)""",
     "cosine_pairs": w(VECTORS + "," + NEAR, "SELECT a_id, b_id, round(cosine, 6) AS cosine FROM near"),
     "topk_candidates": w(VECTORS + "," + NEAR, "SELECT a_id, b_id, round(cosine, 6) AS similarity, rank FROM near"),
     "topk_legacy_ranked": w(VECTORS + "," + NEAR, "SELECT a_id AS bb_id_A, b_id AS bb_id_B, rank, round(cosine, 6) AS sim_embedding FROM near"),
@@ -230,6 +250,11 @@ SELECT vec_id, round(v[1] / b, 6) AS first, round(sqrt(list_sum(list_transform(v
     "review_band": w(REVIEW, f"SELECT a_id, b_id, {r6('score_total')} FROM band"),
     "review_decode": w(f"{FX},{decoded('fx', 'bb_id', 'rd')}", f"SELECT bb_id, gpt_label, {r6('gpt_score')} FROM rd"),
     "llm_review_stub": w(REVIEW, f"SELECT a_id, b_id, gpt_label, {r6('gpt_score')} FROM rev"),
+    "clean_prompt": w(L0, f"SELECT bb_id, concat({quoted(CLEAN_ASK[0])}, {json_of(product_id='CAST(bb_id AS VARCHAR)', side=quoted('A'), **{n: n for n in LISTED})}, {quoted(CLEAN_ASK[1])}) AS prompt FROM l0 WHERE hard"),
+    "review_prompt": w(PROMPTS, f"SELECT a_id, b_id, concat({quoted(REVIEW_ASK[0])}, x, {quoted(REVIEW_ASK[1])}, y, {quoted(REVIEW_ASK[2])}) AS prompt FROM shown"),
+    "review_ledger": w(f"{REVIEW},{decoded('band', 'length(a_title)', 'led')}", f"SELECT a_id, b_id, gpt_label, {r6('gpt_score')} FROM led"),
+    "qa_sample": w(SCORED, f"SELECT a_id, b_id, {r6('score_total')} FROM v0 ORDER BY md5(concat('42:', CAST(a_id AS VARCHAR))), a_id LIMIT 50"),
+    "phase2_resumed": w(FINAL, f"SELECT a_id AS bb_id_A, b_id AS bb_id_B, {ALL} FROM fin"),
     "review_blend": w(REVIEW, "SELECT a_id, b_id, round(0.6::DOUBLE * score_total + 0.4::DOUBLE * gpt_score, 6) AS final_score FROM rev"),
     "final_matches": w(FINAL, f"SELECT a_id, b_id, a_id AS bb_id_A, b_id AS bb_id_B, {r6('score_total')} FROM fin"),
     "final_pairs": w(FINAL, "SELECT DISTINCT a_id AS bb_id_A, b_id AS bb_id_B FROM fin"),

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from matchwright.operators import cleaning, matching
 from matchwright.plans.policy import CatalogConfig, Policy
-from matchwright.sources import clients
+from matchwright.sources import ledger
+
+Client = Callable[[], Callable[[str], str]]
 
 
 def clean(raw: DataFrame, config: CatalogConfig, replies: DataFrame, policy: Policy = Policy()) -> DataFrame:
@@ -17,21 +19,18 @@ def clean(raw: DataFrame, config: CatalogConfig, replies: DataFrame, policy: Pol
     return cleaning.l2_clean(cleaning.l1_clean(cleaning.l0_clean(raw, config), replies, config.product_id, policy.skip_simple_rows))
 
 
-def ask_replies(raw: DataFrame, config: CatalogConfig, client: Callable[[], Callable[[str], str]], threads: int = 5, pause: float = 0.0, stored: DataFrame | None = None) -> DataFrame:
-    """(id, reply) for the hard rows of a side without a reply in `stored` (id, reply).
-
-    Append the result to that table: a run after a failure then asks only for what is missing.
-    """
+def ask_replies(raw: DataFrame, config: CatalogConfig, client: Client, path: str, waves: int = 1, policy: Policy = Policy(), **limits: object) -> DataFrame:
+    """(id, reply) for the hard rows of a side: those that the ledger at `path` has no reply to are asked, all are read from it."""
     l0 = cleaning.l0_clean(raw, config)
-    hard = l0.where(F.coalesce(cleaning.needs_model(l0), F.lit(True)))
-    asked = hard.select(config.product_id, cleaning.clean_prompt(l0, config.side).alias("prompt"))
-    return clients.ask(clients.missing(asked, stored, [config.product_id]), "prompt", "reply", client, threads, pause).drop("prompt")
+    hard = l0.where(F.coalesce(cleaning.needs_model(l0, policy.skip_simple_rows), F.lit(True)))
+    asked = hard.select(config.product_id, cleaning.clean_prompt(l0, config.side, config.product_id).alias("prompt"))
+    return ledger.ask(asked, path, client, waves=waves, **limits).drop("prompt")
 
 
-def ask_reviews(band: DataFrame, client: Callable[[], Callable[[str], str]], threads: int = 5, pause: float = 0.0, stored: DataFrame | None = None) -> DataFrame:
-    """(a_id, b_id, reply) for the band's pairs without a reply in `stored`; matching.review_decode reads what is stored."""
+def ask_reviews(band: DataFrame, client: Client, path: str, waves: int = 1, **limits: object) -> DataFrame:
+    """(a_id, b_id, reply) for the band's pairs, from the ledger at `path` after asking for what it lacks; see matching.review_decode."""
     asked = band.select("a_id", "b_id", matching.review_prompt(band).alias("prompt"))
-    return clients.ask(clients.missing(asked, stored, ["a_id", "b_id"]), "prompt", "reply", client, threads, pause).drop("prompt")
+    return ledger.ask(asked, path, client, waves=waves, **limits).drop("prompt")
 
 
 def candidates(a: DataFrame, b: DataFrame, policy: Policy = Policy(), similarity: Callable = lambda c: c) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from matchwright.functions import features, sizes, taxonomy, text
 from matchwright.functions import vectors as vec
 from matchwright.operators import cleaning, matching, numbering
-from matchwright.plans import pipeline
+from matchwright.operators.staging import shared_folder, written
+from matchwright.plans import pipeline, runner
 from matchwright.plans.policy import FIXTURE, CatalogConfig
 from matchwright.sources import clients, fixtures
 
@@ -265,9 +267,11 @@ def embed_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def l2_normalize(spark: SparkSession, d: str) -> DataFrame:
+    """Every element of every unit vector, from vectors three times as long."""
     x = fixtures.vectors(spark, d).select("vec_id", F.transform("embedding", lambda v: v.cast("double") * 3).alias("v"))
-    u = vec.l2_normalize(c("v"))
-    return x.select("vec_id", r6(u[0]).alias("first"), r6(vec.l2_norm(u)).alias("norm"), r6(vec.l2_norm(c("v"))).alias("before"))
+    u = x.select("vec_id", "v", vec.l2_normalize(c("v")).alias("u"))
+    each = u.select("vec_id", r6(vec.l2_norm(c("u"))).alias("norm"), r6(vec.l2_norm(c("v"))).alias("before"), F.posexplode("u").alias("position", "value"))
+    return each.select("vec_id", c("position").cast("long").alias("position"), r6(c("value")).alias("value"), "norm", "before")
 
 
 @query
@@ -410,6 +414,52 @@ def llm_review_stub(spark: SparkSession, d: str) -> DataFrame:
     return reviewed(matching.review_band(kept(spark, d), FIXTURE)).select("a_id", "b_id", "gpt_label", r6(c("gpt_score")).alias("gpt_score"))
 
 
+def review_client() -> Callable[[str], str]:
+    """Answers by the length of the first listing's title, in every form that a model's reply can take."""
+
+    def answer(prompt: str) -> str:
+        n = len(json.loads(prompt.split("\n")[0].split(": ", 1)[1])["title_normalized_l0"])
+        if n % 10 < 2:
+            return ("not json", "[1]")[n % 10]
+        label, value = ("EXACT", "substitute", "none", "maybe")[n % 4], ("1.5", '"0.9"', "0.25")[n % 3]
+        return f'{{"label":"{label}","score":{value}}}'
+
+    return answer
+
+
+def asked_reviews(band: DataFrame) -> DataFrame:
+    """The band's pairs with what a client answered: asked for through a ledger of its own, and asked again without a client call."""
+    path = f"{shared_folder(band.sparkSession)}/reviews-{uuid.uuid4().hex}"
+    pipeline.ask_reviews(band, review_client, path, waves=2, per_second=1000.0, retries=1)
+    return matching.review_decode(pipeline.ask_reviews(band, review_client, path))
+
+
+@query
+def review_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """The review loop: prompts of the band, a client's replies kept in a ledger, decoded."""
+    band = written(matching.review_band(kept(spark, d), FIXTURE))
+    return asked_reviews(band).select("a_id", "b_id", "gpt_label", r6(c("gpt_score")).alias("gpt_score"))
+
+
+@query
+def phase2_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """The whole second phase in kept stages, run twice: the second run reads them all."""
+    folder = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
+    one, two = (runner.Runner(spark, folder) for _ in range(2))
+    a, b = (written(x) for x in sides(spark, d))
+    for run in (one, two):
+        final_ = runner.match(run, run.source(a), run.source(b), FIXTURE, reviewed, halves)
+    if any(how == "run" for _, how, _ in two.log):
+        raise RuntimeError(f"stages ran again: {two.log}")
+    return final_.df.select("bb_id_A", "bb_id_B", *[r6(c(n)).alias(n) for n in matching.FEATURES])
+
+
+@query
+def preview(spark: SparkSession, d: str) -> DataFrame:
+    """The first rows of the embedding texts."""
+    return matching.preview(embedding_text(spark, d), "bb_id")
+
+
 @query
 def review_blend(spark: SparkSession, d: str) -> DataFrame:
     x = matching.blended(reviewed(matching.review_band(kept(spark, d), FIXTURE)), FIXTURE)

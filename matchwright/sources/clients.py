@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import threading
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -34,24 +36,67 @@ def read_credentials(path: str) -> tuple[str, str, str]:
         raise ValueError(f"{path} lacks openai.{e.args[0]}") from e
 
 
-def ask(df: DataFrame, prompt: str, reply: str, factory: Callable[[], Callable[[str], str]], threads: int = 5, pause: float = 0.0) -> DataFrame:
+class Budget:
+    """A token bucket that the threads of a task share: `rate` requests a second, of which up to a second's worth may be saved up."""
+
+    def __init__(self, rate: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
+        self.rate, self.clock, self.sleep, self.lock = rate, clock, sleep, threading.Lock()
+        self.room, self.at = min(1.0, rate), clock()
+
+    def take(self) -> None:
+        """Waits until a request is due: each caller is given a time of its own."""
+        with self.lock:
+            now = self.clock()
+            self.room = min(max(1.0, self.rate), self.room + (now - self.at) * self.rate)
+            self.at = now
+            self.room -= 1
+            wait = -self.room / self.rate if self.room < 0 else 0.0
+        if wait:
+            self.sleep(wait)
+
+
+def ask(
+    df: DataFrame,
+    prompt: str,
+    reply: str,
+    factory: Callable[[], Callable[[str], str]],
+    threads: int = 5,
+    pause: float = 0.0,
+    tasks: int | None = None,
+    per_second: float | None = None,
+    retries: int = 0,
+    back_off: float = 0.5,
+) -> DataFrame:
     """Adds `reply`: factory() makes a client in the worker, which answers a batch's prompts on `threads` threads; a failure is null.
 
-    The number of partitions times `threads` bounds what is asked at once; each thread waits `pause` seconds after an answer.
-    Tasks that run again ask again: write the replies to a table before decoding them, and ask for what is `missing` there.
+    The rows are dealt to `tasks` tasks, if given; that many times `threads` requests are under way at most. `per_second`
+    limits the requests of all tasks together: each task has a bucket with its share of it, so tasks that run later leave
+    their share unused rather than exceed it. A request that fails is sent again up to `retries` times, after waits of `back_off`
+    seconds that double; every try takes from the budget. Each thread waits `pause` seconds after a prompt.
+    Tasks that run again ask again: see sources.ledger for replies that are kept.
     """
     names = df.columns
+    if per_second and not tasks:
+        tasks = df.sparkSession.sparkContext.defaultParallelism
+    dealt = df.repartition(tasks) if tasks else df
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = None
+        budget = Budget(per_second / tasks) if per_second else None
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
                 client = client or factory()
 
                 def one(text: str) -> str | None:
                     try:
-                        return client(text)
-                    except Exception:  # whatever a client raises counts as no reply
+                        for attempt in range(retries + 1):
+                            if budget:
+                                budget.take()
+                            try:
+                                return client(text)
+                            except Exception:  # whatever a client raises counts as no reply
+                                if attempt < retries:
+                                    time.sleep(back_off * 2**attempt)
                         return None
                     finally:
                         time.sleep(pause)
@@ -60,7 +105,7 @@ def ask(df: DataFrame, prompt: str, reply: str, factory: Callable[[], Callable[[
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], names=[*names, reply])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{kinds}, `{reply}` string")
+    return dealt.mapInArrow(run, f"{kinds}, `{reply}` string")
 
 
 def missing(asked: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:
@@ -104,13 +149,36 @@ def hashing_encoder(dimension: int = 64) -> Callable[[list[str]], np.ndarray]:
     return encode
 
 
-def embed(text: Column, factory: Callable[[], Callable[[list[str]], np.ndarray]] = hashing_encoder) -> Column:
-    """array<float> of a text by an encoder made once for each task; null texts count as empty."""
+def by_length(texts: list[str], encode: Callable[[list[str]], np.ndarray], tokens: int) -> list[np.ndarray]:
+    """The vectors of the texts, in their order: encoded from short to long, in batches of at most `tokens` padded words.
+
+    A batch costs its longest text times its number of texts; a longer text is a batch of its own.
+    """
+    sizes = [max(1, len(t.split())) for t in texts]
+    out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(texts)
+    held: list[int] = []
+    for i in [*sorted(range(len(texts)), key=lambda k: (sizes[k], k)), None]:
+        if held and (i is None or sizes[i] * (len(held) + 1) > tokens):
+            for k, v in zip(held, encode([texts[k] for k in held])):
+                out[k] = v
+            held = []
+        if i is not None:
+            held.append(i)
+    return out
+
+
+def embed(text: Column, factory: Callable[[], Callable[[list[str]], np.ndarray]] = hashing_encoder, window: int = 4, tokens: int = 16_384) -> Column:
+    """array<float> of a text by an encoder made once for each task; null texts count as empty.
+
+    Texts are sorted by length over `window` Arrow batches, so that those encoded together are about equally long.
+    """
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = factory()
-        for texts in batches:
-            yield pd.Series(list(encode(texts.fillna("").tolist())))
+        while held := list(itertools.islice(batches, window)):
+            found = iter(by_length([t for b in held for t in b.fillna("").tolist()], encode, tokens))
+            for b in held:
+                yield pd.Series(list(itertools.islice(found, len(b))), dtype=object)
 
     return run(text)

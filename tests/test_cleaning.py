@@ -137,11 +137,11 @@ def test_catalog_files(spark, tmp_path):
 
 
 def test_vector_files(spark, tmp_path):
-    df = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0])], "bb_id long, embedding array<double>")
+    df = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 2.0])], "bb_id long, embedding array<double>")
     path = str(tmp_path / "v")
     catalog.write_vectors(df, path, "bb_id", "embedding")
-    assert sorted(map(tuple, catalog.read_vectors(spark, path, df, "bb_id").collect())) == [(1, [0.6, 0.8]), (2, [0.0, 0.0])]
-    with pytest.raises(ValueError, match="holds 2 vectors for 1"):
+    assert sorted(map(tuple, catalog.read_vectors(spark, path, df, "bb_id").collect())) == [(1, [0.6, 0.8]), (2, [0.0, 1.0])]
+    with pytest.raises(ValueError, match="2 vectors for 1 products"):
         catalog.read_vectors(spark, path, df.limit(1), "bb_id")
 
 

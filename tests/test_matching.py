@@ -153,23 +153,6 @@ def test_without_review_all_matches_are_final(spark):
     assert rows(plain, "bb_id_A", "bb_id_B") == rows(none, "bb_id_A", "bb_id_B") != []
 
 
-def test_replies_are_asked_for_once(spark):
-    asked = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "a_id long, prompt string")
-    stored = spark.createDataFrame([(1, "old"), (2, None)], "a_id long, reply string")
-    got = clients.ask(clients.missing(asked, stored, ["a_id"]), "prompt", "reply", lambda: str.upper, 2, 0.01)
-    assert rows(got, "a_id", "reply") == [(2, "Y"), (3, "Z")] and clients.missing(asked, None, ["a_id"]).count() == 3
-
-
-def test_reviews_by_a_client(spark):
-    band = spark.createDataFrame([(1, 2, "milk", "milk"), (1, 3, "milk", "beer")], "a_id long, b_id long, a_title_normalized_l0 string, b_title_normalized_l0 string")
-
-    def client():
-        return lambda prompt: '{"label": "exact", "score": 0.9}' if prompt.count("milk") == 2 else "no answer"
-
-    got = matching.review_decode(pipeline.ask_reviews(band, client))
-    assert rows(got, "a_id", "b_id", "gpt_label", "gpt_score") == [(1, 2, "exact", 0.9), (1, 3, "none", 0.0)]
-
-
 def test_named_encoder(monkeypatch):
     calls = []
 

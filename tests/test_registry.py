@@ -38,7 +38,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_registry_is_whole(spark):
     assert set(oracles.ORACLE_SQL) <= set(registry.QUERIES) <= set(entry.queries())
-    assert set(registry.QUERIES) - set(oracles.ORACLE_SQL) == {"clean_prompt", "review_prompt", "embed_text", "qa_sample"}
+    assert set(registry.QUERIES) - set(oracles.ORACLE_SQL) == {"embed_text"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
     assert registry.QUERIES["clean_prompt"](spark, SF).where("prompt is null").count() == 0
