@@ -327,27 +327,33 @@ def _weighing(corpus: Corpus, buckets: int):
                 gain.append(learnt * np.log(n / total * (whole / m)) if len(at) else np.zeros(0))
             sums = [np.bincount(inv, weights=np.concatenate(x), minlength=len(u)) for x in (kinds, gain)]
             # a retained context gains in some part, which names the shorter one
-            _put(out, 0, left.column("part")[0].as_py(), buckets, u, np.where(sums[1] > 0, np.concatenate(above)[first], 0), *sums)
+            _put(out, 0, left.column("part")[0].as_py(), buckets, u, np.where(sums[1] > 0, np.concatenate(above)[first], 0), *[x.astype(np.float32) for x in sums])
         return _table(out)
 
     return run
 
 
-def _split(key: bytes, blob: bytes) -> tuple[np.ndarray, ...]:
+def _split(key: bytes, blob: bytes, kept: type = np.float64) -> tuple[np.ndarray, ...]:
+    """(contexts, the shorter ones, numbers of symbols, divergences) of a row."""
     keys = _decoded(key)
-    n = len(keys)
-    blob = _unzipped(blob, 24 * n)
-    return keys, np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.float64, n, 8 * n), np.frombuffer(blob, np.float64, n, 16 * n)
+    n, wide = len(keys), np.dtype(kept).itemsize
+    blob = _unzipped(blob, (8 + 2 * wide) * n)
+    return keys, np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, kept, n, 8 * n), np.frombuffer(blob, kept, n, (8 + wide) * n)
 
 
 def _weighed(t: pa.Table) -> pa.Table:
-    """A bucket's contexts in one row: the shorter ones, the numbers of symbols and the divergences."""
-    keys, above, kinds, gain = (np.concatenate(x) for x in zip(*map(_split, t.column("keys").to_pylist(), t.column("counts").to_pylist())))
+    """A bucket's contexts in one row: the shorter ones, the numbers of symbols and the divergences; and what each part asked about."""
+    keys, above, kinds, gain = (np.concatenate(x) for x in zip(*[_split(k, c, np.float32) for k, c in zip(t.column("keys").to_pylist(), t.column("counts").to_pylist())]))
     u, _, inv = distinct(keys)
     up = np.zeros(len(u), np.uint64)
     up[inv[above > 0]] = above[above > 0]
     kinds, gain = (np.bincount(inv, weights=x, minlength=len(u)) for x in (kinds, gain))
-    return _table({"kind": [0], "bucket": [t.column("bucket")[0].as_py()], "part": [-1], "keys": [_coded(u)], "counts": [_zipped(up, np.rint(kinds), gain)]})
+    bucket = t.column("bucket")[0].as_py()
+    out = {"kind": [0], "bucket": [bucket], "part": [-1], "keys": [_coded(u)], "counts": [_zipped(up, np.rint(kinds), gain)]}
+    for key, part in zip(t.column("keys").to_pylist(), t.column("part").to_pylist()):
+        for k, v in zip(out, (1, bucket, part, key, b"")):
+            out[k].append(v)
+    return _table(out)
 
 
 def _lifting(buckets: int):
@@ -483,14 +489,15 @@ def _suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str, text_col:
     for kind, what in ((TWOS, "twos"), (LONGER, "longer")):
         asked = told(_asking(what, corpus, buckets), SENT, *answers)
         answers.append(cut(asked.groupBy("bucket").applyInArrow(_answered(kind), SENT)))
-    asked = cut(told(_weighing(corpus, buckets), SENT, *answers))
-    held = cut(asked.groupBy("bucket").applyInArrow(_weighed, SENT))
-    for _ in range(DEPTH - 1):
+    weighed = cut(told(_weighing(corpus, buckets), SENT, *answers).groupBy("bucket").applyInArrow(_weighed, SENT))
+    held = weighed.where("kind = 0")
+    for i in range(DEPTH - 1):
         up = held.select("keys", "counts").mapInArrow(_lifting(buckets), SENT)
         before, held = held, cut(held.groupBy("bucket").cogroup(up.groupBy("bucket")).applyInArrow(_lifted, SENT))
-        drop(before)
-    answers.append(cut(asked.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(_judged, SENT)))
-    drop(asked)
+        if i:
+            drop(before)
+    answers.append(cut(weighed.where("kind = 1").groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(_judged, SENT)))
+    drop(weighed)
     drop(held)
     out = told(_scored(corpus, buckets, id_col), f"`{id_col}` {of_id}, train boolean, n_tokens long, n_known long, base_score double, score double", *answers)
     return out.withColumn("train_tokens", F.lit(tokens).cast("long"))
