@@ -2,6 +2,11 @@
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes as Parquet
 to the shared folder and reads again for the next. All stages but the last return the columns of documents.
+
+Cases, for every stage: an empty table gives an empty one with the same columns. A null text counts as empty, is never toxic, has
+no near copies and is packed as its end alone. A row without an id stands after all others where the least id decides. Of
+repeated rows, the same id included, one stays after drop_copies; ties go by place in the scan. Other columns ride along
+unread. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -26,11 +31,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space runs, the row of least id stays; all empty and null texts are equal."""
     return exact_dedup.without_copies(docs).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each linked group stays."""
+    """The document of least id of each linked group stays; documents without words are linked with nothing."""
     return ngram_join.without_near_copies(docs).select(*docs.columns)
 
 
@@ -47,6 +53,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all remaining documents in sequences, each source by its share of the tokens; see packing.pack for the columns."""
     return packing.pack(docs, *packing.public_vocabulary())
 
 
