@@ -9,7 +9,7 @@ the number of symbols seen after it (Witten-Bell); a token is scored by the long
 Every pair of context and symbol counts, those seen once too. A word that is no symbol of its own shares the probability
 of the common symbol by its count, less a discount that goes to the unknown word, so the events after any context sum to one.
 
-The model is never in one place. Texts are dealt into parts and written once as words' hashes; then everything is counted by blob exchanges: a part sends the
+The model is never in one place. Texts are dealt into parts and written once, compressed; then everything is counted by blob exchanges: a part sends the
 hashes and training counts of its distinct items by bucket, and a bucket returns the corpus counts of what it was asked
 for. Words come first, then runs of two symbols, then those of three and four; a run is asked for only where the context in
 it can have `LEAST` occurrences, which loses none, as a run is seen no more often than what it holds. The count of a run is
@@ -67,31 +67,25 @@ def _unzipped(blob: bytes, size: int) -> bytes:
     return pa.decompress(blob, size, codec="zstd", asbytes=True)
 
 
-def _tokenised(kind: str, ident: str):
-    """A part's texts as one row: ids, training flags, words of each text, distinct word hashes, and each token's word among them."""
+def _gathered(kind: str, ident: str):
+    """A part's texts as one row: ids, training flags, sizes in bytes, and the lower-cased bytes of all texts, compressed."""
 
     def run(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         raw, offsets = packed(t.column("text").chunk(0))
-        raw = lowered(raw)
-        start, stop, doc = words_of(raw, offsets)
-        u, _, inv = distinct(word_hashes(raw, start, stop))
-        sizes = np.bincount(doc, minlength=t.num_rows)
-        ids = t.column(ident).chunk(0)
         return pa.table(
             {
                 "part": t.column("part").slice(0, 1),
                 "n": pa.array([t.num_rows], pa.int64()),
-                "ids": pa.ListArray.from_arrays([0, t.num_rows], ids),
+                "ids": pa.ListArray.from_arrays([0, t.num_rows], t.column(ident).chunk(0)),
                 "train": pa.ListArray.from_arrays([0, t.num_rows], t.column("train").chunk(0)),
-                "sizes": pa.array([_zipped(sizes.astype(np.uint32))], pa.binary()),
-                "tokens": pa.array([len(inv)], pa.int64()),
-                "words": pa.array([_coded(u)], pa.binary()),
-                "word": pa.array([_zipped(inv.astype(np.uint32))], pa.binary()),
+                "sizes": pa.array([_zipped(np.diff(offsets))], pa.binary()),
+                "bytes": pa.array([len(raw)], pa.int64()),
+                "text": pa.array([_zipped(lowered(raw))], pa.binary()),
             }
         )
 
-    return run, f"part int, n long, ids array<{kind}>, train array<boolean>, sizes binary, tokens long, words binary, word binary"
+    return run, f"part int, n long, ids array<{kind}>, train array<boolean>, sizes binary, bytes long, text binary"
 
 
 class Texts:
@@ -100,9 +94,9 @@ class Texts:
     def __init__(self, t: pa.Table) -> None:
         get = lambda c: t.column(c)[0].as_py()
         self.part, self.n = get("part"), get("n")
-        self.words = _decoded(get("words"))
-        self.word = np.frombuffer(_unzipped(get("word"), 4 * get("tokens")), np.uint32).astype(np.int64)
-        self.doc = np.repeat(np.arange(self.n), np.frombuffer(_unzipped(get("sizes"), 4 * self.n), np.uint32))
+        raw = np.frombuffer(_unzipped(get("text"), get("bytes")), np.uint8) if get("bytes") else np.zeros(0, np.uint8)
+        start, stop, self.doc = words_of(raw, np.append(0, np.cumsum(np.frombuffer(_unzipped(get("sizes"), 8 * self.n), np.int64))))
+        self.words, _, self.word = distinct(word_hashes(raw, start, stop))
         self.ids, self.flags = (t.column(c).combine_chunks().flatten() for c in ("ids", "train"))
         self.train = self.flags.to_numpy(zero_copy_only=False).astype(bool)
 
@@ -351,7 +345,7 @@ def _weighed(t: pa.Table) -> pa.Table:
     bucket = t.column("bucket")[0].as_py()
     out = {"kind": [0], "bucket": [bucket], "part": [-1], "keys": [_coded(u)], "counts": [_zipped(up, np.rint(kinds), gain)]}
     for key, part in zip(t.column("keys").to_pylist(), t.column("part").to_pylist()):
-        for k, v in zip(out, (1, bucket, part, key, b"")):
+        for k, v in zip(out, (1, bucket, part, _coded(np.searchsorted(u, _decoded(key)).astype(np.uint64)), b"")):  # places: a fifth of the keys
             out[k].append(v)
     return _table(out)
 
@@ -387,10 +381,10 @@ def _judged(left: pa.Table, right: pa.Table) -> pa.Table:
     """Tells each part the number of symbols after each of its contexts, negative where the context is not retained."""
     out = _none()
     if left.num_rows:
-        u, _, kinds, gain = _split(right.column("keys")[0].as_py(), right.column("counts")[0].as_py())
+        _, _, kinds, gain = _split(right.column("keys")[0].as_py(), right.column("counts")[0].as_py())
         value = np.where(gain >= DIVERGES, kinds, -kinds).astype(np.int64)
         for key, p in zip(left.column("keys").to_pylist(), left.column("part").to_pylist()):
-            for k, v in zip(out, (WEIGHED, left.column("bucket")[0].as_py(), p, b"", _zipped(value[np.searchsorted(u, _decoded(key))]))):
+            for k, v in zip(out, (WEIGHED, left.column("bucket")[0].as_py(), p, b"", _zipped(value[_decoded(key).astype(np.int64)]))):
                 out[k].append(v)
     return _table(out)
 
@@ -458,7 +452,7 @@ def _suffix_tree_scores(docs: DataFrame, train: F.Column, id_col: str, text_col:
     of_id = docs.schema[id_col].dataType.simpleString()
     placed = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), train.alias("train"))
     placed = placed.withColumn("part", F.pmod(F.xxhash64(F.lit(5), id_col, "text"), F.lit(parts)).cast("int"))
-    texts = cut(placed.groupBy("part").applyInArrow(*_tokenised(of_id, id_col)))
+    texts = cut(placed.groupBy("part").applyInArrow(*_gathered(of_id, id_col)))
     met = cut(texts.mapInArrow(_sent(buckets), SENT).groupBy("bucket").applyInArrow(_met, SENT))
 
     def stats(batches):
