@@ -1,13 +1,13 @@
 """Exact de-duplication by content-defined chunk recipes.
 
 Each text, with white space runs turned into single spaces, is cut where a rolling hash of its last 32 bytes has its
-low bits zero, so equal passages are cut alike wherever they stand. A chunk's identifier is a digest that is *verified*:
-every distinct chunk moves once for each map task, and an identifier under which two different byte strings were seen
-is set aside. A document is then only its ordered list of identifiers, a few bytes for each kilobyte of text, and equal
-lists are grouped; documents whose list holds an identifier that failed the check are grouped by the digest of the whole
-text instead. Long documents never move.
+low bits zero, so equal passages are cut alike wherever they stand. A chunk's identifier is a short digest that is *verified*:
+every task sends each distinct identifier once with a witness, the SHA-256 of the chunk's bytes, and an identifier that met
+two witnesses is set aside. A document is then only its ordered list of identifiers, a few bytes for each kilobyte of text,
+and equal lists are grouped; documents whose list holds an identifier that failed the check are grouped by the digest of
+the whole text instead. Neither documents nor chunks move.
 
-Cases: a null text counts as empty; empty texts equal one another. Of rows with the same text and the same id exactly
+Cases: a null text counts as empty; empty texts equal one another; a long text is chunked whole. Of rows with the same text and the same id exactly
 one is kept; a null id stands after every other id. Empty tables give empty results; other columns are not read.
 """
 
@@ -112,27 +112,28 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
 
 
 def failed_identifiers(docs: DataFrame, text_col: str = "text", digest: int = DIGEST) -> DataFrame:
-    """(chunk_id) of identifiers that stand for more than one byte string; none with a sound digest."""
+    """(chunk_id) of identifiers that stand for chunks of more than one SHA-256; none with a sound digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
         for batch in sliced(batches, text_col, 4 * MB):
-            ids, chunks = [], []
+            ids, witnesses = [], []
             for found in chunked(_texts(batch, text_col)):
                 for c in found:
-                    if (whole := _digest(c, 32)) not in sent:  # otherwise the same bytes went out from this task already
-                        sent.add(whole)
-                        ids.append(whole[:digest])
-                        chunks.append(c)
+                    witness = hashlib.sha256(c).digest()
+                    if witness not in sent:  # otherwise the same went out from this task already
+                        sent.add(witness)
+                        ids.append(_digest(c, digest))
+                        witnesses.append(witness)
             if len(sent) > 500_000:
                 sent.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(chunks, pa.binary())], names=["chunk_id", "chunk"])
-            del batch, ids, chunks
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(witnesses, pa.binary())], names=["chunk_id", "witness"])
+            del batch, ids, witnesses
         del sent
         release()
 
-    moved = docs.select(text_col).mapInArrow(run, "chunk_id binary, chunk binary")
-    return moved.groupBy("chunk_id").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a <> b").select("chunk_id")
+    moved = docs.select(text_col).mapInArrow(run, "chunk_id binary, witness binary")
+    return moved.groupBy("chunk_id").agg(F.min("witness").alias("a"), F.max("witness").alias("b")).where("a <> b").select("chunk_id")
 
 
 def _keyed(rows: DataFrame, docs: DataFrame, text_col: str, digest: int) -> DataFrame:
