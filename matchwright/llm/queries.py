@@ -12,7 +12,7 @@ from matchwright.llm.pii import op13_personal_data
 from matchwright.llm.quality_rules import OP10_SQL, op10_quality_rules
 from matchwright.llm.ranked_search import OP12_SQL, op12_ranked_search
 from matchwright.llm.sharding import op2_two_pass_shuffle
-from matchwright.llm.suffix_dedup import op7_suffix_dedup
+from matchwright.llm.suffix_dedup import OP7_SQL, op7_suffix_dedup
 from matchwright.llm.suffix_tree_lm import op6_suffix_tree_lm
 from matchwright.llm.toxicity import op1_toxicity
 
@@ -35,6 +35,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op4_line_dedup": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op7_suffix_dedup": OP7_SQL,
     "op9_ngram_join": OP9_SQL,
     "op10_quality_rules": OP10_SQL,
     "op12_ranked_search": OP12_SQL,

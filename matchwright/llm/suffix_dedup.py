@@ -354,5 +354,30 @@ def suffix_dedup(
     return out.select(ident, *rest, *made)
 
 
+#: The same rows from every 100-byte string, in hexadecimal digits: for small tables.
+OP7_SQL = r"""
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+    SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 200) AS w FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d)
+), first AS (
+    SELECT w, min((doc_id, i)) AS f FROM s GROUP BY w HAVING count(*) > 1
+), later AS (
+    SELECT s.doc_id, s.i FROM s JOIN first USING (w) WHERE (s.doc_id, s.i) <> f
+), run AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM later
+), span AS (
+    SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM run) GROUP BY doc_id, k
+), gap AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span
+), cut AS (
+    SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, list((before, a) ORDER BY a) AS pieces FROM gap GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+    sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE concat(list_reduce(list_prepend('', list_transform(pieces, lambda p: substr(h, CAST(2 * p[1] + 1 AS BIGINT), CAST(2 * (p[2] - p[1]) AS BIGINT)))), lambda x, y: concat(x, y)), substr(h, CAST(2 * last + 1 AS BIGINT))) END)) AS kept_sha256
+FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
+"""
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
