@@ -21,6 +21,7 @@ least id. Empty tables give empty results; other columns are not read. `docs` mu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ STEPS = (1, 2, 4, 8, 16)  # by how much a prefix may be lengthened
 FREQUENT, SEEN = 200_000, 2
 BROADCAST_ROWS = 2_000_000  # 16 MB of row numbers
 PARITY = 4  # 64-bit words of a set's parity bits
+LEAVES = 512  # documents that a hub's text is sent to at once
 ROW = "_row"
 
 
@@ -290,36 +292,58 @@ def _met(short: int):
 
 
 def _linked(size: int, percent: int):
-    """Of pairs with both texts (x and y) those whose whole sets link."""
+    """(u, v) that link: rows come by (hub, salt), the hub's own text first (leaf -1), then those of the leaves it is tried with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "x", MB):
-            n_pairs = batch.num_rows
-            (dx, hx), (dy, hy) = (shingles(*packed(batch.column(c)), size) for c in "xy")
-            d, h = np.append(dx, dy), np.append(hx, hy)
-            order = np.lexsort((h, d))
-            d, h = d[order], h[order]
-            twice = (d[1:] == d[:-1]) & (h[1:] == h[:-1])
-            common = np.bincount(d[1:][twice], minlength=n_pairs)
-            both = np.bincount(d, minlength=n_pairs) - common
-            keep = np.flatnonzero((100 * common >= percent * both) & (common > 0))
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep)) for c in "ab"], names=["u", "v"])
-            del batch, dx, hx, dy, hy, d, h, order, twice
+        mine = np.zeros(0, np.uint64)
+        for batch in sliced(batches, "text", MB):
+            d, h = shingles(*packed(batch.column("text")), size)
+            hub, salt, leaf = (batch.column(c).to_numpy() for c in ("hub", "salt", "leaf"))
+            at = np.searchsorted(d, np.arange(batch.num_rows + 1))
+            first = np.flatnonzero(np.append(True, (hub[1:] != hub[:-1]) | (salt[1:] != salt[:-1])))
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            for i, j in zip(first.tolist(), [*first[1:].tolist(), batch.num_rows]):
+                if leaf[i] < 0:
+                    mine, i = h[at[i] : at[i + 1]], i + 1
+                if i == j or not len(mine):
+                    continue
+                own = h[at[i] : at[j]]
+                shared = mine[np.minimum(np.searchsorted(mine, own), len(mine) - 1)] == own
+                common = np.bincount(d[at[i] : at[j]] - i, weights=shared, minlength=j - i).astype(np.int64)
+                both = len(mine) + np.diff(at[i : j + 1]) - common
+                keep = (100 * common >= percent * both) & (common > 0)
+                found.append((hub[i:j][keep], leaf[i:j][keep]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["u", "v"])
+            del batch, d, h
         release()
 
     return run
 
 
 def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. Texts are moved, not sets: they are half as large and packed by the exchange."""
+    """The pairs (a, b) that link. Of each pair the row that stands in more of them is the hub.
+
+    A hub's text goes once to each LEAVES of its leaves, which meet it in the order of a sort: a pivot of thousands of documents is not
+    copied to each. Texts are moved, not sets: they are half as large and packed by the exchange.
+    """
     pairs = cut(pairs)
-    wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
+    ends = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
+    degree = cut(ends.groupBy("row").agg(F.count(F.lit(1)).alias("d")))
+    wanted = degree.select("row")
     if wanted.count() <= BROADCAST_ROWS:  # otherwise texts and rows meet in a shuffle
         wanted = F.broadcast(wanted)
     texts = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi")
-    one = pairs.join(texts.select(F.col(ROW).alias("a"), F.col("text").alias("x")), "a")
-    two = one.join(texts.select(F.col(ROW).alias("b"), F.col("text").alias("y")), "b")
-    return cut(two.select("a", "b", "x", "y").mapInArrow(_linked(size, percent), "u long, v long"))
+    of = lambda k: degree.select(F.col("row").alias(k), F.col("d").alias("d" + k))
+    more = F.expr("da >= db")
+    way = pairs.join(of("a"), "a").join(of("b"), "b").select(
+        F.when(more, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(more, F.col("b")).otherwise(F.col("a")).alias("leaf"), F.ceil(F.greatest("da", "db") / LEAVES).alias("salts")
+    )
+    way = cut(way.select("hub", "leaf", F.pmod(F.xxhash64("leaf"), F.col("salts")).alias("salt")))
+    leaves = way.join(texts, F.col("leaf") == F.col(ROW)).select("hub", "salt", "leaf", "text")
+    hubs = way.select("hub", "salt").distinct().join(texts, F.col("hub") == F.col(ROW)).select("hub", "salt", F.lit(-1).cast("long").alias("leaf"), "text")
+    rows = leaves.unionByName(hubs).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "leaf")
+    return cut(rows.mapInArrow(_linked(size, percent), "u long, v long"))
 
 
 def _overlap(x: str, y: str, percent: int):
@@ -382,15 +406,18 @@ def _within(family: DataFrame, lists: DataFrame, every: DataFrame, percent: int)
     """
     mixed = family.groupBy("to").agg(F.min("root").alias("c"), F.max("root").alias("d")).where("c < d").select("to")
     left = family.join(mixed, "to", "left_semi").join(every.select(F.col(ROW).alias("row"), "bits"), "row").join(lists, "row")
+    # sizes of linked sets lie within a factor of 100 / percent: a set meets those of its own band of sizes and of the bands beside it
+    band = F.floor(F.log(F.col("na").cast("double")) / F.lit(math.log(100.5 / percent)))
+    left = left.withColumn("band", band)
     side = lambda k: left.select(
-        "to", F.col("row").alias(k), *[F.col(c).alias(c + "_" + k) for c in ("root", "end", "lists", "other")], F.col("na").alias("n" + k), F.expr("na - pa").alias("behind_" + k), *_words(k)
+        "to", ("band" if k == "a" else F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")), F.col("row").alias(k), *[F.col(c).alias(c + "_" + k) for c in ("root", "end", "lists", "other")], F.col("na").alias("n" + k), F.expr("na - pa").alias("behind_" + k), *_words(k)
     )
     ends_first = F.when(F.expr("end_a < end_b"), F.col("behind_a")).when(F.expr("end_a > end_b"), F.col("behind_b")).otherwise(F.greatest("behind_a", "behind_b"))
     need = _overlap("na", "nb", percent)
     short_of = need - ends_first - F.least("other_a", "other_b")
     apart = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & (need <= F.least("na", "nb"))
     quick = short_of <= F.least(F.size("lists_a"), F.size("lists_b"))
-    pairs = side("a").join(side("b"), "to").where(apart & quick & _alike(percent) & (short_of <= F.size(F.array_intersect("lists_a", "lists_b"))))
+    pairs = side("a").join(side("b"), ["to", "band"]).where(apart & quick & _alike(percent) & (short_of <= F.size(F.array_intersect("lists_a", "lists_b"))))
     return pairs.select("a", "b")
 
 
