@@ -9,7 +9,7 @@ the number of symbols seen after it (Witten-Bell); a token is scored by the long
 Every pair of context and symbol counts, those seen once too. A word that is no symbol of its own shares the probability
 of the common symbol by its count, less a discount that goes to the unknown word, so the events after any context sum to one.
 
-The model is never in one place. Texts are dealt into parts and written once, compressed; then everything is counted by blob exchanges: a part sends the
+The model is never in one place. Texts are dealt into parts and written once as their words; then everything is counted by blob exchanges: a part sends the
 hashes and training counts of its distinct items by bucket, and a bucket returns the corpus counts of what it was asked
 for. Words come first, then runs of two symbols, then those of three and four; a run is asked for only where the context in
 it can have `LEAST` occurrences, which loses none, as a run is seen no more often than what it holds. The count of a run is
@@ -67,25 +67,42 @@ def _unzipped(blob: bytes, size: int) -> bytes:
     return pa.decompress(blob, size, codec="zstd", asbytes=True)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Small numbers, byte by byte of all of them: the high bytes are mostly zero, and the low ones alike."""
+    return _zipped(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+
+
+def _flat(blob: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_unzipped(blob, 4 * n), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def _gathered(kind: str, ident: str):
-    """A part's texts as one row: ids, training flags, sizes in bytes, and the lower-cased bytes of all texts, compressed."""
+    """A part's texts as one row: ids, training flags, words of each text, distinct word hashes, and each token's word by its frequency."""
 
     def run(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         raw, offsets = packed(t.column("text").chunk(0))
+        raw = lowered(raw)
+        start, stop, doc = words_of(raw, offsets)
+        u, _, word = distinct(word_hashes(raw, start, stop))
+        order = np.argsort(-np.bincount(word, minlength=len(u)), kind="stable")
+        rank = np.empty(len(u), np.int64)
+        rank[order] = np.arange(len(u))
         return pa.table(
             {
                 "part": t.column("part").slice(0, 1),
                 "n": pa.array([t.num_rows], pa.int64()),
                 "ids": pa.ListArray.from_arrays([0, t.num_rows], t.column(ident).chunk(0)),
                 "train": pa.ListArray.from_arrays([0, t.num_rows], t.column("train").chunk(0)),
-                "sizes": pa.array([_zipped(np.diff(offsets))], pa.binary()),
-                "bytes": pa.array([len(raw)], pa.int64()),
-                "text": pa.array([_zipped(lowered(raw))], pa.binary()),
+                "sizes": pa.array([_planes(np.bincount(doc, minlength=t.num_rows))], pa.binary()),
+                "tokens": pa.array([len(word)], pa.int64()),
+                "words": pa.array([_coded(u)], pa.binary()),
+                "order": pa.array([_planes(order)], pa.binary()),
+                "word": pa.array([_planes(rank[word])], pa.binary()),
             }
         )
 
-    return run, f"part int, n long, ids array<{kind}>, train array<boolean>, sizes binary, bytes long, text binary"
+    return run, f"part int, n long, ids array<{kind}>, train array<boolean>, sizes binary, tokens long, words binary, order binary, word binary"
 
 
 class Texts:
@@ -94,9 +111,9 @@ class Texts:
     def __init__(self, t: pa.Table) -> None:
         get = lambda c: t.column(c)[0].as_py()
         self.part, self.n = get("part"), get("n")
-        raw = np.frombuffer(_unzipped(get("text"), get("bytes")), np.uint8) if get("bytes") else np.zeros(0, np.uint8)
-        start, stop, self.doc = words_of(raw, np.append(0, np.cumsum(np.frombuffer(_unzipped(get("sizes"), 8 * self.n), np.int64))))
-        self.words, _, self.word = distinct(word_hashes(raw, start, stop))
+        self.words = _decoded(get("words"))
+        self.word = _flat(get("order"), len(self.words))[_flat(get("word"), get("tokens"))]
+        self.doc = np.repeat(np.arange(self.n), _flat(get("sizes"), self.n))
         self.ids, self.flags = (t.column(c).combine_chunks().flatten() for c in ("ids", "train"))
         self.train = self.flags.to_numpy(zero_copy_only=False).astype(bool)
 
