@@ -329,5 +329,63 @@ def conversation_repair(turns: DataFrame) -> DataFrame:
     return both.select("conv", "piece", "role", "text", "copies").mapInArrow(_told(_arrow(out)), out)
 
 
+#: The same rows: a checksum by bits, states joined turn by turn, the output read off the edits. For short conversations.
+OP11_SQL = r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS key FROM conversations
+), summed AS (
+    SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1))))) % 20 AS what
+    FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE what WHEN 4 THEN 'user' ELSE role END AS role, CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE what WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM summed
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS time,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+    FROM damaged
+), marked AS (
+    SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN time > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS earlier
+    FROM placed
+), counted AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (earlier IS NOT NULL AND concat(earlier, initial) NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM marked GROUP BY conv_id
+), grammar(q, r, next) AS (
+    VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), inserted(q, next, cost, labels) AS (
+    VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'), (1, 3, 4, 'II'), (2, 2, 0, ''), (2, 3, 2, 'I'), (3, 3, 0, ''), (3, 2, 2, 'I')
+), edit AS (
+    SELECT conv_id, k, q, next, 'K' AS label, CAST(fault = 'truncated' AS INTEGER) AS cost FROM marked JOIN grammar ON r = initial WHERE fault IN ('', 'truncated')
+    UNION ALL SELECT conv_id, k, q, next, 'R', 2 + CAST(fault = 'truncated' AS INTEGER) FROM marked, grammar WHERE r <> 's' AND fault IN ('', 'truncated')
+    UNION ALL SELECT conv_id, k, q, q, 'D', 3 FROM marked, (VALUES (0), (1), (2), (3)) AS s(q)
+), way(conv_id, k, q, w) AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {'cost': 0, 'audit': ''} FROM damaged
+    UNION ALL
+    SELECT way.conv_id, way.k + 1, e.next, min({'cost': w.cost + i.cost + e.cost, 'audit': concat(w.audit, i.labels, e.label)})
+    FROM way JOIN inserted i ON i.q = way.q JOIN edit e ON e.conv_id IS NOT DISTINCT FROM way.conv_id AND e.k = way.k + 1 AND e.q = i.next GROUP BY way.conv_id, way.k, e.next
+), best AS (
+    SELECT way.conv_id, min({'cost': w.cost + i.cost, 'audit': concat(w.audit, i.labels)}) AS w
+    FROM way JOIN counted c ON c.conv_id IS NOT DISTINCT FROM way.conv_id AND way.k = c.n JOIN inserted i ON i.q = way.q WHERE i.next IN (0, 3) GROUP BY way.conv_id
+), label AS (
+    SELECT conv_id, p, w.audit[p] AS label FROM (SELECT conv_id, w, unnest(range(1, len(w.audit) + 1)) AS p FROM best)
+), walked AS (
+    SELECT conv_id, p, label, count(*) FILTER (label <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS k FROM label
+), kept AS (
+    SELECT w.conv_id, w.p, w.label, m.role, m.text, row_number() OVER (PARTITION BY w.conv_id ORDER BY w.p) AS o, first_value(w.label = 'K' AND m.initial = 's') OVER (PARTITION BY w.conv_id ORDER BY w.p) AS led
+    FROM walked w LEFT JOIN marked m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.k = w.k AND w.label <> 'I' WHERE w.label <> 'D'
+), told AS (
+    SELECT conv_id, string_agg(concat(CASE WHEN label = 'K' THEN role WHEN (o - CAST(coalesce(led, false) AS INTEGER)) % 2 = 1 THEN 'user' ELSE 'assistant' END, ':', coalesce(text, '')), chr(10) ORDER BY p) AS said
+    FROM kept GROUP BY conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    CAST(coalesce(b.w.cost, 0) AS BIGINT) AS cost, coalesce(b.w.audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+    LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair(damaged(table(spark, sf_dir, "conversations")))

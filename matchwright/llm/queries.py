@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from matchwright.llm.conversation_repair import op11_conversation_repair
+from matchwright.llm.conversation_repair import OP11_SQL, op11_conversation_repair
 from matchwright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from matchwright.llm.line_dedup import OP4_SQL, op4_line_dedup
 from matchwright.llm.nbest import op8_nbest_segmentation
@@ -38,5 +38,6 @@ ORACLE_SQL = {
     "op7_suffix_dedup": OP7_SQL,
     "op9_ngram_join": OP9_SQL,
     "op10_quality_rules": OP10_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op12_ranked_search": OP12_SQL,
 }

@@ -6,11 +6,12 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from matchwright.llm import conversation_repair as cr
-from matchwright.llm.queries import QUERIES
+from matchwright.llm.queries import ORACLE_SQL, QUERIES
 
 LEGAL = re.compile(r"(s?(ua)+)?")
 WAY = re.compile(r"s?(ua)*u?")
@@ -152,6 +153,10 @@ def test_query_on_small_tables(spark, tmp_path):
     extra = spark.createDataFrame(rows, SCHEMA).withColumns({"conv": F.lit("x"), "piece": F.lit(1), "copies": F.lit(9)})
     extra.write.parquet(f"{tmp_path}/conversations.parquet")
     assert found(QUERIES["op11_conversation_repair"](spark, str(tmp_path))) == plain(rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT conv_id, turn, role, text FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    told = con.execute(ORACLE_SQL["op11_conversation_repair"]).fetchall()
+    assert {r[0]: r[1:] for r in told} == plain(rows)
     extra.limit(0).write.parquet(f"{tmp_path}/none/conversations.parquet")
     none = QUERIES["op11_conversation_repair"](spark, f"{tmp_path}/none")
     assert none.count() == 0 and none.columns[0] == "conv_id"
