@@ -206,7 +206,10 @@ def pack(
             "sequence_id": pa.array(cols[3], pa.int64()),
             "offset": pa.array(cols[4], pa.int64()),
         }
-        return pa.table(out | ({"ids": pa.array(bits, pa.binary())} if with_ids else {}))
+        made = pa.table(out | ({"ids": pa.array(bits, pa.binary())} if with_ids else {}))
+        del left, right, queues, wide, blobs, kept, crc, bits, cols, take, out
+        release()  # a worker that waits for its next lane holds little
+        return made
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
