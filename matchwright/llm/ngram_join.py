@@ -330,18 +330,17 @@ def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataF
     pairs = cut(pairs)
     ends = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
     degree = cut(ends.groupBy("row").agg(F.count(F.lit(1)).alias("d")))
-    wanted = degree.select("row")
-    if wanted.count() <= BROADCAST_ROWS:  # otherwise texts and rows meet in a shuffle
-        wanted = F.broadcast(wanted)
-    texts = named.select(ROW, "text").join(wanted, F.col(ROW) == F.col("row"), "left_semi")
     of = lambda k: degree.select(F.col("row").alias(k), F.col("d").alias("d" + k))
     more = F.expr("da >= db")
     way = pairs.join(of("a"), "a").join(of("b"), "b").select(
         F.when(more, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(more, F.col("b")).otherwise(F.col("a")).alias("leaf"), F.ceil(F.greatest("da", "db") / LEAVES).alias("salts")
     )
     way = cut(way.select("hub", "leaf", F.pmod(F.xxhash64("leaf"), F.col("salts")).alias("salt")))
-    leaves = way.join(texts, F.col("leaf") == F.col(ROW)).select("hub", "salt", "leaf", "text")
-    hubs = way.select("hub", "salt").distinct().join(texts, F.col("hub") == F.col(ROW)).select("hub", "salt", F.lit(-1).cast("long").alias("leaf"), "text")
+    texts, sent = named.select(ROW, "text"), way.select("hub", "salt").distinct()
+    if way.count() <= BROADCAST_ROWS // 3:  # otherwise texts and rows meet in a shuffle
+        way, sent = F.broadcast(way), F.broadcast(sent)
+    leaves = texts.join(way, F.col("leaf") == F.col(ROW)).select("hub", "salt", "leaf", "text")
+    hubs = texts.join(sent, F.col("hub") == F.col(ROW)).select("hub", "salt", F.lit(-1).cast("long").alias("leaf"), "text")
     rows = leaves.unionByName(hubs).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "leaf")
     return cut(rows.mapInArrow(_linked(size, percent), "u long, v long"))
 
