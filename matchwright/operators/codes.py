@@ -147,14 +147,13 @@ def pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def best(a: DataFrame, b: DataFrame, few: int = FEW) -> DataFrame:
     """a_bb_id, b_bb_id, upc_clean, size_penalty, title_overlap: the best right product of each left id that has one."""
-    right = written(b.where(F.col("code").isNotNull()))
-    hot = written(right.groupBy(F.col("code").alias("hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > few).select("hot"))
-    is_hot = F.col("code") == F.col("hot")
-    if hot.take(1):
+    hot = b.where(F.col("code").isNotNull()).groupBy(F.col("code").alias("hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > few).select("hot")
+    if hot.take(1):  # this reads codes alone
+        hot, right, is_hot = written(hot), written(b), F.col("code") == F.col("hot")
         found = pairs(a.join(hot, is_hot, "left_anti"), right.join(hot, is_hot, "left_anti"))
         found = found.unionByName(nearest(a.join(hot, is_hot, "left_semi"), right.join(hot, is_hot, "left_semi"), few))
     else:
-        found = pairs(a, right)
+        found = pairs(a, b)
     order = F.struct(F.col("size_penalty"), -F.col("title_overlap"), F.col("b_bb_id"))
     rest = F.struct("b_bb_id", "upc_clean", "size_penalty", "title_overlap")
     return found.groupBy("a_bb_id").agg(F.min_by(rest, order).alias("r")).select("a_bb_id", "r.*")

@@ -230,6 +230,7 @@ ORACLE_SQL = {
 SELECT vec_id, i - 1 AS position, round(v[i] / b, 6) AS value, round(sqrt(list_sum(list_transform(v, lambda x: (x / b) * (x / b)))), 6) AS norm, round(b, 6) AS before FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM n)""",
     "cosine_pairs": w(VECTORS + "," + NEAR, "SELECT a_id, b_id, round(cosine, 6) AS cosine FROM near"),
     "topk_candidates": w(VECTORS + "," + NEAR, "SELECT a_id, b_id, round(cosine, 6) AS similarity, rank FROM near"),
+    "topk_tiles": w(VECTORS + "," + NEAR, "SELECT a_id, b_id, round(cosine, 6) AS similarity, rank FROM near"),
     "topk_legacy_ranked": w(VECTORS + "," + NEAR, "SELECT a_id AS bb_id_A, b_id AS bb_id_B, rank, round(cosine, 6) AS sim_embedding FROM near"),
     **{f: w(SCORED, f"SELECT a_id, b_id, {r6(f)} FROM scored") for f in ("feature_brand", "feature_category", "feature_embedding", "feature_size", "feature_size_strict")},
     "size_pair": w(SCORED, f"SELECT a_id, b_id, {r6('size_a', 'size_b')} FROM pair"),
@@ -247,6 +248,7 @@ SELECT vec_id, i - 1 AS position, round(v[i] / b, 6) AS value, round(sqrt(list_s
     "main_size": w(L2, "SELECT bb_id, round(coalesce(size_ml_final, size_g_final, size_count_final), 6) AS size FROM l2"),
     "title_overlap": w(CODES, "SELECT a_bb_id, b_bb_id, title_overlap FROM code"),
     "upc_exact": w(CODES, "SELECT a_bb_id, b_bb_id, upc_clean, 'upc_exact' AS match_type FROM (SELECT *, row_number() OVER (PARTITION BY a_bb_id ORDER BY size_penalty, title_overlap DESC, b_bb_id) AS k FROM code) WHERE k = 1"),
+    "upc_merged": w(CODES, f"SELECT a_bb_id, b_bb_id, upc_clean, {r6('size_penalty')}, title_overlap FROM (SELECT *, row_number() OVER (PARTITION BY a_bb_id ORDER BY size_penalty, title_overlap DESC, b_bb_id) AS k FROM code) WHERE k = 1"),
     "review_band": w(REVIEW, f"SELECT a_id, b_id, {r6('score_total')} FROM band"),
     "review_decode": w(f"{FX},{decoded('fx', 'bb_id', 'rd')}", f"SELECT bb_id, gpt_label, {r6('gpt_score')} FROM rd"),
     "llm_review_stub": w(REVIEW, f"SELECT a_id, b_id, gpt_label, {r6('gpt_score')} FROM rev"),

@@ -1,4 +1,4 @@
-"""The two phases as lazy plans."""
+"""The two phases as plans; see runner for the same in stages that are kept."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchwright.operators import cleaning, matching
+from matchwright.operators.staging import written
 from matchwright.plans.policy import CatalogConfig, Policy
 from matchwright.sources import ledger
 
@@ -44,4 +45,5 @@ def match(a: DataFrame, b: DataFrame, policy: Policy = Policy(), review: Callabl
     kept = matching.matches(candidates(a, b, policy, similarity), policy)
     if review is None:
         return kept.withColumns({"bb_id_A": F.col("a_id"), "bb_id_B": F.col("b_id")})
+    kept = written(kept)  # read twice: one row for each left product at most
     return matching.final_matches(kept, review(matching.review_band(kept, policy)))

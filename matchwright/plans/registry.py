@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from matchwright.functions import features, sizes, taxonomy, text
 from matchwright.functions import vectors as vec
-from matchwright.operators import cleaning, matching, numbering
+from matchwright.operators import cleaning, matching, nearest, numbering
+from matchwright.operators import codes as product_codes
 from matchwright.operators.staging import shared_folder, written
 from matchwright.plans import pipeline, runner
 from matchwright.plans.policy import FIXTURE, CatalogConfig
@@ -288,6 +289,13 @@ def topk_candidates(spark: SparkSession, d: str) -> DataFrame:
     return matching.topk(*vector_sides(spark, d), FIXTURE.k).select("a_id", "b_id", r6(c("similarity")).alias("similarity"), c("rank").cast("long").alias("rank"))
 
 
+@query
+def topk_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """The search as it runs on a right side of any size: tiles of neighbours, met where their bounds allow."""
+    found = nearest.topk(*vector_sides(spark, d), FIXTURE.k, carried=0, tile=64 << 10)
+    return found.select("a_id", "b_id", r6(c("similarity")).alias("similarity"), c("rank").cast("long").alias("rank"))
+
+
 @query
 def topk_legacy_ranked(spark: SparkSession, d: str) -> DataFrame:
     x = matching.topk(*vector_sides(spark, d), FIXTURE.k)
@@ -389,6 +397,14 @@ def upc_exact(spark: SparkSession, d: str) -> DataFrame:
     return matching.upc_exact(*cleaned_sides(spark, d))
 
 
+@query
+def upc_merged(spark: SparkSession, d: str) -> DataFrame:
+    """The best product of each code as it is found for hot codes: sizes merged in order, titles compared at the least difference."""
+    x, y = (matching.coded(side, "upc_clean_l0", "bb_id") for side in cleaned_sides(spark, d))
+    found = product_codes.nearest(x, y)
+    return found.select("a_bb_id", "b_bb_id", "upc_clean", r6(c("size_penalty")).alias("size_penalty"), c("title_overlap").cast("long").alias("title_overlap"))
+
+
 # ---- review and the final list
 
 
