@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import cut
+from matchwright.llm.common import cut, drop
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +62,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # done when every edge is (member, root): no node has two edges and no root is a member
         open_edges = after.join(after.select(F.col("u").alias("r")), F.col("v") == F.col("r"), "left_semi").limit(1)
         done = not open_edges.take(1) and not after.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
+        drop(now)
         now = after
         if done:
             break

@@ -30,13 +30,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import BASE_B, MB, cut, free, lowered, mix, packed, pieces, release, sliced, text_bytes, word_hashes, words_of
+from matchwright.llm.common import BASE_B, MB, cut, drop, free, lowered, mix, packed, pieces, release, sliced, text_bytes, tidy, word_hashes, words_of
 from matchwright.llm.components import components
 
 WORDS, PERCENT = 5, 75
 STEPS = (1, 2, 4, 8, 16)  # by how much a prefix may be lengthened
 FREQUENT, SEEN = 200_000, 2
 BROADCAST_ROWS = 2_000_000  # 16 MB of row numbers
+FEW = 8  # documents to a pair whose texts meet without more ado
+BITMAPS = 16_384  # of 4 KB, for 32,768 row numbers each
 PARITY = 4  # 64-bit words of a set's parity bits
 LEAVES = 512  # documents that a hub's text is sent to at once
 ROW = "_row"
@@ -321,6 +323,81 @@ def _linked(size: int, percent: int):
     return run
 
 
+def _sketch(size: int):
+    """Row, set size and parity bits of a text's set: a power of two of them, one or more for each shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text", MB):
+            d, h = shingles(*packed(batch.column("text")), size)
+            n = np.bincount(d, minlength=batch.num_rows).astype(np.int64)
+            m = 1 << np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64)
+            end = np.cumsum(m)
+            bit = (mix(h ^ np.uint64(BASE_B)) & (m[d] - 1).astype(np.uint64)).astype(np.int64)
+            odd = np.bincount((end - m)[d] + bit, minlength=int(end[-1])) & 1
+            raw = np.packbits(odd.astype(bool), bitorder="little").tobytes()
+            bits = [raw[(e - k) // 8 : e // 8] for e, k in zip(end.tolist(), m.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(n), pa.array(bits, pa.binary())], names=[ROW, "n", "bits"])
+        release()
+
+    return run
+
+
+def _folded(bits: list[bytes], m: int) -> np.ndarray:
+    """Sketches of one length as rows of m bytes: the parities of fewer bits."""
+    return np.bitwise_xor.reduce(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1, m), axis=1)
+
+
+def _passed(percent: int):
+    """The pairs (a, b) that can link by their sketches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+                x, y = (batch.column(c).to_pylist() for c in ("xa", "xb"))
+                differ = np.zeros(len(na), np.int64)
+                lengths = np.array([(len(u), len(v)) for u, v in zip(x, y)])
+                for u, v in np.unique(lengths, axis=0).tolist():
+                    own = np.flatnonzero((lengths == (u, v)).all(axis=1))
+                    p, q = (_folded([z[i] for i in own.tolist()], min(u, v)) for z in (x, y))
+                    differ[own] = np.bitwise_count(p ^ q).sum(axis=1)
+                overlap = -(-percent * (na + nb) // (100 + percent))
+                keep = pa.array(2 * overlap <= na + nb - differ)
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in "ab"], names=["a", "b"])
+            release()
+
+    return run
+
+
+def _thinned(pairs: DataFrame, named: DataFrame, every: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs that can link. Where they are many for the documents, sketches meet before texts do.
+
+    The pairs of a family that 64 PARITY bits do not tell apart grow with the square of its size, and their texts with them.
+    """
+    pairs = cut(pairs)
+    if pairs.count() * FEW <= every.count():
+        return pairs
+    ends = pairs.select(F.col("a").alias(ROW)).unionByName(pairs.select(F.col("b").alias(ROW)))
+    sketches = cut(_wanted(named.select(ROW, "text"), ends).mapInArrow(_sketch(size), f"{ROW} long, n long, bits binary"))
+    of = lambda k: sketches.select(F.col(ROW).alias(k), F.col("n").alias("n" + k), F.col("bits").alias("x" + k))
+    kept = cut(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(_passed(percent), "a long, b long"))
+    drop(sketches)
+    drop(pairs)
+    return kept
+
+
+def _wanted(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts of these rows: bits of their numbers go along with the tasks, so that no other text moves."""
+    number, bit = F.bitmap_bucket_number(F.col(ROW)), F.bitmap_bit_position(F.col(ROW))
+    bits = cut(rows.select(number.alias("of"), bit.alias("bit")).groupBy("of").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    if bits.count() > BITMAPS:
+        return texts
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    there = byte.bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 as int))")) != 0
+    return texts.withColumns({"_of": number, "_bit": bit}).join(F.broadcast(bits), F.col("_of") == F.col("of")).where(there).select(*texts.columns)
+
+
 def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link. Of each pair the row that stands in more of them is the hub.
 
@@ -336,13 +413,19 @@ def _links(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataF
         F.when(more, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(more, F.col("b")).otherwise(F.col("a")).alias("leaf"), F.ceil(F.greatest("da", "db") / LEAVES).alias("salts")
     )
     way = cut(way.select("hub", "leaf", F.pmod(F.xxhash64("leaf"), F.col("salts")).alias("salt")))
+    drop(degree)
+    drop(pairs)
     texts, sent = named.select(ROW, "text"), way.select("hub", "salt").distinct()
-    if way.count() <= BROADCAST_ROWS // 3:  # otherwise texts and rows meet in a shuffle
-        way, sent = F.broadcast(way), F.broadcast(sent)
-    leaves = texts.join(way, F.col("leaf") == F.col(ROW)).select("hub", "salt", "leaf", "text")
-    hubs = texts.join(sent, F.col("hub") == F.col(ROW)).select("hub", "salt", F.lit(-1).cast("long").alias("leaf"), "text")
-    rows = leaves.unionByName(hubs).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "leaf")
-    return cut(rows.mapInArrow(_linked(size, percent), "u long, v long"))
+    if way.count() <= BROADCAST_ROWS // 3:
+        leaves = texts.join(F.broadcast(way), F.col("leaf") == F.col(ROW)).select("hub", "salt", "leaf", "text")
+        hubs = texts.join(F.broadcast(sent), F.col("hub") == F.col(ROW)).select("hub", "salt", F.lit(-1).cast("long").alias("leaf"), "text")
+        rows = leaves.unionByName(hubs)
+    else:  # the texts that are wanted meet rows in a shuffle, once for both ends
+        ways = way.select(F.col("leaf").alias(ROW), "hub", "salt", "leaf").unionByName(sent.select(F.col("hub").alias(ROW), "hub", "salt", F.lit(-1).cast("long").alias("leaf")))
+        rows = _wanted(texts, ways.select(ROW)).join(ways, ROW).select("hub", "salt", "leaf", "text")
+    found = cut(rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "leaf").mapInArrow(_linked(size, percent), "u long, v long"))
+    drop(way)
+    return found
 
 
 def _overlap(x: str, y: str, percent: int):
@@ -424,25 +507,33 @@ def ngram_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT, short: int = 8
 ) -> tuple[DataFrame, DataFrame]:
     """(documents: _row, id, n_shingles; members: node, root): nodes are the `_row`s of linked documents."""
+    with tidy(docs.sparkSession):
+        return _ngram_join(docs, id_col, text_col, size, percent, short)
+
+
+def _ngram_join(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, short: int) -> tuple[DataFrame, DataFrame]:
     _, total = text_bytes(docs, text_col)
     named = docs.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     buckets = pieces(total, 16 * MB, 16)
     sent = named.mapInArrow(_sent(frequent(docs, text_col, size), buckets, size, percent, 300_000), ENTRY)
     met = cut(sent.groupBy("bucket").applyInArrow(_met(short), MET))
-    every = met.where("kind = 0").select(F.col("a").alias(ROW), F.col("b").alias("id"), "n", "p", "end", F.col("hash").alias("same"), "bits")
+    every = cut(met.where("kind = 0").select(F.col("a").alias(ROW), F.col("b").alias("id"), "n", "p", "end", F.col("hash").alias("same"), "bits"))
     copies = every.where(F.col("same") != F.col(ROW)).select(F.col(ROW).alias("u"), F.col("same").alias("v"))
     family, lists = _families(met, every)
     tried = _tried(met, family, every, percent)
+    drop(met)
     # first each document with the one it shares most with
     ends = tried.select("a", "b", "n").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
     best = ends.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
+    best = cut(best)
     found = cut(components(copies.unionByName(_links(best, named, size, percent))))
     # then what still stands in different components
     roots = lambda df, c, r: df.join(found.select(F.col("node").alias(c), F.col("root").alias(r)), c, "left").withColumn(r, F.coalesce(r, c))
     rest = roots(roots(tried.join(best, ["a", "b"], "left_anti"), "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b")
     more = _within(roots(family, "row", "root"), lists, every, percent)
     stars = found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-    links = stars.unionByName(_links(rest.unionByName(more).distinct(), named, size, percent))
+    open_pairs = _thinned(rest.unionByName(more).distinct(), named, every, size, percent)
+    links = stars.unionByName(_links(open_pairs, named, size, percent))
     return every.select(ROW, "id", F.col("n").cast("long").alias("n_shingles")), components(links)
 
 
