@@ -135,16 +135,30 @@ def sentence_encoder(model: str, batch_size: int = 64) -> Callable[[], Callable[
     return factory
 
 
+#: Trigrams whose places an encoder remembers.
+TRIGRAMS = 1 << 17
+
+
 def hashing_encoder(dimension: int = 64) -> Callable[[list[str]], np.ndarray]:
-    """An encoder that needs no model: hashed character trigrams."""
+    """An encoder that needs no model: hashed character trigrams. The place and sign of a trigram are found once and remembered."""
+    known: dict[str, int] = {}
+
+    def place(gram: str) -> int:
+        h = int.from_bytes(hashlib.blake2b(gram.encode(), digest_size=8).digest(), "little")
+        return h % dimension if h >> 63 else h % dimension - dimension  # below 0: minus
 
     def encode(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), dimension), np.float32)
-        for k, text in enumerate(texts):
-            for i in range(max(1, len(text) - 2)):
-                h = int.from_bytes(hashlib.blake2b(text[i : i + 3].encode(), digest_size=8).digest(), "little")
-                out[k, h % dimension] += 1.0 if h >> 63 else -1.0
-        return out
+        sizes = [max(1, len(t) - 2) for t in texts]
+        grams = [t[i : i + 3] for t, n in zip(texts, sizes) for i in range(n)]
+        if new := set(grams).difference(known):
+            if len(known) + len(new) > TRIGRAMS:
+                known.clear()
+                new = set(grams)
+            known.update((g, place(g)) for g in new)
+        at = np.fromiter(map(known.__getitem__, grams), np.int64, len(grams))
+        row = np.repeat(np.arange(len(texts)), sizes)
+        sums = np.bincount(row * dimension + at % dimension, weights=np.where(at < 0, -1.0, 1.0), minlength=len(texts) * dimension)
+        return sums.reshape(len(texts), dimension).astype(np.float32)
 
     return encode
 
