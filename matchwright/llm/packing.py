@@ -29,6 +29,8 @@ from matchwright.operators.numbering import running_sums
 WINDOW, QUANTUM, END = 1024, 128, 0
 #: Lead bytes of characters among which Unicode white space is found: no cut stands before them.
 UNSURE = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)
+#: Bytes before which a blank begins a word of its own.
+PLAIN = (np.arange(256) > 32) & (np.arange(256) != 127) & ~np.isin(np.arange(256), UNSURE)
 
 
 class Encoder:
@@ -49,30 +51,36 @@ class Encoder:
         n_docs = len(offsets) - 1
         if not len(raw):
             return np.zeros(0, np.int64), np.zeros(n_docs + 1, np.int64)
-        after = np.append(raw[1:], np.uint8(0))
-        cuts = np.flatnonzero((raw == 32) & (after > 32) & (after != 127) & ~np.isin(after, UNSURE))
-        bounds = np.unique(np.concatenate([cuts, offsets]))
-        units = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())])
+        n = len(raw)
+        begins = np.zeros(n + 1, bool)
+        begins[: n - 1] = (raw[:-1] == 32) & PLAIN[raw[1:]]
+        begins[offsets] = True
+        bounds = np.flatnonzero(begins)
+        units = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
         coded = units.dictionary_encode()
-        index, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        joinable = np.array([len(w) > 1 and w[0] == 32 and w[1] > 32 and w[1] != 127 and w[1] not in (0xC2, 0xE1, 0xE2, 0xE3) for w in words], bool)
-        many = [w for w, j in zip(words, joinable) if j]
-        ids = np.array(self.coder.encode_ordinary(b"".join(many).decode()), np.int64) if many else np.zeros(0, np.int64)
-        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w) for w in many]), side="left") + 1 if many else np.zeros(0, np.int64)
-        counts, first = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        first[joinable] = np.append(0, ends[:-1]) if many else 0
+        index, words = coded.indices.to_numpy(), coded.dictionary
+        at = np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1]
+        own, size = np.frombuffer(words.buffers()[2], np.uint8)[: at[-1]], np.diff(at)
+        joinable = (size > 1) & (own[at[:-1]] == 32)
+        joinable[joinable] = PLAIN[own[at[:-1][joinable] + 1]]
+        sizes = size[joinable]
+        text = own if joinable.all() else own[np.repeat(joinable, size)]
+        ids = np.array(self.coder.encode_ordinary(text.tobytes().decode()), np.int32) if len(sizes) else np.zeros(0, np.int32)
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes), side="left") + 1
+        counts, first = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+        first[joinable] = np.append(0, ends[:-1]) if len(ends) else 0
         counts[joinable] = np.diff(np.append(0, ends))
-        extra, at = [ids], len(ids)
+        extra, upto = [ids], len(ids)
         for k in np.flatnonzero(~joinable):
-            own = self.coder.encode_ordinary(words[k].decode())
-            first[k], counts[k] = at, len(own)
-            at += len(own)
-            extra.append(np.array(own, np.int64))
+            found = self.coder.encode_ordinary(words[k].as_py().decode())
+            first[k], counts[k] = upto, len(found)
+            upto += len(found)
+            extra.append(np.array(found, np.int32))
         pool = np.concatenate(extra)
         n = counts[index]
-        total = int(n.sum())
-        flat = pool[np.repeat(first[index] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(total)]
-        return flat, np.append(0, np.cumsum(n))[np.searchsorted(bounds, offsets)]
+        until = np.append(0, np.cumsum(n))
+        flat = pool[np.repeat(first[index] - until[:-1], n) + np.arange(until[-1])]
+        return flat, until[np.searchsorted(bounds, offsets)]
 
 
 def tokenised(docs: DataFrame, id_col: str, text_col: str, source_col: str, vocabulary: str, pattern: str, end: int = END) -> DataFrame:
