@@ -32,11 +32,13 @@ from matchwright.llm.common import BASE_B, MB, Rolling, packed, pieces, release,
 from matchwright.llm.induced_sort import sorted_suffixes
 
 LENGTH, GRAM = 100, 32
+#: Anchors that a map task holds before it sends them.
+FLUSH = 200_000
 LAST = np.iinfo(np.int64).max
 ROW = "_row"
 
 
-def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, block: int = MB) -> dict[str, np.ndarray]:
+def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, block: int = MB // 8) -> dict[str, np.ndarray]:
     """The anchors of a batch of texts: document index, position, hash, and the strings (first..last start) that chose it.
 
     Strings are taken in blocks of their starts, so a text of any length needs the memory of a block.
@@ -333,7 +335,7 @@ def suffix_dedup(
         F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
         *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)],
     )
-    sent = named.select(ROW, "id", "text").mapInArrow(_sent(buckets, length, gram, 400_000), BLOB)
+    sent = named.select(ROW, "id", "text").mapInArrow(_sent(buckets, length, gram, FLUSH), BLOB)
     met = sent.groupBy("bucket").applyInArrow(_met(length), RANGE)
     placed = named.repartition(pieces(size, 16 * MB, 12), ROW)
     asked = met.where("kind = 2").groupBy(F.col("row")).agg(F.collect_list(F.struct("start", "stop", "hash")).alias("asked"))

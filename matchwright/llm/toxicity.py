@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm.common import cut, free, lowered, packed, release, sliced, words_of
+from matchwright.llm.common import MB, cut, free, lowered, packed, release, sliced, words_of
 
 SAMPLE, WINDOW = 20_000, 12
 #: The log-likelihood ratio that chance does not reach among millions of stems.
@@ -310,7 +310,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(few), id_col).select("text", F.col("toxic").cast("int").alias("toxic"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", MB):
             raw, offsets = packed(batch.column("text"))
             whole = raw.tobytes()
             found = stem_counts([whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], batch.column("toxic").to_pylist())
@@ -318,6 +318,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 [pa.array(list(found), pa.binary()), pa.array([v[0] for v in found.values()], pa.int64()), pa.array([v[1] for v in found.values()], pa.int64())],
                 names=["stem", "a", "b"],
             )
+            del batch, raw, whole, found
+        release()
 
     once = cut(rows.groupBy("text").agg(F.max("toxic").alias("toxic")))
     kinds = {r[0]: r[1] for r in once.groupBy("toxic").count().collect()}
@@ -335,9 +337,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     auto = build_automaton(lexicon)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", 2 * MB):
             x = features(auto, *packed(batch.column("text")))
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column("toxic")], names=["x", "toxic"])
+        release()
 
     got = rows.mapInArrow(measured, "x array<double>, toxic int").toArrow()
     x = np.array(got.column("x").to_pylist()).reshape(-1, FEATURES)
@@ -357,7 +360,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     first, second = free("score", names), free("n_hits", names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col):
+        for batch in sliced(batches, text_col, 2 * MB):
             x = features(m.auto, *packed(batch.column(text_col))) if m.auto is not None else np.zeros((batch.num_rows, FEATURES))
             hits = np.rint(np.expm1(x[:, 0]) + np.expm1(x[:, 1])).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.score(x)), pa.array(hits)], names=[*names, first, second])

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import time
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 
-from matchwright.llm import common, packing
+from matchwright.llm import common, packing, suffix_dedup
 
 
 def words(n: int, seed: int) -> str:
@@ -37,3 +39,19 @@ def test_coded_texts_are_those_of_the_coder():
     texts = ["", "a", " ", "  b", "b ", " c", "\n d  e  f", "  g", "é é \x7f \x00 \x01", "h" * 3000, "i  \n\n j", "", "k 1 22 333's", ""]
     ids, first = coder.encode(*common.packed(pa.array(texts)))
     assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [coder.coder.encode_ordinary(t) for t in texts]
+
+
+def test_a_worker_holds_little_while_it_finds_anchors():
+    texts = pa.array([words(1500, k) for k in range(800)])
+    rows = pa.array(np.arange(len(texts)))
+    batch = pa.RecordBatch.from_arrays([rows, rows, texts], names=[suffix_dedup.ROW, "id", "text"])
+    sent = suffix_dedup._sent(16, suffix_dedup.LENGTH, suffix_dedup.GRAM, suffix_dedup.FLUSH)
+    common.release()
+    tracemalloc.start()
+    try:
+        for _ in sent(iter([batch])):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
+    assert not common._POWERS  # nothing is kept for the next task
