@@ -1,4 +1,4 @@
-"""Gradient boosting of small trees over binned features, for a bounded sample, with isotonic calibration.
+"""Gradient boosting of small trees over binned features, with isotonic calibration, from sums that may be made anywhere.
 
 Each round fits a tree of fixed depth to the gradients of the logistic loss: splits are chosen from histograms of gradients
 and curvatures over at most `BINS` quantile bins of each feature. Ties go to the first feature and the lowest bin, so equal
@@ -7,6 +7,7 @@ input gives an equal model. A constant feature is never split on.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,62 +26,89 @@ class Boosted:
     value: np.ndarray
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        codes = _codes(x, self.edges)
-        out, rows = np.full(len(x), self.start), np.arange(len(x))
+        return self.raw_of(_codes(x, self.edges))
+
+    def raw_of(self, codes: np.ndarray, first: int = 0) -> np.ndarray:
+        """What the trees from `first` on say of binned rows; the start counts as part of the first."""
+        out = np.full(len(codes), 0.0 if first else self.start)
         depth = int(np.log2(self.value.shape[1])) if len(self.value) else 0
-        for feature, cut, value in zip(self.feature, self.cut, self.value):
-            node = np.zeros(len(x), np.int64)
-            for _ in range(depth):
-                node = 2 * node + 1 + (codes[rows, feature[node]] > cut[node])
-            out += value[node - (len(value) - 1)]
+        for feature, cut, value in zip(self.feature[first:], self.cut[first:], self.value[first:]):
+            out += value[_node(codes, feature, cut, depth) - (len(value) - 1)]
         return out
 
 
+def _node(codes: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
+    node, rows = np.zeros(len(codes), np.int64), np.arange(len(codes))
+    for _ in range(levels):
+        node = 2 * node + 1 + (codes[rows, feature[node]] > cut[node])
+    return node
+
+
 def _codes(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     if not len(x):
         return np.zeros((0, len(edges)), np.int64)
     return np.stack([np.searchsorted(e, x[:, k], side="right") for k, e in enumerate(edges)], axis=1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2) -> Boosted:
-    edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, BINS + 1)[1:-1])) for k in range(x.shape[1])]
-    edges = [e[e > x[:, k].min()] for k, e in enumerate(edges)]
-    codes = _codes(x, edges)
-    share = float(np.clip((weight * y).sum() / weight.sum(), 1e-6, 1 - 1e-6))
-    start = float(np.log(share / (1 - share)))
-    score = np.full(len(y), start)
+def histogram(codes: np.ndarray, y: np.ndarray, weight: np.ndarray, raw: np.ndarray, feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+    """Gradients and curvatures (2 x nodes x features x bins) at a level of the tree that grows; those of parts of the rows add up."""
+    p = 1 / (1 + np.exp(-raw))
+    g, h = weight * (p - y), weight * p * (1 - p)
+    many = 1 << level
+    node = _node(codes, feature, cut, level) - (many - 1)
+    out = np.zeros((2, many, codes.shape[1], BINS))
+    for f in range(codes.shape[1]):
+        at = node * BINS + codes[:, f]
+        for k, w in enumerate((g, h)):
+            out[k, :, f] = np.bincount(at, weights=w, minlength=many * BINS).reshape(many, BINS)
+    return out
+
+
+def grow(sums: Callable[[Boosted, np.ndarray, np.ndarray, int], np.ndarray], edges: list[np.ndarray], start: float, rounds: int = 60, depth: int = 3, rate: float = 0.2) -> Boosted:
+    """Trees from histograms alone: sums(trees so far, features and cuts of the one that grows, level)."""
     inner, leaves = (1 << depth) - 1, 1 << depth
-    features, cuts, values = [], [], []
+    made = Boosted(edges, start, np.zeros((0, inner), np.int64), np.zeros((0, inner), np.int64), np.zeros((0, leaves)))
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-score))
-        g, h = weight * (p - y), weight * p * (1 - p)
-        node = np.zeros(len(y), np.int64)
         feature, cut = np.zeros(inner, np.int64), np.full(inner, BINS, np.int64)
         for level in range(depth):
             low, many = (1 << level) - 1, 1 << level
-            best = np.full(many, 1e-9)
-            total_g, total_h = (np.bincount(node - low, weights=w, minlength=many) for w in (g, h))
-            for f in range(codes.shape[1]):
-                if not len(edges[f]):
-                    continue
-                at = (node - low) * BINS + codes[:, f]
-                gl, hl = (np.bincount(at, weights=w, minlength=many * BINS).reshape(many, BINS).cumsum(axis=1) for w in (g, h))
-                gr, hr = total_g[:, None] - gl, total_h[:, None] - hl
-                gain = gl**2 / (hl + SHRINK) + gr**2 / (hr + SHRINK) - (total_g**2 / (total_h + SHRINK))[:, None]
-                gain[(hl < LEAST) | (hr < LEAST)] = -1
-                top = gain.argmax(axis=1)
-                value = gain[np.arange(many), top]
-                better = value > best
-                best[better], feature[low : low + many][better], cut[low : low + many][better] = value[better], f, top[better]
-            node = 2 * node + 1 + (codes[np.arange(len(y)), feature[node]] > cut[node])
-        leaf = node - inner
-        sum_g, sum_h = (np.bincount(leaf, weights=w, minlength=leaves) for w in (g, h))
+            gl, hl = sums(made, feature, cut, level).cumsum(axis=3)
+            total_g, total_h = gl[:, 0, -1], hl[:, 0, -1]
+            gr, hr = total_g[:, None, None] - gl, total_h[:, None, None] - hl
+            gain = gl**2 / (hl + SHRINK) + gr**2 / (hr + SHRINK) - (total_g**2 / (total_h + SHRINK))[:, None, None]
+            gain[(hl < LEAST) | (hr < LEAST)] = -1
+            gain, nodes = gain.reshape(many, -1), np.arange(many)
+            top = gain.argmax(axis=1)
+            better, f, t = gain[nodes, top] > 1e-9, top // BINS, top % BINS
+            feature[low : low + many], cut[low : low + many] = np.where(better, f, 0), np.where(better, t, BINS)
+            left_g, left_h = np.where(better, gl[nodes, f, t], total_g), np.where(better, hl[nodes, f, t], total_h)
+        sum_g, sum_h = (np.stack([left, total - left], axis=1).ravel() for left, total in ((left_g, total_g), (left_h, total_h)))
         value = -rate * sum_g / (sum_h + SHRINK)
-        score += value[leaf]
-        features.append(feature)
-        cuts.append(cut)
-        values.append(value)
-    return Boosted(edges, start, np.array(features), np.array(cuts), np.array(values))
+        made = Boosted(edges, start, np.vstack([made.feature, feature]), np.vstack([made.cut, cut]), np.vstack([made.value, value]))
+    return made
+
+
+def at_once(codes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Callable[[Boosted, np.ndarray, np.ndarray, int], np.ndarray]:
+    """Sums over rows in memory: what the trees say of them is kept."""
+    kept: list = [0, 0.0]
+
+    def sums(made: Boosted, feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+        if level == 0:
+            kept[:] = len(made.value), kept[1] + made.raw_of(codes, kept[0])
+        return histogram(codes, y, weight, kept[1], feature, cut, level)
+
+    return sums
+
+
+def start_of(ones: float, whole: float) -> float:
+    share = float(np.clip(ones / whole, 1e-6, 1 - 1e-6))
+    return float(np.log(share / (1 - share)))
+
+
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2) -> Boosted:
+    edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, BINS + 1)[1:-1])) for k in range(x.shape[1])]
+    edges = [e[e > x[:, k].min()] for k, e in enumerate(edges)]
+    return grow(at_once(_codes(x, edges), y, weight), edges, start_of((weight * y).sum(), weight.sum()), rounds, depth, rate)
 
 
 @dataclass
@@ -96,19 +124,28 @@ class Isotonic:
         return self.level[np.maximum(0, np.searchsorted(self.at, score, side="right") - 1)]
 
 
-def isotonic(score: np.ndarray, y: np.ndarray) -> Isotonic:
-    """Pooled shares of ones over ascending scores, each pool no lower than the one before it."""
-    order = np.argsort(score, kind="stable")
-    pools: list[list[float]] = []  # first score, ones, rows
-    for s, one in zip(score[order].tolist(), y[order].tolist()):
+def pooled(score: np.ndarray, ones: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Pools (first score, ones, rows) over ascending scores, each share no lower than the one before; pools of ranges pool alike."""
+    pools: list[list[float]] = []
+    for s, one, n in zip(score.tolist(), ones.tolist(), rows.tolist()):
         if pools and pools[-1][0] == s:
-            pools[-1][1:] = [pools[-1][1] + one, pools[-1][2] + 1]
+            pools[-1][1:] = [pools[-1][1] + one, pools[-1][2] + n]
         else:
-            pools.append([s, one, 1])
+            pools.append([s, one, n])
         while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
-            _, ones, rows = pools.pop()
-            pools[-1][1:] = [pools[-1][1] + ones, pools[-1][2] + rows]
-    return Isotonic(np.array([p[0] for p in pools]), np.array([p[1] / p[2] for p in pools]))
+            _, more, n_more = pools.pop()
+            pools[-1][1:] = [pools[-1][1] + more, pools[-1][2] + n_more]
+    return np.array(pools, float).reshape(-1, 3)
+
+
+def shares(pools: np.ndarray) -> Isotonic:
+    return Isotonic(pools[:, 0], pools[:, 1] / pools[:, 2])
+
+
+def isotonic(score: np.ndarray, y: np.ndarray) -> Isotonic:
+    """Pooled shares of ones over ascending scores."""
+    order = np.argsort(score, kind="stable")
+    return shares(pooled(score[order], y[order], np.ones(len(order))))
 
 
 def bar(calibration: Isotonic, score: np.ndarray, y: np.ndarray, probability: float, least: int) -> float:

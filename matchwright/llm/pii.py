@@ -9,8 +9,9 @@ candidates above it that meet no base span the likeliest are taken first, and th
 
 There are no labels of personal data, so the examples label themselves: base spans are true, and so are their views (the same
 datum, or another of its kind, written in another way in the same context); candidates that meet no base span are false, and so are base spans spoilt
-(a wrong checksum, parts out of range, digits inside a token). They come from at most about `SAMPLE` documents, by hashes of
-their ids, and at most `EXAMPLES` of them reach the driver, which fits the trees.
+(a wrong checksum, parts out of range, digits inside a token). They come from all documents. Equal ones are one row with a count;
+bins, trees, calibration and thresholds are made of such counts alone. The sums that a tree grows by come from the
+driver where there are at most `AT_ONCE` binned rows, else from a Spark job for each level.
 
 Cases: null and empty texts have no spans. Offsets count code points, ends are exclusive. Repeated rows get a row each, null
 ids are carried. Without enough examples of a kind nothing is added to its base spans. Texts are scanned whole, in linear
@@ -23,20 +24,22 @@ import bisect
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchwright.llm import boosted_trees
-from matchwright.llm.common import MB, free, release, sliced, table
+from matchwright.llm.common import MB, cut, free, pieces, release, sliced, table
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
-SAMPLE, EXAMPLES = 20_000, 60_000
+#: Binned rows that the driver takes; more stay on the executors, PART of them in a task.
+AT_ONCE, PART = 60_000, 250_000
 SURE, LEAST = 0.95, 20
 BEFORE, AFTER = 40, 20
 
@@ -291,44 +294,141 @@ def _fits(used: list[tuple[int, int]], start: int, end: int) -> bool:
     return True
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, most: int = EXAMPLES) -> Model:
-    """Trees from the examples of at most about `sample` documents (the least hashes of ids), `most` of which reach the driver."""
-    n = docs.count()
-    if not n:
-        return Model()
-    share = min(1.0, sample / n)
-    picked = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) < int(share * (1 << 30)))
+def _binned(rows: DataFrame) -> tuple[list[np.ndarray], DataFrame]:
+    """Edges of bins of equal counts over the rows not held out, and all rows (kind, label, held, codes, n) by them, equal ones as one."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, n = _matrix(batch.column("x"), np.float32), batch.column("n").to_numpy()
+            for f in range(WIDTH if len(x) else 0):
+                v, at = np.unique(x[:, f], return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), f, np.int32)), pa.array(v), pa.array(np.bincount(at, weights=n).astype(np.int64))], names=["f", "v", "n"])
+
+    values = rows.where("not held").mapInArrow(each, "f int, v float, n long").groupBy("f", "v").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy("f")
+    before = F.sum("n").over(own.orderBy("v")) - F.col("n")
+    cuts = values.select("f", "v", F.floor(before * boosted_trees.BINS / F.sum("n").over(own)).alias("bin")).groupBy("f", "bin").agg(F.min("v").alias("v"))
+    edges: list[list[float]] = [[] for _ in range(WIDTH)]
+    for f, _, v in sorted(cuts.collect()):  # a row for each bin of each feature at most
+        edges[f].append(v)
+    found = [np.array(e[1:]) for e in edges]
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = boosted_trees._codes(_matrix(batch.column("x"), np.float32), found).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("kind", "label", "held", "n")], pa.array([c.tobytes() for c in codes], pa.binary())], names=["kind", "label", "held", "n", "codes"])
+
+    same = rows.mapInArrow(coded, "kind int, label int, held boolean, n long, codes binary")
+    return found, cut(same.groupBy("kind", "label", "held", "codes").agg(F.sum("n").alias("n")))
+
+
+def _matrix(column: pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, WIDTH)
+
+
+def _blobs(rows: DataFrame, n: int) -> DataFrame:
+    """Rows of up to a batch each, in an order that does not depend on the tasks before, written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                held = [b"".join(batch.column("codes").to_pylist()), *[batch.column(c).to_numpy().astype(t).tobytes() for c, t in (("kind", np.uint8), ("label", np.uint8), ("n", np.int64))]]
+                yield pa.RecordBatch.from_arrays([pa.array([h], pa.binary()) for h in held], names=["codes", "kind", "label", "n"])
+
+    keys = ("codes", "kind", "label")
+    return cut(rows.repartition(pieces(n, PART), *keys).sortWithinPartitions(*keys).mapInArrow(run, "codes binary, kind binary, label binary, n binary"))
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    for k in range(batch.num_rows):
+        codes, kind, label, n = (np.frombuffer(batch.column(c)[k].as_py(), t) for c, t in (("codes", np.uint8), ("kind", np.uint8), ("label", np.uint8), ("n", np.int64)))
+        yield codes.reshape(-1, WIDTH), kind, label, n
+
+
+def _apart_sums(rows: DataFrame, n: int, weight: np.ndarray):
+    """Sums over rows that stay on the executors: a job for each level, a histogram for each task."""
+    blobs = _blobs(rows, n)
+
+    def sums(made: boosted_trees.Boosted, feature: np.ndarray, split: np.ndarray, level: int) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2, 1 << level, WIDTH, boosted_trees.BINS))
+            for batch in batches:
+                for codes, kind, label, n in _rows(batch):
+                    total += boosted_trees.histogram(codes, label, weight[kind, label] * n, made.raw_of(codes), feature, split, level)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+        parts = blobs.mapInArrow(run, "sums binary").withColumn("part", F.spark_partition_id()).toArrow().sort_by("part").column("sums")
+        return sum(np.frombuffer(p.as_py(), np.float64) for p in parts).reshape(2, 1 << level, WIDTH, -1)
+
+    return sums
+
+
+def _apart_pools(rows: DataFrame, n: int, trees: boosted_trees.Boosted) -> list[np.ndarray]:
+    """Pools of each kind: those of ranges of scores, pooled again."""
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, n = _matrix(batch.column("codes"), np.uint8), batch.column("n").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(trees.raw_of(codes)), pa.array(n * batch.column("label").to_numpy()), pa.array(n)], names=["kind", "raw", "ones", "n"])
+
+    def pools(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = batch.column("kind").to_numpy()
+            for k in np.unique(kinds):
+                got = boosted_trees.pooled(*[batch.column(c).to_numpy()[kinds == k] for c in ("raw", "ones", "n")])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got), k, np.int32)), *[pa.array(got[:, i]) for i in range(3)]], names=["kind", "raw", "ones", "n"])
+
+    scores = rows.mapInArrow(told, "kind int, raw double, ones long, n long").groupBy("kind", "raw").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n"))
+    ranges = scores.repartitionByRange(pieces(n, PART), "kind", "raw").sortWithinPartitions("kind", "raw")
+    got = ranges.mapInArrow(pools, "kind int, raw double, ones double, n double").orderBy("kind", "raw").toArrow()
+    kind = got.column("kind").to_numpy()
+    return [boosted_trees.pooled(*[got.column(c).to_numpy()[kind == k] for c in ("raw", "ones", "n")]) for k in range(4)]
+
+
+def _pools(kind: np.ndarray, raw: np.ndarray, label: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    order = np.argsort(raw, kind="stable")
+    kind, raw, label, n = kind[order], raw[order], label[order], n[order]
+    out = []
+    for k in range(4):
+        own = kind == k
+        score, at = np.unique(raw[own], return_inverse=True)
+        out.append(boosted_trees.pooled(score, np.bincount(at, (label * n)[own], len(score)), np.bincount(at, n[own], len(score))))
+    return out
+
+
+def fit(docs: DataFrame, text_col: str = "text", at_once: int = AT_ONCE, rounds: int = 60) -> Model:
+    """Trees, calibration and thresholds from the examples of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", MB):
-            rows = [(k, y, f) for t in batch.column("text").to_pylist() if t for k, y, f in examples(t)]
-            x = [np.array(f, np.float32) for _, _, f in rows]
-            order = [zlib.crc32(a.tobytes()) for a in x]
-            columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array(order, pa.int64()), pa.array(x, pa.list_(pa.float32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["kind", "label", "h", "x"])
-
-    got = picked.select(F.col(text_col).alias("text")).mapInArrow(run, "kind int, label int, h long, x array<float>")
-    got = got.orderBy("h", "kind", "label").limit(most).toArrow()
-    if not got.num_rows:
-        return Model()
-    kind, y, h = (got.column(c).to_numpy() for c in ("kind", "label", "h"))
-    x = np.stack(got.column("x").to_numpy(zero_copy_only=False))
-    held = h % 3 == 0  # equal examples stay on one side
-    if len(set(y[~held].tolist())) < 2:
+            found = Counter((k, y, np.array(f, np.float32).tobytes()) for t in batch.column("text").to_pylist() if t for k, y, f in examples(t))
+            columns = [pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.int32()), pa.array([x[2] for x in found], pa.binary()), pa.array(list(found.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "label", "x", "n"])
+        release()
+
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind int, label int, x binary, n long").groupBy("kind", "label", "x").agg(F.sum("n").alias("n"))
+    # equal examples stay on one side
+    edges, cells = _binned(cut(rows.withColumn("held", F.crc32("x") % 3 == 0)))
+    sizes = np.zeros((2, 4, 2))
+    rows_of = [0, 0]
+    for held, kind, label, n, many in cells.groupBy("held", "kind", "label").agg(F.sum("n"), F.count(F.lit(1))).collect():
+        sizes[int(held), kind, label] = n
+        rows_of[int(held)] += many
+    if not sizes[0].sum(axis=0).all():
         return Model()
-    weight = np.ones(len(y))
-    for k in range(4):  # both labels of a kind weigh alike
-        for label in (0, 1):
-            own = (kind == k) & (y == label) & ~held
-            weight[own] = 1000 / max(50, own.sum())
-    trees = boosted_trees.fit(x[~held], y[~held].astype(float), weight[~held])
-    model = Model(trees)
-    raw = trees.raw(x[held])
-    for k in range(4):
-        own = kind[held] == k
-        model.calibrated.append(boosted_trees.isotonic(raw[own], y[held][own]))
-        model.bars[k] = boosted_trees.bar(model.calibrated[k], raw[own], y[held][own], SURE, LEAST)
-    return model
+    weight = 1000 / np.maximum(50, sizes[0])  # both labels of a kind weigh alike
+    start = boosted_trees.start_of((weight * sizes[0])[:, 1].sum(), (weight * sizes[0]).sum())
+    if sum(rows_of) <= at_once:
+        got = cells.orderBy("codes", "kind", "label").toArrow()
+        codes = _matrix(got.column("codes"), np.uint8)
+        kind, label, n, held = (got.column(c).to_numpy() for c in ("kind", "label", "n", "held"))
+        trees = boosted_trees.grow(boosted_trees.at_once(codes[~held], label[~held], (weight[kind, label] * n)[~held]), edges, start, rounds)
+        pools = _pools(kind[held], trees.raw_of(codes[held]), label[held], n[held])
+    else:
+        trees = boosted_trees.grow(_apart_sums(cells.where("not held"), rows_of[0], weight), edges, start, rounds)
+        pools = _apart_pools(cells.where("held"), rows_of[1], trees)
+    calibrated = [boosted_trees.shares(p) for p in pools]
+    return Model(trees, calibrated, [boosted_trees.bar(c, p[:, 0], p[:, 1], SURE, LEAST) for c, p in zip(calibrated, pools)])
 
 
 SPANS = "array<struct<kind: string, start: long, stop: long, probability: double>>"
