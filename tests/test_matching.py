@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchwright.functions import features, sizes, vectors
 from matchwright.operators import matching
-from matchwright.plans import pipeline
+from matchwright.plans import pipeline, registry
 from matchwright.plans.policy import FIXTURE, Policy
 from matchwright.sources import clients
 
@@ -118,6 +118,18 @@ def test_review_replies(spark):
         assert matching.decode_review(odd) == (("exact", 1.0) if "NaN" in odd else ("none", 0.0))
 
 
+def test_every_pair_of_the_band_is_reviewed(spark, monkeypatch):
+    """The band's limit is that of review_band: the stub answers to all pairs of the band, and to those alone."""
+    n = FIXTURE.band_limit + 500
+    low, high = FIXTURE.band
+    score = F.when(F.col("id") < n, F.lit(low) + F.col("id") % 7 / 100).otherwise(F.when(F.col("id") == n, F.lit(high)).when(F.col("id") == n + 1, F.lit(low - 0.01)))
+    kept = spark.range(n + 3).select((F.col("id") * 2).alias("a_id"), (F.col("id") * 2 + 1).alias("b_id"), score.alias("score_total"))
+    monkeypatch.setattr(registry, "kept", lambda *_: kept)
+    want = [(r.a_id, r.b_id, *matching.decode_review(r.reply)) for r in registry.with_reply(kept.where(F.col("a_id") < 2 * n)).collect()]
+    assert rows(registry.llm_review_stub(spark, ""), "a_id", "b_id", "gpt_label", "gpt_score") == sorted(want) and len(want) == n
+    assert registry.review_band(spark, "").count() == FIXTURE.band_limit
+
+
 def test_final(spark):
     kept = scored(spark, [(1, 10, 1, 0.9, 0.9), (2, 11, 1, 0.9, 0.9), (3, 12, 1, 0.9, 0.9)])
     review = spark.createDataFrame([(1, 10, "none"), (2, 99, "none"), (3, 12, "exact")], "a_id long, b_id long, gpt_label string")
